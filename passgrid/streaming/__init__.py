@@ -1,0 +1 @@
+"""The two jobs as Structured Streaming queries."""

@@ -1,0 +1,104 @@
+"""Streaming queries.
+
+The traffic job is two queries: a stream can carry one watermark per chain, and the dedup needs the ingest clock while
+statistics need the pass time. The first writes the detail table, the second reads it as a stream. So passes too late for
+their window still reach the detail table.
+
+All three write with the Parquet file sink, whose commit log makes output exactly-once. The number of state partitions
+is ``spark.sql.shuffle.partitions`` at the first start of a query and stays for its lifetime; choose it for the state of
+the busiest day.
+"""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+from pyspark.sql import types as T
+from pyspark.sql.streaming import DataStreamWriter, StreamingQuery
+
+from passgrid.operators.dedup import stream_dedup_passes
+from passgrid.operators.enrich import enrich_passes, pass_detail
+from passgrid.operators.filters import filter_essential
+from passgrid.operators.pairs import plate_pairs
+from passgrid.operators.shard import shard_by_station
+from passgrid.operators.stats import station_stats, stats_rows, with_pass_watermark
+from passgrid.plans.clones import locate_passes, score_pairs
+from passgrid.settings import DETAIL_SCHEMA, CloneSettings, TrafficSettings
+from passgrid.sources.passes import decode_passes, decode_passes_narrow
+
+
+def detail_stream(records: DataFrame, settings: TrafficSettings = TrafficSettings()) -> DataFrame:
+    """Records to detail rows: decode, filter, enrich, dedup on the ingest clock."""
+    passes = filter_essential(decode_passes(records, keep=["ingest_time"]))
+    deduped = stream_dedup_passes(enrich_passes(passes), hours=settings.dedup_hours)
+    return shard_by_station(pass_detail(deduped), settings.shards)
+
+
+def stats_stream(detail: DataFrame, settings: TrafficSettings = TrafficSettings()) -> DataFrame:
+    """Detail rows to closed station windows, each emitted once."""
+    stats = station_stats(with_pass_watermark(detail, settings.watermark_delay), settings.window)
+    return shard_by_station(stats_rows(stats), settings.shards)
+
+
+def alert_stream(records: DataFrame, stations: DataFrame, settings: CloneSettings = CloneSettings()) -> DataFrame:
+    """Records to alerts, through a stream-stream join of the passes with themselves.
+
+    The watermark delay is that of the history, not of the statistics: the check has to see passes out of order.
+    """
+    keep = ["arrival_seq"] if "arrival_seq" in records.columns else []
+    order_col = "arrival_seq" if keep else "gcsj"
+    located = locate_passes(decode_passes_narrow(records, keep=keep), stations, order_col=order_col)
+    pairs = plate_pairs(
+        with_pass_watermark(located, settings.watermark_delay),
+        horizon_s=settings.horizon_s,
+        min_gap_s=settings.min_gap_s,
+        order_col=order_col,
+        carry=["lat", "lon", "mask"],
+    )
+    alerts = score_pairs(pairs, settings.max_speed_kmh).withColumn("created_at", F.current_timestamp())
+    return shard_by_station(alerts, settings.shards)
+
+
+def read_detail_stream(spark: SparkSession, path: str) -> DataFrame:
+    """The detail table as a stream. Each trigger takes all that was committed since, so never part of a batch."""
+    schema = T.StructType([*DETAIL_SCHEMA.fields, T.StructField("shard", T.IntegerType())])
+    return spark.readStream.schema(schema).parquet(path).drop("shard")
+
+
+def file_writer(df: DataFrame, path: str, checkpoint: str, *, available_now: bool = False,
+                trigger: str = "30 seconds") -> DataStreamWriter:
+    """Parquet files partitioned by shard."""
+    writer = (
+        df.writeStream.format("parquet")
+        .partitionBy("shard")
+        .option("path", path)
+        .option("checkpointLocation", checkpoint)
+        .outputMode("append")
+    )
+    return writer.trigger(availableNow=True) if available_now else writer.trigger(processingTime=trigger)
+
+
+def start_traffic(records: DataFrame, out: str, checkpoint: str, settings: TrafficSettings = TrafficSettings(),
+                  **trigger) -> tuple[StreamingQuery, StreamingQuery]:
+    """Start both traffic queries, writing ``out/detail`` and ``out/stats``."""
+    return (
+        start_detail(records, out, checkpoint, settings, **trigger),
+        start_stats(records.sparkSession, out, checkpoint, settings, **trigger),
+    )
+
+
+def start_detail(records: DataFrame, out: str, checkpoint: str, settings: TrafficSettings = TrafficSettings(),
+                 **trigger) -> StreamingQuery:
+    return file_writer(detail_stream(records, settings), f"{out}/detail", f"{checkpoint}/detail", **trigger).start()
+
+
+def start_stats(spark: SparkSession, out: str, checkpoint: str, settings: TrafficSettings = TrafficSettings(),
+                **trigger) -> StreamingQuery:
+    detail = read_detail_stream(spark, f"{out}/detail")
+    return file_writer(stats_stream(detail, settings), f"{out}/stats", f"{checkpoint}/stats", **trigger).start()
+
+
+def start_alerts(records: DataFrame, stations: DataFrame, out: str, checkpoint: str,
+                 settings: CloneSettings = CloneSettings(), **trigger) -> StreamingQuery:
+    alerts = alert_stream(records, stations, settings)
+    return file_writer(alerts, f"{out}/alerts", f"{checkpoint}/alerts", **trigger).start()
