@@ -13,6 +13,7 @@ from passgrid.functions import geo, text, time
 from passgrid.functions.json import from_json_text, histogram_json, to_json_text
 from passgrid.operators import enrich, filters, merge, pairs, shard, stats
 from passgrid.operators.dedup import dedup_passes as dedup
+from passgrid.operators.dedup import dedup_passes_ttl as dedup_ttl
 from passgrid.plans import clones, traffic
 from passgrid.session import shared_dir
 from passgrid.settings import CloneSettings
@@ -225,6 +226,12 @@ def dedup_passes(spark, sf):
     return dedup(enrich.enrich_passes(_good(spark, sf))).select("arrival_seq", "gcxh", "station_id", "hphm")
 
 
+def dedup_passes_ttl(spark, sf):
+    """Serial ids in reuse: a thousand of them over the whole table, remembered for two hours."""
+    p = _good(spark, sf).withColumn("gcxh", F.when(F.col("gcxh") > 0, F.col("gcxh") % 1000 + 1).otherwise(F.lit(0)))
+    return dedup_ttl(enrich.enrich_passes(p), hours=2).select("arrival_seq", "gcxh", "station_id", "hphm")
+
+
 # ---- scalar functions ----
 
 
@@ -390,6 +397,7 @@ QUERIES = {
     "station_stats": station_stats,
     "station_stats_30min": station_stats_30min,
     "dedup_passes": dedup_passes,
+    "dedup_passes_ttl": dedup_passes_ttl,
     "plate_history": plate_history,
     "haversine_km": haversine_km,
     "time_gap_sec": time_gap_sec,

@@ -57,7 +57,7 @@ _TYPE = """CASE WHEN hpzl IS NULL THEN '未知车型'
   ELSE CASE trim(hpzl) WHEN '1' THEN '小型汽车' WHEN '2' THEN '大型汽车' WHEN '13' THEN '农用运输车'
                        WHEN '-' THEN '未知车型' ELSE trim(hpzl) END END"""
 _KEY = """CASE WHEN gcxh > 0 THEN 'id:' || CAST(gcxh AS VARCHAR)
-  ELSE coalesce(hphm, '') || '|' || CAST(station_id AS VARCHAR) || '|' || CAST(epoch_ms(gcsj) // 1000 AS VARCHAR) END"""
+  ELSE coalesce(hphm, '') || '|' || CAST(station_id AS VARCHAR) || '|' || CAST(epoch_us(gcsj) // 1000000 AS VARCHAR) END"""
 
 
 def _clean(source: str, prefix: str = "") -> str:
@@ -221,6 +221,19 @@ SELECT station_id, window_start, window_end, by_type FROM stats"""),
         "histogram_json": _with(_PASSES, clean, _stats("clean", 1800), select="""
 SELECT station_id, window_start, by_type AS histogram FROM stats"""),
         "dedup_passes": _with(_PASSES, clean, select="SELECT arrival_seq, gcxh, station_id, hphm FROM clean"),
+        "dedup_passes_ttl": "WITH RECURSIVE " + ",".join([
+            _PASSES, "reused AS (SELECT * REPLACE (CASE WHEN gcxh > 0 THEN gcxh % 1000 + 1 ELSE 0 END AS gcxh) "
+                     "FROM passes)", _clean("reused"), """
+chain AS (
+  SELECT dedup_key, min(ingest_time) AS t, arg_min(arrival_seq, (ingest_time, arrival_seq)) AS arrival_seq
+  FROM timed GROUP BY dedup_key
+  UNION ALL
+  SELECT c.dedup_key, min(e.ingest_time), arg_min(e.arrival_seq, (e.ingest_time, e.arrival_seq))
+  FROM chain c JOIN timed e ON e.dedup_key = c.dedup_key AND e.ingest_time >= c.t + INTERVAL 2 HOUR
+  GROUP BY c.dedup_key
+)""".replace("chain AS", """
+timed AS (SELECT e.*, p.ingest_time FROM enriched e JOIN passes p USING (arrival_seq)),
+chain AS""", 1)]) + "\nSELECT e.arrival_seq, gcxh, station_id, hphm FROM chain JOIN enriched e USING (arrival_seq)",
         "haversine_km": _with(_PASSES, _STATIONS, select=f"""
 SELECT arrival_seq, round(CASE WHEN event_id % 71 = 0 THEN 0.0 ELSE
   {_HAVERSINE.format(a1="lat", a2="lon", b1="lat2", b2="lon2")} END, 6) AS distance_km

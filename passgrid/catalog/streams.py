@@ -27,7 +27,7 @@ from passgrid.sources.records import archived_records, text_records
 from passgrid.sources.stations import default_stations
 from passgrid.streaming.queries import file_writer, start_alerts, start_detail, start_stats, stats_stream
 
-SLICES = 4
+SLICES = 3
 FLUSH_STATION = 999
 
 

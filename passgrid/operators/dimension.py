@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -25,21 +27,22 @@ def fits_broadcast(dim: DataFrame, max_rows: int = BROADCAST_ROWS, max_bytes: in
 def join_dimension(
     facts: DataFrame,
     dim: DataFrame,
-    key: str,
+    key: str | Sequence[str],
     *,
     how: str = "inner",
     max_rows: int = BROADCAST_ROWS,
     max_bytes: int = BROADCAST_BYTES,
     salts: int = SALTS,
 ) -> DataFrame:
-    """Equi-join with a dimension holding one row per key.
+    """Equi-join with a dimension holding one row per key (a column or several).
 
     A dimension of checked size is broadcast. A larger one is shuffled, with the facts of each key spread over
     ``salts`` partitions and the dimension copied to each of them, so a hot key does not fill one task.
     """
+    keys = [key] if isinstance(key, str) else list(key)
     if fits_broadcast(dim, max_rows, max_bytes):
-        return facts.join(F.broadcast(dim), key, how)
+        return facts.join(F.broadcast(dim), keys, how)
     plain = [f.name for f in facts.schema.fields if f.dataType.typeName() not in ("map", "variant")]
     salted_facts = facts.withColumn("_salt", F.pmod(F.xxhash64(*plain), F.lit(salts)).cast("int"))
     salted_dim = dim.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))))
-    return salted_facts.join(salted_dim, [key, "_salt"], how).drop("_salt")
+    return salted_facts.join(salted_dim, [*keys, "_salt"], how).drop("_salt")

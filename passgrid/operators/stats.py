@@ -67,8 +67,9 @@ def station_stats(passes: DataFrame, window: str = "30 seconds") -> DataFrame:
         F.struct(F.lit(_TYPE).alias("kind"), F.coalesce("hpzl", F.lit("")).alias("value")),
     ))
     counts = (
-        passes.select("gcsj", "station_id", facet.alias("facet"))
-        .groupBy(F.window("gcsj", window).alias("window"), "station_id", "facet.kind", "facet.value")
+        passes.select(F.window("gcsj", window).alias("window"), "station_id", "fxlx", "hpzl")
+        .select("window", "station_id", facet.alias("facet"))
+        .groupBy("window", "station_id", "facet.kind", "facet.value")
         .agg(F.count("*").alias("n"))
     )
     entry = F.struct("value", "n")

@@ -36,11 +36,14 @@ def score_pairs(pairs: DataFrame, max_speed_kmh: float = 140.0) -> DataFrame:
     first, second = order_pair(
         F.col("cur_gcsj"), F.col("cur_station_id"), F.col("prev_gcsj"), F.col("prev_station_id")
     )
-    scored = pairs.select(
-        "*",
-        time_gap_sec(F.col("cur_gcsj"), F.col("prev_gcsj")).alias("time_gap_sec"),
-        haversine_km(F.col("cur_lat"), F.col("cur_lon"), F.col("prev_lat"), F.col("prev_lon")).alias("distance_km"),
-    ).withColumn("speed_kmh", implied_speed_kmh(F.col("distance_km"), F.col("time_gap_sec")))
+    gap = time_gap_sec(F.col("cur_gcsj"), F.col("prev_gcsj"))
+    distance = haversine_km(F.col("cur_lat"), F.col("cur_lon"), F.col("prev_lat"), F.col("prev_lon"))
+    # inline keeps the optimizer from moving the speed test into the join condition, where it would run before the time
+    # band and once more for the output.
+    measured = F.inline(F.array(F.struct(gap.alias("time_gap_sec"), distance.alias("distance_km"))))
+    scored = pairs.select("*", measured).withColumn(
+        "speed_kmh", implied_speed_kmh(F.col("distance_km"), F.col("time_gap_sec"))
+    )
     return scored.filter(is_overspeed(F.col("speed_kmh"), max_speed_kmh)).select(
         first.alias("station_id"),
         F.col("cur_mask").alias("hphm_mask"),

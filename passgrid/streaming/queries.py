@@ -40,10 +40,13 @@ def stats_stream(detail: DataFrame, settings: TrafficSettings = TrafficSettings(
     return shard_by_station(stats_rows(stats), settings.shards)
 
 
-def alert_stream(records: DataFrame, stations: DataFrame, settings: CloneSettings = CloneSettings()) -> DataFrame:
+def alert_stream(records: DataFrame, stations: DataFrame, settings: CloneSettings = CloneSettings(),
+                 hot_plates: DataFrame | None = None) -> DataFrame:
     """Records to alerts, through a stream-stream join of the passes with themselves.
 
     The watermark delay is that of the history, not of the statistics: the check has to see passes out of order.
+    ``hot_plates`` (``hphm, splits``) spreads plates known to be busy over several state partitions; it must not change
+    while the query keeps its checkpoint.
     """
     keep = ["arrival_seq"] if "arrival_seq" in records.columns else []
     order_col = "arrival_seq" if keep else "gcsj"
@@ -54,6 +57,7 @@ def alert_stream(records: DataFrame, stations: DataFrame, settings: CloneSetting
         min_gap_s=settings.min_gap_s,
         order_col=order_col,
         carry=["lat", "lon", "mask"],
+        splits=hot_plates,
     )
     alerts = score_pairs(pairs, settings.max_speed_kmh).withColumn("created_at", F.current_timestamp())
     return shard_by_station(alerts, settings.shards)
@@ -99,6 +103,7 @@ def start_stats(spark: SparkSession, out: str, checkpoint: str, settings: Traffi
 
 
 def start_alerts(records: DataFrame, stations: DataFrame, out: str, checkpoint: str,
-                 settings: CloneSettings = CloneSettings(), **trigger) -> StreamingQuery:
-    alerts = alert_stream(records, stations, settings)
+                 settings: CloneSettings = CloneSettings(), hot_plates: DataFrame | None = None,
+                 **trigger) -> StreamingQuery:
+    alerts = alert_stream(records, stations, settings, hot_plates)
     return file_writer(alerts, f"{out}/alerts", f"{checkpoint}/alerts", **trigger).start()
