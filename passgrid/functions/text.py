@@ -26,18 +26,33 @@ def has_text(c: Column) -> Column:
     return F.coalesce(c.rlike(r"\P{javaWhitespace}"), F.lit(False))
 
 
+def _needs_trim(c: Column) -> Column:
+    return (F.substring(c, 1, 1) <= " ") | (F.substring(c, -1, 1) <= " ")
+
+
 def trim_controls(c: Column) -> Column:
     """Strip characters up to U+0020 from both ends."""
-    return F.btrim(c, F.lit(_CONTROLS_AND_SPACE))
+    return F.when(_needs_trim(c), F.btrim(c, F.lit(_CONTROLS_AND_SPACE))).otherwise(c)
+
+
+def _type_name(code: Column) -> Column:
+    key, *others = VEHICLE_TYPES
+    named = F.when(code == key, F.lit(VEHICLE_TYPES[key]))
+    for key in others:
+        named = named.when(code == key, F.lit(VEHICLE_TYPES[key]))
+    return named.otherwise(code)
 
 
 def vehicle_type(code: Column) -> Column:
-    """Name of a vehicle type code; other text stays, trimmed; NULL is the unknown type."""
-    trimmed = trim_controls(code)
-    mapped = F.when(code.isNull(), F.lit(UNKNOWN_TYPE))
-    for key, name in VEHICLE_TYPES.items():
-        mapped = mapped.when(trimmed == key, F.lit(name))
-    return mapped.otherwise(trimmed)
+    """Name of a vehicle type code; other text stays, trimmed; NULL is the unknown type.
+
+    Codes without surrounding space, nearly all, never meet the trim, which costs more than the rest together.
+    """
+    return (
+        F.when(code.isNull(), F.lit(UNKNOWN_TYPE))
+        .when(_needs_trim(code), _type_name(trim_controls(code)))
+        .otherwise(_type_name(code))
+    )
 
 
 def mask_plate(mask: Column, plate: Column, *, blank_is_absent: bool = False) -> Column:

@@ -92,5 +92,5 @@ def run_clones(passes: DataFrame, stations: DataFrame, out: str, settings: Clone
     """Write ``out/alerts``."""
     alerts = clone_alerts(passes, stations, settings, order_col=order_col)
     alerts = alerts.withColumn("created_at", F.current_timestamp())
-    write_sharded(shard_by_station(alerts, settings.shards), f"{out}/alerts")
+    write_sharded(shard_by_station(alerts, settings.shards), f"{out}/alerts", order=["hphm_mask"])
     return passes.sparkSession.read.parquet(f"{out}/alerts")

@@ -40,8 +40,10 @@ def run_traffic(passes: DataFrame, out: str, settings: TrafficSettings = Traffic
     the dedup happens once."""
     spark = passes.sparkSession
     clean = clean_passes(passes, order_col=order_col)
-    write_sharded(shard_by_station(pass_detail(clean), settings.shards), f"{out}/detail", time_col="gcsj")
+    detail = shard_by_station(pass_detail(clean), settings.shards)
+    write_sharded(detail, f"{out}/detail", time_col="gcsj", order=["station_id", "gcsj"])
     detail = spark.read.parquet(f"{out}/detail")
     stats = stats_rows(station_stats(detail, settings.window))
-    write_sharded(shard_by_station(stats, settings.shards), f"{out}/stats", time_col="window_start")
+    stats = shard_by_station(stats, settings.shards)
+    write_sharded(stats, f"{out}/stats", time_col="window_start", order=["station_id", "window_start"])
     return TrafficTables(detail, spark.read.parquet(f"{out}/stats"))

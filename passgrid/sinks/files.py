@@ -14,8 +14,9 @@ from pyspark.sql import functions as F
 from passgrid.operators.merge import STATS_KEY, latest_per_key
 
 
-def write_sharded(df: DataFrame, path: str, *, time_col: str | None = None) -> None:
-    """One batch table partitioned by shard and, with ``time_col``, by day.
+def write_sharded(df: DataFrame, path: str, *, time_col: str | None = None, order: Sequence[str] = ()) -> None:
+    """One batch table partitioned by shard and, with ``time_col``, by day; files are sorted by ``order``, so that
+    readers of few stations or hours skip most row groups.
 
     ``rebalance`` gathers each partition's rows in few files and, being adaptive, still splits a partition that holds
     much of the data.
@@ -24,9 +25,14 @@ def write_sharded(df: DataFrame, path: str, *, time_col: str | None = None) -> N
     if time_col:
         df = df.withColumn("dt", F.to_date(time_col))
         parts = ["dt", "shard"]
-    df.hint("rebalance", *parts).write.partitionBy(*parts).mode("overwrite").option(
-        "partitionOverwriteMode", "static"
-    ).parquet(path)
+    (
+        df.hint("rebalance", *parts)
+        .sortWithinPartitions(*parts, *order)
+        .write.partitionBy(*parts)
+        .mode("overwrite")
+        .option("partitionOverwriteMode", "static")
+        .parquet(path)
+    )
 
 
 def append_load(df: DataFrame, path: str, load_id: int) -> None:

@@ -23,20 +23,23 @@ ALERT_COLUMNS = [
 DETAIL_TABLE_COLUMNS = [*DETAIL_COLUMNS, "created_at"]
 
 
-def write_jdbc(df: DataFrame, url: str, table: str, *, user: str, password: str, batch_size: int = 500,
-               driver: str = "com.mysql.cj.jdbc.Driver") -> None:
+def jdbc_options(url: str, table: str, *, user: str, password: str, batch_size: int = 500,
+                 driver: str = "com.mysql.cj.jdbc.Driver", connections: int = 32) -> dict[str, str]:
+    """Options of Spark's JDBC writer; ``connections`` limits how many tasks write at once."""
+    return {
+        "url": url,
+        "dbtable": table,
+        "user": user,
+        "password": password,
+        "driver": driver,
+        "batchsize": str(batch_size),
+        "numPartitions": str(connections),
+    }
+
+
+def write_jdbc(df: DataFrame, options: dict[str, str], columns: Sequence[str]) -> None:
     """Append through Spark's JDBC writer. The driver jar must be on the class path."""
-    (
-        df.write.format("jdbc")
-        .option("url", url)
-        .option("dbtable", table)
-        .option("user", user)
-        .option("password", password)
-        .option("driver", driver)
-        .option("batchsize", batch_size)
-        .mode("append")
-        .save()
-    )
+    df.select(*columns).write.format("jdbc").options(**options).mode("append").save()
 
 
 def insert_statement(table: str, columns: Sequence[str], mark: str = "%s") -> str:
@@ -72,3 +75,22 @@ def write_rows(df: DataFrame, connect: Callable[[], Any], statement: str, column
                 connection.close()
 
     df.select(*columns).foreachPartition(write_partition)
+
+
+def jdbc_batches(options: dict[str, str], columns: Sequence[str]) -> Callable[[DataFrame, int], None]:
+    """For ``foreachBatch``: append each micro-batch by JDBC. A replayed batch is appended again (at least once)."""
+
+    def write(batch: DataFrame, batch_id: int) -> None:
+        write_jdbc(batch, options, columns)
+
+    return write
+
+
+def row_batches(connect: Callable[[], Any], statement: str, columns: Sequence[str], *,
+                batch_size: int = 500) -> Callable[[DataFrame, int], None]:
+    """For ``foreachBatch``: run a statement for each row; with an upsert, a replayed batch changes nothing."""
+
+    def write(batch: DataFrame, batch_id: int) -> None:
+        write_rows(batch, connect, statement, columns, batch_size=batch_size)
+
+    return write

@@ -9,7 +9,6 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from passgrid.functions.json import STRICT_JSON, lenient_number
-from passgrid.functions.text import trim_controls
 from passgrid.functions.time import parse_instant
 from passgrid.settings import NARROW_FIELDS, PASS_FIELDS, PASS_TYPES
 
@@ -18,7 +17,7 @@ _NUMERIC = ("gcxh", "adcode", "station_id")
 
 
 def _is_empty(value: Column) -> Column:
-    return F.coalesce(F.length(trim_controls(value)) == 0, F.lit(True))
+    return ~F.coalesce(value.rlike(r"[^\x00-\x20]"), F.lit(False))
 
 
 def _parsed(records: DataFrame, fields: Sequence[str], keep: Sequence[str]) -> DataFrame:

@@ -11,6 +11,8 @@ the busiest day.
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -82,6 +84,17 @@ def file_writer(df: DataFrame, path: str, checkpoint: str, *, available_now: boo
     return writer.trigger(availableNow=True) if available_now else writer.trigger(processingTime=trigger)
 
 
+def batch_writer(df: DataFrame, write: Callable[[DataFrame, int], None], checkpoint: str, *,
+                 trigger: str = "30 seconds") -> DataStreamWriter:
+    """Micro-batches into relational tables, through ``jdbc_batches`` or ``row_batches`` of the sinks."""
+    return (
+        df.writeStream.foreachBatch(write)
+        .option("checkpointLocation", checkpoint)
+        .outputMode("append")
+        .trigger(processingTime=trigger)
+    )
+
+
 def start_traffic(records: DataFrame, out: str, checkpoint: str, settings: TrafficSettings = TrafficSettings(),
                   **trigger) -> tuple[StreamingQuery, StreamingQuery]:
     """Start both traffic queries, writing ``out/detail`` and ``out/stats``."""

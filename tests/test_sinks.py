@@ -90,6 +90,24 @@ def test_write_rows_commits_per_batch(spark, tmp_path):
     assert len(list(tmp_path.glob("*.json"))) == 6
 
 
+def test_batch_functions(spark, tmp_path):
+    """Called as a stream would call them, a batch number at a time."""
+    seen = []
+
+    class Frame:
+        def select(self, *columns):
+            seen.append(columns)
+            return self
+
+        def foreachPartition(self, function):
+            seen.append(callable(function))
+
+    rows.row_batches(lambda: None, "INSERT", rows.ALERT_COLUMNS)(Frame(), 3)
+    assert seen == [tuple(rows.ALERT_COLUMNS), True]
+    options = rows.jdbc_options("jdbc:mysql://db/t", rows.DETAIL_TABLE, user="u", password="p")
+    assert options["batchsize"] == "500" and options["dbtable"] == "traffic_pass_dev"
+
+
 def test_run_traffic_writes_what_the_lazy_plan_gives(spark, tmp_path):
     passes = pass_frame(spark, skewed_passes(21, n=600))
     lazy = traffic_tables(passes)

@@ -89,6 +89,38 @@ def test_text_records(spark, tmp_path):
     assert decode_passes(df).count() == 1 and decode_rejects(df).count() == 1
 
 
+def test_kafka_options():
+    """The Kafka package is not installed here, so only what is asked of it can be checked."""
+    from passgrid.sources.records import kafka_records
+
+    class Reader:
+        def __init__(self):
+            self.options = {}
+
+        def format(self, name):
+            self.options["format"] = name
+            return self
+
+        def option(self, key, value):
+            self.options[key] = value
+            return self
+
+        def load(self):
+            raise LookupError
+
+    class Session:
+        read, readStream = Reader(), Reader()
+
+    with pytest.raises(LookupError):
+        kafka_records(Session, "kafka:9092", "passes", group_id="g", max_offsets_per_trigger=7)
+    assert Session.readStream.options == {
+        "format": "kafka", "kafka.bootstrap.servers": "kafka:9092", "subscribe": "passes",
+        "startingOffsets": "earliest", "kafka.group.id": "g", "maxOffsetsPerTrigger": 7}
+    with pytest.raises(LookupError):
+        kafka_records(Session, "kafka:9092", "passes", starting_offsets="latest", stream=False)
+    assert Session.read.options["startingOffsets"] == "latest"
+
+
 def test_station_file(spark, tmp_path):
     path = tmp_path / "s.json"
     entries = [None, {"stationId": 1, "name": "old", "lat": 1.0, "lon": 2.0}, {"stationId": 2, "name": "x"},
