@@ -154,7 +154,8 @@ def station_has_geo(spark, sf):
         {c: F.when(F.col("station_id") % 6 == 0, F.lit(0.0)).otherwise(F.col(c)) for c in ("lat", "lon")}
     )
     located = filters.stations_with_geo(stations).select("station_id", "lat", "lon")
-    return fx.passes(spark, sf).join(F.broadcast(located), "station_id").select("arrival_seq", "station_id", "lat", "lon")
+    joined = fx.passes(spark, sf).join(F.broadcast(located), "station_id")
+    return joined.select("arrival_seq", "station_id", "lat", "lon")
 
 
 def pass_detail(spark, sf):

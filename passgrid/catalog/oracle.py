@@ -57,7 +57,8 @@ _TYPE = """CASE WHEN hpzl IS NULL THEN '未知车型'
   ELSE CASE trim(hpzl) WHEN '1' THEN '小型汽车' WHEN '2' THEN '大型汽车' WHEN '13' THEN '农用运输车'
                        WHEN '-' THEN '未知车型' ELSE trim(hpzl) END END"""
 _KEY = """CASE WHEN gcxh > 0 THEN 'id:' || CAST(gcxh AS VARCHAR)
-  ELSE coalesce(hphm, '') || '|' || CAST(station_id AS VARCHAR) || '|' || CAST(epoch_us(gcsj) // 1000000 AS VARCHAR) END"""
+  ELSE coalesce(hphm, '') || '|' || CAST(station_id AS VARCHAR) || '|' ||
+       CAST(epoch_us(gcsj) // 1000000 AS VARCHAR) END"""
 
 
 def _clean(source: str, prefix: str = "") -> str:
@@ -268,7 +269,8 @@ SELECT arrival_seq, epoch_us(gcsj) // 1000000 AS bucket,
         "clone_alerts_code_defaults": _with(_PASSES, _STATIONS, _pairs("passes", 10), select=_alerts(160.0)),
         "sink_clone_alerts": _with(_PASSES, _STATIONS, pairs, select=f"""
 SELECT *, station_id % 2 AS shard FROM ({_alerts(140.0)})"""),
-        "shard_by_station": _with(_PASSES, select="SELECT arrival_seq, station_id, station_id % 2 AS shard FROM passes"),
+        "shard_by_station": _with(_PASSES, select="""
+SELECT arrival_seq, station_id, station_id % 2 AS shard FROM passes"""),
         "traffic_detail": _with(_PASSES, _DECODED, decoded_clean, select=f"""
 SELECT {_DETAIL}, station_id % 2 AS shard FROM clean"""),
         "traffic_stats": _with(_PASSES, _DECODED, decoded_clean, _stats("clean", 30), select="""

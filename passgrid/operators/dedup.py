@@ -33,8 +33,8 @@ def dedup_passes_ttl(
     kept again.
 
     Keys whose arrivals all lie within the retention time, nearly all of them, are settled in one step. The others take
-    one round per retained arrival: the first remaining row of each key is kept, rows within the retention time of it go.
-    Rounds work on three narrow columns, combine before the shuffle, and hand over through the shared folder.
+    one round per retained arrival: the first remaining row of each key is kept, rows within the retention time of it
+    go. Rounds work on three narrow columns, combine before the shuffle, and hand over through the shared folder.
     """
     keyed = add_dedup_key(passes)
     ttl = F.expr(f"make_dt_interval(0, 0, 0, {int(hours * 3600)})")

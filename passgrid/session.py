@@ -13,8 +13,6 @@ RECOMMENDED_CONF = {
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
-    # Histogram collection keeps one small buffer per station-window; the default of 128 keys sorts far too early.
-    "spark.sql.objectHashAggregate.sortBased.fallbackThreshold": "100000",
     "spark.sql.streaming.stateStore.providerClass":
         "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider",
     "spark.sql.streaming.stateStore.rocksdb.changelogCheckpointing.enabled": "true",
@@ -25,9 +23,9 @@ RECOMMENDED_CONF = {
 def shared_dir(spark: SparkSession, label: str = "run") -> str:
     """A fresh folder below ``spark.checkpoint.dir``, which every executor can reach.
 
-    Only a local session without that option falls back to a temporary folder.
+    Only a local session without a checkpoint folder falls back to a temporary one.
     """
-    root = spark.conf.get("spark.checkpoint.dir", None)
+    root = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
     if not root:
         if not spark.sparkContext.master.startswith("local"):
             raise ValueError("set spark.checkpoint.dir to a folder shared by all executors")

@@ -8,7 +8,7 @@ from typing import Any
 
 from pyspark.sql import DataFrame
 
-from passgrid.settings import DETAIL_COLUMNS
+from passgrid.settings import DETAIL_COLUMNS, TrafficSettings
 
 # ---- Fixed values: table and column names --------------------------------------------------------------------------
 
@@ -23,7 +23,7 @@ ALERT_COLUMNS = [
 DETAIL_TABLE_COLUMNS = [*DETAIL_COLUMNS, "created_at"]
 
 
-def jdbc_options(url: str, table: str, *, user: str, password: str, batch_size: int = 500,
+def jdbc_options(url: str, table: str, *, user: str, password: str, batch_size: int = TrafficSettings.batch_size,
                  driver: str = "com.mysql.cj.jdbc.Driver", connections: int = 32) -> dict[str, str]:
     """Options of Spark's JDBC writer; ``connections`` limits how many tasks write at once."""
     return {
@@ -54,7 +54,7 @@ def upsert_statement(table: str, columns: Sequence[str], keys: Sequence[str], ma
 
 
 def write_rows(df: DataFrame, connect: Callable[[], Any], statement: str, columns: Sequence[str], *,
-               batch_size: int = 500) -> None:
+               batch_size: int = TrafficSettings.batch_size) -> None:
     """Run ``statement`` for every row, each task over its own DB-API connection, committing per batch.
 
     Delivery is at least once, as a task may be repeated; an upsert statement makes repeats harmless.
@@ -87,7 +87,7 @@ def jdbc_batches(options: dict[str, str], columns: Sequence[str]) -> Callable[[D
 
 
 def row_batches(connect: Callable[[], Any], statement: str, columns: Sequence[str], *,
-                batch_size: int = 500) -> Callable[[DataFrame, int], None]:
+                batch_size: int = TrafficSettings.batch_size) -> Callable[[DataFrame, int], None]:
     """For ``foreachBatch``: run a statement for each row; with an upsert, a replayed batch changes nothing."""
 
     def write(batch: DataFrame, batch_id: int) -> None:

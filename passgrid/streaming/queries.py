@@ -1,8 +1,8 @@
 """Streaming queries.
 
 The traffic job is two queries: a stream can carry one watermark per chain, and the dedup needs the ingest clock while
-statistics need the pass time. The first writes the detail table, the second reads it as a stream. So passes too late for
-their window still reach the detail table.
+statistics need the pass time. The first writes the detail table, the second reads it as a stream. So passes too late
+for their window still reach the detail table.
 
 All three write with the Parquet file sink, whose commit log makes output exactly-once. The number of state partitions
 is ``spark.sql.shuffle.partitions`` at the first start of a query and stays for its lifetime; choose it for the state of

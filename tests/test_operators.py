@@ -224,6 +224,19 @@ def test_upsert_replaces_and_adds(spark):
     assert again == got
 
 
+def test_output_types(spark):
+    from passgrid.settings import ALERT_SCHEMA, DETAIL_SCHEMA, STATS_SCHEMA
+
+    passes = pass_frame(spark, skewed_passes(1, n=5))
+    alerts = clones.clone_alerts(passes, default_stations(spark), staged=False)
+    for df, schema in (
+        (enrich.pass_detail(enrich.enrich_passes(passes)), DETAIL_SCHEMA),
+        (stats.stats_rows(stats.station_stats(passes)), STATS_SCHEMA),
+        (alerts.withColumn("created_at", F.current_timestamp()), ALERT_SCHEMA),
+    ):
+        assert [(f.name, f.dataType) for f in df.schema] == [(f.name, f.dataType) for f in schema]
+
+
 def test_shards(spark):
     df = spark.createDataFrame([(101,), (102,), (-1,)], "station_id int")
     assert [r.shard for r in shard_by_station(df, 2).collect()] == [1, 0, 1]

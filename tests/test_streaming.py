@@ -127,7 +127,7 @@ def test_clone_alerts_of_passes_out_of_order(spark, tmp_path):
     query, alerts = clone_feed(spark, tmp_path / "in", str(tmp_path / "out"))
     assert alerts == EXPECTED
     state = query.lastProgress["stateOperators"][0]
-    assert state["numRowsTotal"] <= 6  # only the last two passes, each held up to three times
+    assert state["numRowsTotal"] <= 4  # only the last two passes, each held once per side
 
 
 def test_clone_alerts_with_busy_plates_spread(spark, tmp_path):
