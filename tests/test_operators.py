@@ -46,12 +46,12 @@ def seconds(t):
 
 def brute_pairs(rows, min_gap, horizon, other_station=True):
     found = []
-    for prev in rows:
-        for cur in rows:
-            gap = abs(seconds(prev[4]) - seconds(cur[4]))
-            if (prev[3] == cur[3] and prev[0] < cur[0] and min_gap <= gap <= horizon
-                    and (not other_station or prev[2] != cur[2])):
-                found.append((prev[0], cur[0]))
+    timed = [(r[0], r[2], r[3], seconds(r[4])) for r in rows]
+    for prev, prev_station, prev_plate, prev_sec in timed:
+        for cur, station, plate, sec in timed:
+            if (plate == prev_plate and prev < cur and min_gap <= abs(sec - prev_sec) <= horizon
+                    and (not other_station or station != prev_station)):
+                found.append((prev, cur))
     return sorted(found)
 
 
