@@ -1,4 +1,4 @@
-"""Registered streaming queries.
+"""Registered live queries.
 
 Input reaches a stream in several arrivals: each is written to the input folder, then the queries run until they have
 taken all of it, as they would between two triggers.
@@ -25,7 +25,7 @@ from passgrid.session import shared_dir
 from passgrid.settings import DETAIL_SCHEMA
 from passgrid.sources.records import archived_records, text_records
 from passgrid.sources.stations import default_stations
-from passgrid.streaming.queries import file_writer, start_alerts, start_detail, start_stats, stats_stream
+from passgrid.live.queries import file_writer, start_alerts, start_detail, start_stats, stats_stream
 
 SLICES = 3
 FLUSH_STATION = 999

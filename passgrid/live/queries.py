@@ -1,4 +1,4 @@
-"""Streaming queries.
+"""Structured queries that never end.
 
 The traffic job is two queries: a stream can carry one watermark per chain, and the dedup needs the ingest clock while
 statistics need the pass time. The first writes the detail table, the second reads it as a stream. So passes too late

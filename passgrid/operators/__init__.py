@@ -1 +1 @@
-"""Operators on pass DataFrames; batch and streaming alike unless a docstring says otherwise."""
+"""Operators on pass DataFrames; batch and live alike unless a docstring says otherwise."""

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 import tempfile
 import uuid
 
@@ -20,17 +21,24 @@ RECOMMENDED_CONF = {
 }
 
 
-def shared_dir(spark: SparkSession, label: str = "run") -> str:
-    """A fresh folder below ``spark.checkpoint.dir``, which every executor can reach.
+def use_local_scratch(spark: SparkSession) -> None:
+    """Give a session that runs in one process a checkpoint folder, if it has none. A cluster must name a shared one."""
+    named = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
+    if not named and re.match(r"local($|\[)", spark.sparkContext.master):
+        spark.sparkContext.setCheckpointDir(tempfile.mkdtemp(prefix="passgrid-"))
+
 
-    Only a local session without a checkpoint folder falls back to a temporary one.
-    """
+def shared_dir(spark: SparkSession, label: str = "run") -> str:
+    """A fresh folder below ``spark.checkpoint.dir``, which every executor can reach. It goes when the driver ends."""
     root = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
     if not root:
-        if not spark.sparkContext.master.startswith("local"):
-            raise ValueError("set spark.checkpoint.dir to a folder shared by all executors")
-        root = tempfile.mkdtemp(prefix="passgrid-")
-    return f"{root.rstrip('/')}/passgrid-{label}-{uuid.uuid4().hex}"
+        raise ValueError("set spark.checkpoint.dir to a folder shared by all executors")
+    path = f"{root.rstrip('/')}/passgrid-{label}-{uuid.uuid4().hex}"
+    place = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    files = place.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    files.mkdirs(place)
+    files.deleteOnExit(place)
+    return path
 
 
 def stage(df: DataFrame, label: str = "stage") -> DataFrame:

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from passgrid.settings import CloneSettings
 from passgrid.sources.records import text_records
 from passgrid.sources.stations import default_stations
-from passgrid.streaming.queries import start_alerts, start_detail, start_stats, start_traffic
+from passgrid.live.queries import start_alerts, start_detail, start_stats, start_traffic
 
 START = datetime(2024, 1, 1, tzinfo=timezone.utc)
 
