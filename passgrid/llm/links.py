@@ -34,3 +34,26 @@ def components(edges: DataFrame, a: str, b: str) -> DataFrame:
     return now.select(F.col("u").alias("node"), F.col("v").alias("root")).unionByName(
         now.select(F.col("v").alias("node"), F.col("v").alias("root")).distinct()
     )
+
+
+def resolve(classes: DataFrame, found: DataFrame) -> DataFrame:
+    """``cls, class_id, n_links, component_id`` of every class.
+
+    ``classes`` has ``cls, class_id, members`` (the smallest id and the number of a class's copies); ``found`` has, once
+    for each task that compared a class, ``cls, linked`` (copies linked to it there) and ``other`` (a class to which
+    it is linked, directly or not). Copies of a class count as linked.
+    """
+    linked = found.groupBy("cls").agg(F.sum("linked").alias("linked"))
+    reached = components(found, "cls", "other").withColumnRenamed("node", "cls")
+    names = reached.join(classes, "cls").groupBy("root").agg(F.min("class_id").alias("component_id"))
+    reached = reached.join(names, "root").select("cls", "component_id")
+    return (
+        classes.join(linked, "cls", "left")
+        .join(reached, "cls", "left")
+        .select(
+            "cls",
+            "class_id",
+            (F.col("members") - 1 + F.coalesce("linked", F.lit(0))).cast("bigint").alias("n_links"),
+            F.coalesce("component_id", "class_id").alias("component_id"),
+        )
+    )

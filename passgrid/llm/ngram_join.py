@@ -26,7 +26,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from passgrid.llm.columns import fresh, quoted, without
-from passgrid.llm.links import components
+from passgrid.llm.links import components, resolve
 from passgrid.llm.words import WORD_CHARACTER, mix, slices
 from passgrid.session import stage
 
@@ -232,22 +232,7 @@ def near_duplicates(
         tasks.groupBy("pack", "lo", "hi", "many").applyInArrow(verify, "cls bigint, linked bigint, other bigint"),
         "found",
     )
-    linked = found.groupBy("cls").agg(F.sum("linked").alias("linked"))
-    reached = components(found, "cls", "other").withColumnRenamed("node", "cls")
-    named_roots = (
-        reached.join(classes, "cls").groupBy("root").agg(F.min("class_id").alias("component_id"))
-    )
-    reached = reached.join(named_roots, "root").select("cls", "component_id")
-    result = (
-        classes.join(linked, "cls", "left")
-        .join(reached, "cls", "left")
-        .select(
-            "cls",
-            "class_id",
-            (F.col("members") - 1 + F.coalesce("linked", F.lit(0))).alias("n_links"),
-            F.coalesce("component_id", "class_id").alias("component_id"),
-        )
-    )
+    result = resolve(classes, found)
     return (
         rows.select("doc_id", "cls")
         .join(result, "cls", "left")

@@ -60,4 +60,27 @@ FROM d LEFT JOIN k ON k.doc_id = d.doc_id LEFT JOIN c ON c.words = k.words
 LEFT JOIN near ON near.a = c.class_id LEFT JOIN root ON root.a = c.class_id
 """
 
-ORACLE_SQL = {"op3_ngram_jaccard_join": _NGRAM_JOIN, "op10_decontaminate": _DECONTAMINATE}
+_EGO_JOIN = """
+WITH RECURSIVE v AS (
+  SELECT vec_id, label, CAST(embedding AS DOUBLE[]) AS e FROM embeddings
+  WHERE label IS NOT NULL AND len(embedding) > 0 AND len(list_filter(embedding, x -> x <> 0)) > 0
+    AND len(list_filter(embedding, x -> x IS NULL OR NOT isfinite(x))) = 0
+),
+link AS (
+  SELECT a.vec_id AS a, b.vec_id AS b FROM v a JOIN v b ON a.label = b.label AND a.vec_id <> b.vec_id
+    AND len(a.e) = len(b.e)
+  WHERE list_cosine_similarity(a.e, b.e) >= 0.98
+),
+reach AS (SELECT a, b FROM link UNION SELECT reach.a, link.b FROM reach JOIN link ON reach.b = link.a),
+root AS (SELECT a, least(a, min(b)) AS component_id FROM reach GROUP BY a),
+near AS (SELECT a, count(*) AS n FROM link GROUP BY a)
+SELECT vec_id, CAST(coalesce(near.n, 0) AS BIGINT) AS n_links, coalesce(component_id, vec_id) AS component_id,
+  coalesce(component_id, vec_id) = vec_id AS kept
+FROM embeddings LEFT JOIN near ON near.a = vec_id LEFT JOIN root ON root.a = vec_id
+"""
+
+ORACLE_SQL = {
+    "op1_ego_join": _EGO_JOIN,
+    "op3_ngram_jaccard_join": _NGRAM_JOIN,
+    "op10_decontaminate": _DECONTAMINATE,
+}

@@ -7,18 +7,42 @@ from pyspark.sql import functions as F
 
 from passgrid.llm.columns import table
 from passgrid.llm.decontaminate import find_contamination
+from passgrid.llm.ego_join import near_vectors
+from passgrid.llm.html_text import extract_text, fit_pages
+from passgrid.llm.licences import fit_licences, scan_licences
 from passgrid.llm.mixing import mix_sources
 from passgrid.llm.ngram_join import near_duplicates
+from passgrid.llm.quality import fit_quality, score_quality
+from passgrid.llm.secrets import fit_field, scan_secrets
 from passgrid.llm.shards import shard_documents
 from passgrid.llm.toxicity import fit_toxicity, score_toxicity
 
 
+def op1_ego_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_vectors(table(spark, sf_dir, "embeddings"))
+
+
+def op2_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    model = fit_quality(docs, table(spark, sf_dir, "labels"))
+    return score_quality(docs, model).select(
+        "doc_id", "held_out", "score", "predicted", "evidence", "host_rate", "path_rate"
+    )
+
+
 def op3_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicates(table(spark, sf_dir, "documents")).select(
         "doc_id", "class_id", "n_links", "component_id", "kept"
     )
 
 
+def op4_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return scan_secrets(docs, fit_field(docs)).select(
+        "doc_id", "n_assign", "n_access", "n_hex", "base_sha256", "spans", "n_field"
+    )
+
+
 def op5_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     model = fit_toxicity(docs, table(spark, sf_dir, "labels"))
@@ -35,6 +59,18 @@ def op7_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mix_sources(table(spark, sf_dir, "documents")).select("doc_id", "size", "source_size", "target", "taken")
 
 
+def op8_licences(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return scan_licences(docs, fit_licences(docs)).select(
+        "doc_id", F.array_join("families", ",").alias("families"), F.size("notices").cast("bigint").alias("n_notices")
+    )
+
+
+def op9_html_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    pages = table(spark, sf_dir, "pages")
+    return extract_text(pages, fit_pages(pages)).select("page_id", "url", "text", "n_chars")
+
+
 def op10_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = find_contamination(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
     ids = F.array_join(F.array_sort(F.transform("items", lambda i: i.cast("string"))), ",")
@@ -50,5 +86,8 @@ def op10_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {
     f.__name__: f
-    for f in (op3_ngram_jaccard_join, op5_toxicity, op6_shard_by_bytes, op7_mix_sources, op10_decontaminate)
+    for f in (
+        op1_ego_join, op2_quality, op3_ngram_jaccard_join, op4_secrets, op5_toxicity, op6_shard_by_bytes, op7_mix_sources,
+        op8_licences, op9_html_text, op10_decontaminate,
+    )
 }

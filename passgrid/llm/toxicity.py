@@ -16,7 +16,8 @@ from pyspark.ml.regression import IsotonicRegression, IsotonicRegressionModel
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from passgrid.llm.columns import fold, fresh, held_out, quoted, without
+from passgrid.llm.columns import fresh, held_out, quoted, without
+from passgrid.llm.training import labelled_sample
 from passgrid.session import stage
 
 SAMPLE_ROWS = 20_000
@@ -130,22 +131,8 @@ def fit_toxicity(
     Only rows whose crc32(id as text) modulo 5 is not 0 are read: remainder 1 calibrates, the others grow the trees and
     the lexicon. Labels other than 0 and 1 and rows without an id are ignored, the largest of several labels counts.
     """
-    asked = (
-        labels.select(quoted(id_col).alias("id"), F.col("toxic").cast("int").alias("label"))
-        .filter("id is not null and label in (0, 1)")
-        .withColumn("part", fold(F.col("id")))
-        .filter("part > 0")
-        .groupBy("id", "part")
-        .agg(F.max("label").cast("double").alias("label"))
-    )
-    asked = stage(asked, "labels")
-    total = asked.count()
-    scale = 1_000_000
-    share = scale if total <= sample_rows else int(scale * sample_rows / total)
-    sample = asked.filter(F.pmod(F.xxhash64("id"), F.lit(scale)) < share)
-    texts = docs.select(quoted(id_col).alias("id"), quoted(text_col).cast("string").alias("text"))
-    rows = stage(texts.join(F.broadcast(sample), "id"), "training")
-
+    rows = labelled_sample(docs, labels, "toxic", id_col=id_col, rows=sample_rows, extra=(text_col,))
+    rows = rows.select("id", "part", "label", quoted(text_col).cast("string").alias("text"))
     grown = rows.filter("part > 1")
     counts = {r["label"]: r["n"] for r in grown.groupBy("label").agg(F.count("*").alias("n")).collect()}
     yes, no = counts.get(1.0, 0), counts.get(0.0, 0)

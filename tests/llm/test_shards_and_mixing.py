@@ -1,0 +1,156 @@
+import random
+import zlib
+from collections import Counter, defaultdict
+
+import pytest
+
+from passgrid.llm import mixing, shards
+from passgrid.llm.mixing import mix_sources, pivotal_rounding
+from passgrid.llm.shards import shard_documents
+
+SCHEMA = "doc_id bigint, text string, lang string, source string, n_chars bigint"
+
+
+def corpus(n=600, seed=1):
+    rng = random.Random(seed)
+    rows = []
+    for i in range(n):
+        text = "copy of one text" if i % 3 == 0 else " ".join(["word"] * rng.randint(0, 30)) + f" {rng.random()}"
+        rows.append((i, text, "en", "hot" if i % 3 else f"s{i % 7}", 0))
+    return rows + [(n, None, None, None, None), (n + 1, "", "en", None, 0), (n + 2, "é\n" * 3000, "fr", "s1", 9000)]
+
+
+def check_shards(rows, got, count, slack):
+    assert len(got) == len(rows)
+    size = {i: len((t or "").encode()) + 16 for i, t, *_ in rows}
+    by = defaultdict(list)
+    for r in got:
+        text = next(t for i, t, *_ in rows if i == r["doc_id"]) or ""
+        assert r["size"] == size[r["doc_id"]] and r["text_crc32"] == zlib.crc32(text.encode())
+        assert r["law"] == "bytes" and r["grown_shard"] is None and 0 <= r["shard"] < count
+        by[r["shard"]].append(r["slot"])
+    assert all(sorted(slots) == list(range(len(slots))) for slots in by.values())
+    sums = Counter()
+    for r in got:
+        sums[r["shard"]] += r["size"]
+    mean = sum(size.values()) / count
+    assert max(abs(sums[s] - mean) for s in range(count)) <= slack
+
+
+@pytest.mark.parametrize("piece", [1 << 20, 500])
+def test_shards_are_even_and_slots_gapless(spark, piece):
+    rows = corpus()
+    docs = spark.createDataFrame(rows, SCHEMA)
+    got = shard_documents(docs, shards=5, piece_bytes=piece).collect()
+    check_shards(rows, got, 5, slack=9100)
+    small = [r for r in rows if len(r[1] or "") < 1000]
+    got = shard_documents(spark.createDataFrame(small, SCHEMA), shards=5, piece_bytes=piece).collect()
+    check_shards(small, got, 5, slack=250)
+
+
+def test_sharding_is_repeatable_and_keeps_small_groups_together(spark):
+    rows = [(i, f"text {i // 4} " * 5, "en", "s", 0) for i in range(400)]
+    docs = spark.createDataFrame(rows, SCHEMA)
+    one, two = ({r["doc_id"]: (r["shard"], r["slot"]) for r in shard_documents(d, shards=4, tolerance=0.1).collect()}
+                for d in (docs, docs.repartition(7)))
+    assert one == two
+    homes = defaultdict(set)
+    for i, (shard, _) in one.items():
+        homes[i // 4].add(shard)
+    assert all(len(h) == 1 for h in homes.values())
+
+
+def test_shards_of_odd_tables(spark):
+    docs = spark.createDataFrame([], SCHEMA)
+    assert shard_documents(docs).count() == 0
+    extra = "doc_id bigint, text string, size string, _high int, Shard string"
+    rows = [(1, "a", "x", 1, "y")] * 6 + [(None, None, None, None, None)]
+    got = shard_documents(spark.createDataFrame(rows, extra), shards=3)
+    assert got.columns == ["doc_id", "text", "_high", "size", "text_crc32", "law", "shard", "slot", "grown_shard"]
+    assert got.count() == 7 and got.filter("_high = 1").count() == 6
+    few = shard_documents(spark.createDataFrame([(1, "abc")], "doc_id bigint, text string")).collect()
+    assert len(few) == 1 and few[0]["slot"] == 0
+
+
+def plain_targets(sizes, share=1.5, most=2.0):
+    order = sorted(sizes, key=lambda s: (s is None, s or ""))
+    weight = {s: (5, 2, 1)[i % 3] for i, s in enumerate(order)}
+    total = share * sum(sizes.values())
+    capped = {}
+    while True:
+        rest = [s for s in order if s not in capped]
+        left = total - sum(capped.values())
+        part = {s: left * weight[s] / sum(weight[x] for x in rest) for s in rest}
+        over = [s for s in rest if part[s] > most * sizes[s]]
+        if not over:
+            return capped | part
+        capped |= {s: most * sizes[s] for s in over}
+
+
+def words(text):
+    for c in "\t\n\x0b\x0c\r":
+        text = (text or "").replace(c, " ")
+    return len([w for w in text.split(" ") if w])
+
+
+def test_mix_meets_its_targets(spark, monkeypatch):
+    monkeypatch.setattr(mixing, "BUCKET_ROWS", 4)
+    rows = corpus()
+    docs = spark.createDataFrame(rows, SCHEMA)
+    got = mix_sources(docs).collect()
+    again = mix_sources(docs.repartition(5)).collect()
+    key = lambda r: r["doc_id"]
+    assert [(r["doc_id"], r["taken"]) for r in sorted(got, key=key)] == [(r["doc_id"], r["taken"]) for r in sorted(again, key=key)]
+    sizes = Counter()
+    for _, text, _, source, _ in rows:
+        sizes[source] += words(text)
+    want = plain_targets(sizes)
+    taken, largest = Counter(), Counter()
+    for r in got:
+        text, source = next((t, s) for i, t, _, s, _ in rows if i == r["doc_id"])
+        assert r["size"] == words(text) and r["source_size"] == sizes[source]
+        assert r["target"] == pytest.approx(want[source])
+        assert r["taken"] == r["copies"] * r["size"] and r["taken"] <= 2 * r["size"]
+        p = want[source] / sizes[source] if sizes[source] else 0
+        assert int(p) <= r["copies"] <= int(p) + 1
+        taken[source] += r["taken"]
+        largest[source] = max(largest[source], r["size"])
+    assert all(abs(taken[s] - want[s]) <= largest[s] / 2 + 1e-6 for s in sizes)
+
+
+def test_rounding_keeps_sums_and_is_fair(spark, monkeypatch):
+    monkeypatch.setattr(mixing, "BUCKET_ROWS", 3)
+    rng = random.Random(3)
+    items = [(s, rng.getrandbits(62), rng.randint(1, 50), rng.choice([0.3, 0.5, 0.9])) for s in (1, 2) for _ in range(150)]
+    items.append((3, 77, 9, 0.7))
+    table = spark.createDataFrame(items, "src_key bigint, key bigint, size bigint, part double")
+    got = {r["key"]: r["extra"] for r in pivotal_rounding(table).collect()}
+    assert set(got) == {k for _, k, _, _ in items} and set(got.values()) <= {0, 1} and got[77] == 1
+    for source in (1, 2):
+        own = [i for i in items if i[0] == source]
+        off = sum(size * (got[k] - part) for _, k, size, part in own)
+        assert abs(off) <= 25 + 1e-6
+        high = [got[k] for _, k, _, part in own if part == 0.9]
+        low = [got[k] for _, k, _, part in own if part == 0.3]
+        assert sum(high) / len(high) > 0.7 and sum(low) / len(low) < 0.5
+
+
+def test_mix_of_odd_tables(spark):
+    assert mix_sources(spark.createDataFrame([], SCHEMA)).count() == 0
+    blank = spark.createDataFrame([(1, None, None, None, None), (2, " \n", None, "a", 0)], SCHEMA)
+    assert {(r["size"], r["taken"], r["target"]) for r in mix_sources(blank).collect()} == {(0, 0, 0.0)}
+    rows = [(1, "a b c", "x", "s", 7)] * 10 + [(None, "a b", "x", "s", 8)] * 10
+    clash = spark.createDataFrame(rows, "doc_id bigint, text string, copies string, source string, target int")
+    got = mix_sources(clash)
+    assert got.columns == ["doc_id", "text", "source", "size", "source_size", "target", "copies", "taken"]
+    assert sum(r["taken"] for r in got.collect()) == 75
+    weights = spark.createDataFrame([("s", 1.0), (None, 1.0)], "source string, weight double")
+    assert sum(r["taken"] for r in mix_sources(clash, weights).collect()) == 75
+
+
+def test_targets_are_dealt_until_none_is_above(spark):
+    rows = [(i, "w " * n, "en", f"s{i}", 0) for i, n in enumerate([2000, 1, 3, 500, 40, 7, 900])]
+    sizes = {f"s{i}": n for i, n in enumerate([2000, 1, 3, 500, 40, 7, 900])}
+    got = {r["source"]: r["target"] for r in mix_sources(spark.createDataFrame(rows, SCHEMA)).collect()}
+    assert got == pytest.approx(plain_targets(sizes))
+    assert shards.SHARDS == 40
