@@ -54,7 +54,7 @@ def signatures(shingles: np.ndarray, bounds: np.ndarray) -> np.ndarray:
 
 def band_keys(signature: np.ndarray) -> np.ndarray:
     """A key per band, different bands never alike."""
-    rows = signature.reshape(len(signature), BANDS, -1).astype(np.uint64)
+    rows = signature.reshape(len(signature), BANDS, HASHES // BANDS).astype(np.uint64)
     keys = np.broadcast_to(np.arange(1, BANDS + 1, dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C15), rows.shape[:2])
     for k in range(rows.shape[2]):
         keys = mix(keys ^ rows[:, :, k]) + np.uint64(k)
