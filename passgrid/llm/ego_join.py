@@ -84,7 +84,7 @@ def _blocks(axes: dict[int, np.ndarray], rows: int) -> Callable[[Iterator[pa.Rec
         vectors = table["vector"].combine_chunks().flatten().to_numpy(zero_copy_only=False).astype(np.float64)
         return pa.RecordBatch.from_pydict({
             "group": [table["group"][0].as_py()],
-            "size": [size],
+            "size": pa.array([size], pa.int32()),
             "block": [int(table["cls"][0].as_py())],
             "low": [box.min(axis=0).tolist()],
             "high": [box.max(axis=0).tolist()],
