@@ -7,6 +7,7 @@ rows, the calibration on rows that the trees have not seen. Scoring is a project
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from dataclasses import dataclass
 
 from pyspark.ml.classification import GBTClassificationModel, GBTClassifier
@@ -44,30 +45,62 @@ FEATURES = [
     "words", "insults", "insult_density", "learned", "learned_density", "disguised", "disguised_density", "near_you",
     "you_density", "capitals", "shouted", "punctuation", "exclamations", "obfuscated", "spelled_out",
 ]
-_WORD = r"[\p{L}\p{N}](?:[\p{L}\p{N}@$!|*]*[\p{L}\p{N}])?"
-_MASKED = r"\p{L}[0-9@$!|*]+\p{L}"
+_NOT_WORD = r"[^\p{L}\p{N}]+"
+_MASKED = r"(\b\p{L}++[0-9@$!|*]+\p{L}[\p{L}0-9@$!|*]*)"
+NEAR_WORDS = 5
 
 
 def words_of(text: Column) -> Column:
-    return F.regexp_extract_all(F.lower(text), F.lit(f"({_WORD})"))
+    return F.split(F.lower(text), _NOT_WORD)
 
 
-def _features(text: str, words: str, lexicon: list[str]) -> dict[str, Column]:
-    text, words = quoted(text), quoted(words)
+def _near_you(words: Column, targets: list[str]) -> Column:
+    """Hits with a second person at most ``NEAR_WORDS`` words away."""
+    place = F.transform(
+        words, lambda w, i: F.when(w.isin(targets), i).when(w.isin(SECOND_PERSON), -1 - i).otherwise(F.lit(None))
+    )
+    places = F.filter(place, lambda i: i.isNotNull())
+    return _once(places, lambda own: F.size(F.filter(own, lambda i: (i >= 0) & F.exists(
+        own, lambda j: (j < 0) & (F.abs(i + j + 1) <= NEAR_WORDS)))))
+
+
+def _once(value: Column, f: Callable[[Column], Column]) -> Column:
+    """``f(value)`` with the value computed once, also where ``f`` uses it for each element of something."""
+    return F.transform(F.array(value), f)[0]
+
+
+def _with_counts(docs: DataFrame, text_col: str, lexicon: list[str]) -> tuple[DataFrame, dict[str, str]]:
+    """Adds what the features are made of: the text is read once for words, for capitals, for punctuation and for
+    disguised words, and only the few words found are looked at again."""
+    known = ["text", "words", "told", "caps", "marks", "masked", "near"]
+    name = dict(zip(known, fresh(docs, *[f"_{k}" for k in known])))
+    column = {k: quoted(v) for k, v in name.items()}
+    targets = sorted({*INSULTS, *lexicon})
+    told = F.filter(column["words"], lambda w: w.isin([*targets, *SECOND_PERSON]))
+    first = docs.withColumn(name["text"], F.coalesce(quoted(text_col).cast("string"), F.lit("")))
+    first = first.withColumn(name["words"], words_of(column["text"]))
+    first = first.withColumns({
+        name["told"]: told,
+        name["caps"]: F.regexp_extract_all(column["text"], F.lit(r"(\p{Lu}+)")),
+        name["marks"]: F.regexp_extract_all(column["text"], F.lit(r"([^\p{L}\p{N}\s]+)")),
+        name["masked"]: F.transform(
+            F.regexp_extract_all(F.lower(column["text"]), F.lit(_MASKED)), lambda w: F.translate(w, *LOOK_ALIKES)
+        ),
+    })
+    hit = F.exists(column["told"], lambda w: w.isin(targets))
+    return first.withColumn(name["near"], F.when(hit, _near_you(column["words"], targets)).otherwise(0)), name
+
+
+def _features(name: dict[str, str], lexicon: list[str]) -> dict[str, Column]:
+    text, words, told, caps, marks, masked, near = (quoted(name[k]) for k in name)
     n = F.greatest(F.size(words), F.lit(1)).cast("double")
     chars = F.greatest(F.length(text), F.lit(1)).cast("double")
 
     def hits(among: Column, of: list[str]) -> Column:
         return (F.size(F.filter(among, lambda w: w.isin(of))) if of else F.lit(0)).cast("double")
 
-    insults, learned = hits(words, INSULTS), hits(words, lexicon)
-    masked = F.filter(words, lambda w: w.rlike(_MASKED))
-    plain = F.transform(masked, lambda w: F.translate(w, *LOOK_ALIKES))
-    disguised = hits(plain, sorted({*INSULTS, *lexicon}))
-    targets = "|".join(sorted({*INSULTS, *lexicon}))
-    you = "|".join(SECOND_PERSON)
-    gap = r"\P{L}+(?:\p{L}+\P{L}+){0,4}"
-    near = f"(?iu)\\b(?:{you})\\b{gap}(?:{targets})\\b|\\b(?:{targets})\\b{gap}(?:{you})\\b"
+    insults, learned = hits(told, INSULTS), hits(told, lexicon)
+    disguised = hits(masked, sorted({*INSULTS, *lexicon}))
     return {
         "words": F.log1p(n),
         "insults": F.log1p(insults),
@@ -76,15 +109,14 @@ def _features(text: str, words: str, lexicon: list[str]) -> dict[str, Column]:
         "learned_density": learned / n,
         "disguised": F.log1p(disguised),
         "disguised_density": disguised / n,
-        # Only texts with a hit are searched again.
-        "near_you": F.when(insults + learned > 0, F.regexp_count(text, F.lit(near))).otherwise(0) / n,
-        "you_density": hits(words, SECOND_PERSON) / n,
-        "capitals": F.regexp_count(text, F.lit(r"\p{Lu}")) / chars,
-        "shouted": F.regexp_count(text, F.lit(r"\b\p{Lu}{3,}\b")) / n,
-        "punctuation": F.regexp_count(text, F.lit(r"[^\p{L}\p{N}\s]")) / chars,
-        "exclamations": F.regexp_count(text, F.lit("[!?]{2,}")) / n,
+        "near_you": near / n,
+        "you_density": hits(told, SECOND_PERSON) / n,
+        "capitals": F.length(F.array_join(caps, "")) / chars,
+        "shouted": F.size(F.filter(caps, lambda w: F.length(w) > 2)) / n,
+        "punctuation": F.length(F.array_join(marks, "")) / chars,
+        "exclamations": F.size(F.filter(marks, lambda w: w.rlike("[!?]{2,}"))) / n,
         "obfuscated": F.size(masked) / n,
-        "spelled_out": F.regexp_count(text, F.lit(r"(?:\b\p{L}[ .*_-]){4,}")) / n,
+        "spelled_out": F.regexp_count(text, F.lit(r"(?:[ .*_-]\p{L}){3,}[ .*_-]")) / n,
     }
 
 
@@ -99,11 +131,9 @@ class ToxicityModel:
 
 
 def _with_features(docs: DataFrame, text_col: str, lexicon: list[str], vector: str) -> DataFrame:
-    text, words = fresh(docs, "_text", "_words")
-    named = docs.withColumn(text, F.coalesce(quoted(text_col).cast("string"), F.lit("")))
-    named = named.withColumn(words, words_of(quoted(text)))
+    named, name = _with_counts(docs, text_col, lexicon)
     names = dict(zip(FEATURES, fresh(named, *[f"_f_{f}" for f in FEATURES])))
-    values = _features(text, words, lexicon)
+    values = _features(name, lexicon)
     named = named.select(
         *[quoted(c) for c in docs.columns], *[values[f].cast("double").alias(names[f]) for f in FEATURES]
     )
