@@ -21,11 +21,20 @@ from passgrid.operators.enrich import enrich_passes, pass_detail
 from passgrid.operators.filters import filter_essential
 from passgrid.operators.stats import with_pass_watermark
 from passgrid.plans.traffic import clean_passes
-from passgrid.session import shared_dir
+from passgrid.session import shared_dir, stage
 from passgrid.settings import DETAIL_SCHEMA
 from passgrid.sources.records import archived_records, text_records
 from passgrid.sources.stations import default_stations
-from passgrid.live.queries import file_writer, start_alerts, start_detail, start_stats, stats_stream
+from passgrid.sinks.files import read_latest
+from passgrid.live.queries import (
+    file_writer,
+    start_alerts,
+    start_detail,
+    start_rejects,
+    start_stats,
+    start_stats_upsert,
+    stats_stream,
+)
 
 SLICES = 3
 FLUSH_STATION = 999
@@ -129,7 +138,7 @@ def watermark_passes(spark, sf):
 def stream_station_stats(spark, sf):
     """Statistics of deduplicated detail rows that arrive in order."""
     base = shared_dir(spark, "stats")
-    clean = clean_passes(fx.passes(spark, sf))
+    clean = stage(clean_passes(fx.passes(spark, sf)).drop("tags"), "clean")
     detail = pass_detail(clean, created_at=F.col("ingest_time")).withColumn("arrival_seq", F.unix_seconds("gcsj"))
     arrivals = _slices(detail.withColumn("arrival_seq", F.col("arrival_seq") - fx.T0 // 1_000_000))
     arrivals = [a.drop("arrival_seq") for a in [*arrivals, _flush(detail)]]
@@ -178,6 +187,29 @@ def stream_traffic_stats(spark, sf):
     return plain_time(_read(spark, f"{_traffic(spark, sf)}/stats"))
 
 
+def stream_upsert_stats(spark, sf):
+    """Live statistics as loads of a keyed table, read back by their keys."""
+    base = shared_dir(spark, "stream-upsert")
+    records = fx.records(spark, sf)
+    _run(
+        spark, [*_slices(records), _flush_record(records)], f"{base}/in",
+        lambda: start_detail(archived_records(spark, f"{base}/in"), base, f"{base}/checkpoint", available_now=True),
+        lambda: start_stats_upsert(spark, base, f"{base}/checkpoint", available_now=True),
+    )
+    rows = read_latest(spark, f"{base}/stats_loads").filter(F.col("station_id") != FLUSH_STATION)
+    return plain_time(rows.drop("shard"))
+
+
+def stream_rejects(spark, sf):
+    """Messages that the live clone job leaves out, by reason."""
+    base = shared_dir(spark, "stream-rejects")
+    _run(
+        spark, _slices(fx.records(spark, sf), 2), f"{base}/in",
+        lambda: start_rejects(archived_records(spark, f"{base}/in"), base, f"{base}/checkpoint", available_now=True),
+    )
+    return spark.read.parquet(f"{base}/rejects").groupBy("reject").agg(F.count("*").alias("messages"))
+
+
 def stream_clone_alerts(spark, sf):
     base = shared_dir(spark, "stream-clones")
     stations = default_stations(spark)
@@ -226,5 +258,7 @@ QUERIES = {
     "stream_dedup_passes": stream_dedup_passes,
     "stream_traffic_detail": stream_traffic_detail,
     "stream_traffic_stats": stream_traffic_stats,
+    "stream_upsert_stats": stream_upsert_stats,
+    "stream_rejects": stream_rejects,
     "stream_clone_alerts": stream_clone_alerts,
 }

@@ -31,7 +31,8 @@ def implied_speed_kmh(distance_km: Column, gap_sec: Column) -> Column:
 
 
 def is_overspeed(speed_kmh: Column, max_speed_kmh: float) -> Column:
-    return speed_kmh > F.lit(float(max_speed_kmh))
+    """NaN, from a coordinate that is no number, is no speed."""
+    return (speed_kmh > F.lit(float(max_speed_kmh))) & ~F.isnan(speed_kmh)
 
 
 def clone_confidence(speed_kmh: Column, max_speed_kmh: float) -> Column:

@@ -25,14 +25,16 @@ from passgrid.operators.pairs import plate_pairs
 from passgrid.operators.shard import shard_by_station
 from passgrid.operators.stats import station_stats, stats_rows, with_pass_watermark
 from passgrid.plans.clones import locate_passes, score_pairs
+from passgrid.sinks.files import load_batches
 from passgrid.settings import DETAIL_SCHEMA, CloneSettings, TrafficSettings
-from passgrid.sources.passes import decode_passes, decode_passes_narrow
+from passgrid.sources.passes import decode_passes, decode_passes_narrow, marked_narrow
 
 
-def detail_stream(records: DataFrame, settings: TrafficSettings = TrafficSettings()) -> DataFrame:
-    """Records to detail rows: decode, filter, enrich, dedup on the ingest clock."""
+def detail_stream(records: DataFrame, settings: TrafficSettings = TrafficSettings(),
+                  clock: str | None = None) -> DataFrame:
+    """Records to detail rows: decode, filter, enrich, dedup; ``clock`` as in :func:`stream_dedup_passes`."""
     passes = filter_essential(decode_passes(records, keep=["ingest_time"]))
-    deduped = stream_dedup_passes(enrich_passes(passes), hours=settings.dedup_hours)
+    deduped = stream_dedup_passes(enrich_passes(passes), hours=settings.dedup_hours, clock=clock)
     return shard_by_station(pass_detail(deduped), settings.shards)
 
 
@@ -43,30 +45,44 @@ def stats_stream(detail: DataFrame, settings: TrafficSettings = TrafficSettings(
 
 
 def alert_stream(records: DataFrame, stations: DataFrame, settings: CloneSettings = CloneSettings(),
-                 hot_plates: DataFrame | None = None) -> DataFrame:
+                 hot_plates: DataFrame | None = None, *, ingest_clock: bool = False) -> DataFrame:
     """Records to alerts, through a stream-stream join of the passes with themselves.
 
-    The watermark delay is that of the history, not of the statistics: the check has to see passes out of order.
-    ``hot_plates`` (``hphm, splits``) spreads plates known to be busy over several state partitions; it must not change
+    State is kept by when a pass was seen, for ``retention_s``; the passes' own times only make pairs, so neither a clock
+    in the future nor passes hours behind the others lose an alert. Seen means the time of the trigger, or with
+    ``ingest_clock``, for replays at many times the original speed, the ingest time if that is earlier; there a pass
+    more than ``watermark_delay`` behind the newest is lost. ``hot_plates`` (``hphm, splits``) spreads plates known to be busy over several state partitions; it must not change
     while the query keeps its checkpoint.
     """
     keep = ["arrival_seq"] if "arrival_seq" in records.columns else []
     order_col = "arrival_seq" if keep else "gcsj"
-    located = locate_passes(decode_passes_narrow(records, keep=keep), stations, order_col=order_col)
+    now = F.current_timestamp()
+    seen = F.least(F.coalesce("ingest_time", now), now) if ingest_clock else now
+    passes = decode_passes_narrow(records, keep=[*keep, "ingest_time"]).withColumn("seen", seen)
+    located = locate_passes(passes, stations, order_col=order_col, keep=["seen"])
     pairs = plate_pairs(
-        with_pass_watermark(located, settings.watermark_delay),
+        located.withWatermark("seen", settings.watermark_delay),
         horizon_s=settings.horizon_s,
         min_gap_s=settings.min_gap_s,
         order_col=order_col,
         carry=["lat", "lon", "mask"],
         splits=hot_plates,
+        retention_s=settings.retention_s,
     )
     alerts = score_pairs(pairs, settings.max_speed_kmh).withColumn("created_at", F.current_timestamp())
     return shard_by_station(alerts, settings.shards)
 
 
+def reject_stream(records: DataFrame) -> DataFrame:
+    """The messages that the clone job leaves out, bad times included, each with the reason."""
+    return marked_narrow(records, keep=["ingest_time"]).filter("reject is not null").select(
+        "ingest_time", "value", "reject"
+    )
+
+
 def read_detail_stream(spark: SparkSession, path: str) -> DataFrame:
-    """The detail table as a stream. Each trigger takes all that was committed since, so never part of a batch."""
+    """The detail table as a stream. Each trigger takes all that was committed since, so never part of a batch. To start
+    on a table with a long past, give a new query a folder that holds only the days wanted."""
     schema = T.StructType([*DETAIL_SCHEMA.fields, T.StructField("shard", T.IntegerType())])
     return spark.readStream.schema(schema).parquet(path).drop("shard")
 
@@ -85,14 +101,10 @@ def file_writer(df: DataFrame, path: str, checkpoint: str, *, available_now: boo
 
 
 def batch_writer(df: DataFrame, write: Callable[[DataFrame, int], None], checkpoint: str, *,
-                 trigger: str = "30 seconds") -> DataStreamWriter:
-    """Micro-batches into relational tables, through ``jdbc_batches`` or ``row_batches`` of the sinks."""
-    return (
-        df.writeStream.foreachBatch(write)
-        .option("checkpointLocation", checkpoint)
-        .outputMode("append")
-        .trigger(processingTime=trigger)
-    )
+                 available_now: bool = False, trigger: str = "30 seconds") -> DataStreamWriter:
+    """Micro-batches through ``load_batches``, ``jdbc_batches`` or ``row_batches`` of the sinks."""
+    writer = df.writeStream.foreachBatch(write).option("checkpointLocation", checkpoint).outputMode("append")
+    return writer.trigger(availableNow=True) if available_now else writer.trigger(processingTime=trigger)
 
 
 def start_traffic(records: DataFrame, out: str, checkpoint: str, settings: TrafficSettings = TrafficSettings(),
@@ -105,8 +117,9 @@ def start_traffic(records: DataFrame, out: str, checkpoint: str, settings: Traff
 
 
 def start_detail(records: DataFrame, out: str, checkpoint: str, settings: TrafficSettings = TrafficSettings(),
-                 **trigger) -> StreamingQuery:
-    return file_writer(detail_stream(records, settings), f"{out}/detail", f"{checkpoint}/detail", **trigger).start()
+                 clock: str | None = None, **trigger) -> StreamingQuery:
+    detail = detail_stream(records, settings, clock)
+    return file_writer(detail, f"{out}/detail", f"{checkpoint}/detail", **trigger).start()
 
 
 def start_stats(spark: SparkSession, out: str, checkpoint: str, settings: TrafficSettings = TrafficSettings(),
@@ -115,8 +128,21 @@ def start_stats(spark: SparkSession, out: str, checkpoint: str, settings: Traffi
     return file_writer(stats_stream(detail, settings), f"{out}/stats", f"{checkpoint}/stats", **trigger).start()
 
 
+def start_stats_upsert(spark: SparkSession, out: str, checkpoint: str, settings: TrafficSettings = TrafficSettings(),
+                       **trigger) -> StreamingQuery:
+    """Statistics by key: each micro-batch is a load of ``out/stats_loads``, to be read with ``read_latest``."""
+    stats = stats_stream(read_detail_stream(spark, f"{out}/detail"), settings)
+    return batch_writer(stats, load_batches(f"{out}/stats_loads"), f"{checkpoint}/stats_loads", **trigger).start()
+
+
+def start_rejects(records: DataFrame, out: str, checkpoint: str, **trigger) -> StreamingQuery:
+    """Write ``out/rejects``, in a query of its own."""
+    rejects = reject_stream(records).withColumn("shard", F.lit(0))
+    return file_writer(rejects, f"{out}/rejects", f"{checkpoint}/rejects", **trigger).start()
+
+
 def start_alerts(records: DataFrame, stations: DataFrame, out: str, checkpoint: str,
                  settings: CloneSettings = CloneSettings(), hot_plates: DataFrame | None = None,
-                 **trigger) -> StreamingQuery:
-    alerts = alert_stream(records, stations, settings, hot_plates)
+                 ingest_clock: bool = False, **trigger) -> StreamingQuery:
+    alerts = alert_stream(records, stations, settings, hot_plates, ingest_clock=ingest_clock)
     return file_writer(alerts, f"{out}/alerts", f"{checkpoint}/alerts", **trigger).start()

@@ -2,24 +2,50 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable, Iterator
+
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-from passgrid.operators.dimension import join_dimension
 from passgrid.operators.enrich import add_dedup_key
-from passgrid.session import stage
 
 
-def first_per_key(df: DataFrame, key: str, order_col: str) -> DataFrame:
+def first_per_key(df: DataFrame, key: str, *order: str) -> DataFrame:
     """The first row of each key. The rank filter also runs before the shuffle (window group limit), so a key with a
     third of all rows sends one row per input partition."""
-    by_arrival = Window.partitionBy(key).orderBy(order_col)
+    by_arrival = Window.partitionBy(key).orderBy(*order)
     return df.withColumn("_rank", F.row_number().over(by_arrival)).filter(F.col("_rank") == 1).drop("_rank")
 
 
 def dedup_passes(passes: DataFrame, *, order_col: str = "arrival_seq") -> DataFrame:
-    """Batch: first arrival per dedup key over the whole input, as a replay within the retention time gives."""
-    return first_per_key(add_dedup_key(passes), "dedup_key", order_col).drop("dedup_key")
+    """Batch: the first pass per dedup key over the whole input, as if no key were ever forgotten. First by the ingest
+    clock, where the passes have one, then by ``order_col``; passes without a time come first."""
+    order = [c for c in ("ingest_time", order_col) if c in passes.columns]
+    return first_per_key(add_dedup_key(passes), "dedup_key", *order).drop("dedup_key")
+
+
+def _spaced(key: str, clock: str, hours: float) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
+    """Of rows sorted by key and clock, those at least ``hours`` after the last one kept of their key."""
+    life = int(hours * 3_600_000_000)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held, until, untimed = None, 0, False
+        for batch in batches:
+            times = batch.column(clock).cast(pa.timestamp("us", "UTC")).cast(pa.int64()).to_pylist()
+            keep = np.zeros(len(times), bool)
+            for i, (own, at) in enumerate(zip(batch.column(key).to_pylist(), times)):
+                if own != held:
+                    held, until, untimed = own, None, False
+                if at is None:
+                    keep[i], untimed = not untimed, True
+                elif until is None or at >= until:
+                    keep[i], until = True, at + life
+            yield batch.filter(pa.array(keep))
+
+    return run
 
 
 def dedup_passes_ttl(
@@ -32,50 +58,31 @@ def dedup_passes_ttl(
     """Batch: as :func:`dedup_passes`, but a key is forgotten ``hours`` after the row kept for it, so a later arrival is
     kept again.
 
-    Keys whose arrivals all lie within the retention time, nearly all of them, are settled in one step. The others take
-    one round per retained arrival: the first remaining row of each key is kept, rows within the retention time of it
-    go. Rounds work on three narrow columns, combine before the shuffle, and hand over through the shared folder.
+    One shuffle by key; each partition is sorted by key, clock and ``order_col`` and passed through once, remembering the
+    last time kept. Before it, rows that fall on one microsecond of their key are reduced to the first where they are
+    read. Passes without a time come first: the first of them per key is kept and prolongs nothing.
     """
     keyed = add_dedup_key(passes)
-    ttl = F.expr(f"make_dt_interval(0, 0, 0, {int(hours * 3600)})")
-    rows = keyed.select("dedup_key", F.col(clock).alias("_clock"), F.col(order_col).alias("_seq"))
-    returning = stage(
-        rows.groupBy("dedup_key")
-        .agg(F.min("_clock").alias("_from"), F.max("_clock").alias("_to"))
-        .filter(F.col("_to") >= F.col("_from") + ttl)
-        .select("dedup_key", F.lit(True).alias("_returning")),
-        "returning",
-    )
-    if returning.isEmpty():
-        return first_per_key(keyed, "dedup_key", order_col).drop("dedup_key")
-
-    left = stage(join_dimension(rows, returning, "dedup_key").drop("_returning"), "rows")
-    heads = None
-    while not left.isEmpty():
-        first = left.groupBy("dedup_key").agg(F.min(F.struct("_clock", "_seq")).alias("_head"))
-        kept = stage(first.select("dedup_key", F.col("_head._clock").alias("_from"), "_head._seq"), "heads")
-        heads = kept if heads is None else heads.unionByName(kept)
-        after = join_dimension(left, kept.drop("_seq"), "dedup_key")
-        left = stage(after.filter(F.col("_clock") >= F.col("_from") + ttl).drop("_from"), "rows")
-
-    marked = join_dimension(keyed, returning, "dedup_key", how="left")
-    settled = first_per_key(marked.filter(F.col("_returning").isNull()), "dedup_key", order_col)
-    keep = heads.select("dedup_key", F.col("_seq").alias(order_col))
-    again = join_dimension(marked.filter(F.col("_returning")), keep, ["dedup_key", order_col])
-    return settled.unionByName(again).drop("dedup_key", "_returning")
-
-
-def stream_dedup_passes(passes: DataFrame, *, hours: int = 24, clock: str = "ingest_time") -> DataFrame:
-    """Streaming: first arrival per dedup key, remembered for ``hours`` on the ingest clock.
+    alike = Window.partitionBy("dedup_key", clock).orderBy(order_col)
+    fewer = keyed.withColumn("_rank", F.row_number().over(alike)).filter("_rank = 1").drop("_rank")
+    ordered = fewer.repartition("dedup_key").sortWithinPartitions("dedup_key", clock, order_col)
+    schema = T.StructType([T.StructField(f.name, f.dataType) for f in ordered.schema.fields])
+    return ordered.mapInArrow(_spaced("dedup_key", clock, hours), schema).drop("dedup_key")
+
+
+def stream_dedup_passes(passes: DataFrame, *, hours: int = 24, clock: str | None = None) -> DataFrame:
+    """Live: first arrival per dedup key, remembered for ``hours``; duplicates do not prolong.
+
+    By default the clock is the time of the trigger, so no pass is ever late, whatever its own times say. ``clock`` names
+    a column instead, such as the ingest time for a replay at many times the original speed; rows whose clock trails the
+    newest one by more than half the time are then lost, and counted in ``numRowsDroppedByWatermark``.
 
     Spark drops a key once the watermark passes first sight + delay, and the watermark trails the newest row by the
-    same delay, so a delay of half the time forgets a key exactly ``hours`` after first sight. Rows whose *ingest* time
-    trails the newest one by more than that half are late; event times may be any age. Duplicates do not prolong.
+    same delay, so a delay of half the time forgets a key ``hours`` after first sight.
     """
     half = f"{hours * 1800} seconds"
-    return (
-        add_dedup_key(passes)
-        .withWatermark(clock, half)
-        .dropDuplicatesWithinWatermark(["dedup_key"])
-        .drop("dedup_key")
-    )
+    keyed = add_dedup_key(passes)
+    if clock is None:
+        keyed, clock = keyed.withColumn("_seen", F.current_timestamp()), "_seen"
+    kept = keyed.withWatermark(clock, half).dropDuplicatesWithinWatermark(["dedup_key"])
+    return kept.drop("dedup_key", "_seen")

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 BROADCAST_ROWS = 500_000
 BROADCAST_BYTES = 64 * 1024 * 1024
-SALTS = 64
+KINDS = ("inner", "left", "left_semi", "left_anti")
 
 
 def fits_broadcast(dim: DataFrame, max_rows: int = BROADCAST_ROWS, max_bytes: int = BROADCAST_BYTES) -> bool:
@@ -32,17 +32,16 @@ def join_dimension(
     how: str = "inner",
     max_rows: int = BROADCAST_ROWS,
     max_bytes: int = BROADCAST_BYTES,
-    salts: int = SALTS,
 ) -> DataFrame:
-    """Equi-join with a dimension holding one row per key (a column or several).
+    """Equi-join (inner, left, left_semi or left_anti) with a dimension; ``key`` is a column or several.
 
-    A dimension of checked size is broadcast. A larger one is shuffled, with the facts of each key spread over
-    ``salts`` partitions and the dimension copied to each of them, so a hot key does not fill one task.
+    A dimension of checked size is broadcast, a larger one shuffled. There the facts of a hot key are split over several
+    tasks by the adaptive skew join, which the allowed kinds all permit. The result is the same either way; a key on
+    several rows of the dimension joins each of them.
     """
+    if how not in KINDS:
+        raise ValueError(f"how must be one of {KINDS}, not {how!r}")
     keys = [key] if isinstance(key, str) else list(key)
     if fits_broadcast(dim, max_rows, max_bytes):
         return facts.join(F.broadcast(dim), keys, how)
-    plain = [f.name for f in facts.schema.fields if f.dataType.typeName() not in ("map", "variant")]
-    salted_facts = facts.withColumn("_salt", F.pmod(F.xxhash64(*plain), F.lit(salts)).cast("int"))
-    salted_dim = dim.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))))
-    return salted_facts.join(salted_dim, [*keys, "_salt"], how).drop("_salt")
+    return facts.join(dim.hint("merge"), keys, how)

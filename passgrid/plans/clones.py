@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -15,6 +17,7 @@ from passgrid.operators.shard import shard_by_station
 from passgrid.session import stage
 from passgrid.settings import CloneSettings
 from passgrid.sinks.files import write_sharded
+from passgrid.sources.passes import split_narrow
 
 
 def join_station(passes: DataFrame, stations: DataFrame, **join) -> DataFrame:
@@ -23,11 +26,13 @@ def join_station(passes: DataFrame, stations: DataFrame, **join) -> DataFrame:
     return join_dimension(passes, located, "station_id", how="inner", **join)
 
 
-def locate_passes(passes: DataFrame, stations: DataFrame, *, order_col: str = "arrival_seq") -> DataFrame:
-    """What the pair join needs of each usable pass and no more: plate, station, time, order, coordinates, mask."""
+def locate_passes(passes: DataFrame, stations: DataFrame, *, order_col: str = "arrival_seq",
+                  keep: Sequence[str] = ()) -> DataFrame:
+    """What the pair join needs of each usable pass and no more: plate, station, time, order, coordinates, mask; and the
+    columns of ``keep``."""
     usable = filter_plate_present(filter_essential(passes))
     mask = mask_plate(F.col("hphm_mask"), F.col("hphm"), blank_is_absent=True)
-    columns = list(dict.fromkeys(["hphm", "station_id", "gcsj", order_col]))
+    columns = list(dict.fromkeys(["hphm", "station_id", "gcsj", order_col, *keep]))
     return join_station(usable.select(*columns, mask.alias("mask")), stations)
 
 
@@ -87,10 +92,19 @@ def clone_alerts(
     return score_pairs(pairs, settings.max_speed_kmh)
 
 
+def run_clone_records(records: DataFrame, stations: DataFrame, out: str,
+                      settings: CloneSettings = CloneSettings()) -> DataFrame:
+    """From messages, with ``arrival_seq``: write ``out/rejects`` and ``out/alerts`` after one parse."""
+    passes, rejects = split_narrow(records, keep=["arrival_seq"])
+    rejects.write.parquet(f"{out}/rejects")
+    return run_clones(passes, stations, out, settings)
+
+
 def run_clones(passes: DataFrame, stations: DataFrame, out: str, settings: CloneSettings = CloneSettings(),
                order_col: str = "arrival_seq") -> DataFrame:
     """Write ``out/alerts``."""
     alerts = clone_alerts(passes, stations, settings, order_col=order_col)
     alerts = alerts.withColumn("created_at", F.current_timestamp())
-    write_sharded(shard_by_station(alerts, settings.shards), f"{out}/alerts", order=["hphm_mask"])
-    return passes.sparkSession.read.parquet(f"{out}/alerts")
+    alerts = shard_by_station(alerts, settings.shards)
+    write_sharded(alerts, f"{out}/alerts", order=["hphm_mask"])
+    return passes.sparkSession.read.schema(alerts.schema).parquet(f"{out}/alerts")

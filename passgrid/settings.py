@@ -78,6 +78,8 @@ class CloneSettings:
     max_speed_kmh: float = 140.0
     min_gap_s: int = 20
     horizon_s: int = 2700
-    # The stream join forgets passes this far behind the newest one.
+    # The live join forgets a pass so long after it was seen: the horizon and as much delay again.
+    retention_s: int = 5400
+    # On the ingest clock, a pass this far behind the newest one is lost.
     watermark_delay: str = "45 minutes"
     shards: int = 2

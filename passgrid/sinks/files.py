@@ -1,15 +1,19 @@
 """Sharded Parquet tables.
 
-Loads are kept apart by ``load_id``. Writing a load again replaces it, so a replayed batch adds nothing; readers of a
-keyed table take the latest load per key. Nothing is rewritten in place, so readers never see half a load.
+A table of loads keeps each attempt to write a load in a folder of its own and then commits it by one small file, which
+replaces that of an earlier attempt. Readers honour committed attempts only, so they never see half a load, a load
+written again replaces the whole of its old self, and a replayed batch adds nothing.
 """
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+import json
+import uuid
+from collections.abc import Callable, Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from passgrid.operators.merge import STATS_KEY, latest_per_key
 
@@ -35,29 +39,61 @@ def write_sharded(df: DataFrame, path: str, *, time_col: str | None = None, orde
     )
 
 
+def _put(spark: SparkSession, path: str, text: str) -> None:
+    """Write a small file in one step: readers see the old one or the new one."""
+    jvm = spark.sparkContext._jvm
+    place, part = jvm.org.apache.hadoop.fs.Path(path), jvm.org.apache.hadoop.fs.Path(f"{path}.{uuid.uuid4().hex}._new")
+    files = jvm.org.apache.hadoop.fs.FileContext.getFileContext(place.toUri(), spark.sparkContext._jsc.hadoopConfiguration())
+    options = spark.sparkContext._gateway.new_array(jvm.org.apache.hadoop.fs.Options.Rename, 1)
+    options[0] = jvm.org.apache.hadoop.fs.Options.Rename.OVERWRITE
+    place.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).mkdirs(place.getParent())
+    stream = part.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).create(part, True)
+    stream.write(text.encode())
+    stream.close()
+    files.rename(part, place, options)
+
+
 def append_load(df: DataFrame, path: str, load_id: int) -> None:
-    """Add one load. The same id again replaces that load only."""
-    (
-        df.withColumn("load_id", F.lit(load_id).cast("bigint"))
-        .write.partitionBy("load_id", "shard")
-        .mode("overwrite")
-        .option("partitionOverwriteMode", "dynamic")
-        .parquet(path)
-    )
+    """Add one load; ``df`` has a column ``shard``. The same id again replaces that load as a whole, also by fewer shards
+    or by no rows."""
+    attempt = uuid.uuid4().hex
+    df.write.partitionBy("shard").parquet(f"{path}/loads/load_id={load_id}/attempt={attempt}")
+    _put(df.sparkSession, f"{path}/commits/{load_id}.json",
+         json.dumps({"load_id": load_id, "attempt": attempt, "columns": df.schema.json()}) + "\n")
+
+
+def _committed(spark: SparkSession, path: str, up_to: int | None = None) -> DataFrame:
+    """Rows of committed attempts, with ``load_id``."""
+    commits = spark.read.schema("load_id bigint, attempt string, columns string").json(f"{path}/commits/*.json")
+    columns = T.StructType.fromJson(json.loads(commits.select(F.max_by("columns", "load_id")).first()[0]))
+    parts = [T.StructField("load_id", T.LongType()), T.StructField("attempt", T.StringType())]
+    rows = spark.read.schema(T.StructType([*columns.fields, *parts])).parquet(f"{path}/loads")
+    valid = commits.select("load_id", "attempt")
+    if up_to is not None:
+        rows, valid = rows.filter(F.col("load_id") <= up_to), valid.filter(F.col("load_id") <= up_to)
+    return rows.join(valid, ["load_id", "attempt"], "left_semi").select("load_id", *columns.names)
 
 
 def read_loads(spark: SparkSession, path: str) -> DataFrame:
-    """All rows of an append table."""
-    return spark.read.parquet(path).drop("load_id")
+    """All rows of a table of loads."""
+    return _committed(spark, path).drop("load_id")
 
 
 def read_latest(spark: SparkSession, path: str, keys: Sequence[str] = STATS_KEY) -> DataFrame:
     """A keyed table after all loads: the latest row per key."""
-    return latest_per_key(spark.read.parquet(path), keys, "load_id").drop("load_id")
+    return latest_per_key(_committed(spark, path), keys, "load_id").drop("load_id")
 
 
 def compact_loads(spark: SparkSession, path: str, out: str, *, up_to: int,
                   keys: Sequence[str] = STATS_KEY) -> None:
     """Merge the loads up to an id into one load at ``out``, to which later loads can be added."""
-    loads = spark.read.parquet(path).filter(F.col("load_id") <= up_to)
-    append_load(latest_per_key(loads, keys, "load_id").drop("load_id"), out, up_to)
+    append_load(latest_per_key(_committed(spark, path, up_to), keys, "load_id").drop("load_id"), out, up_to)
+
+
+def load_batches(path: str) -> Callable[[DataFrame, int], None]:
+    """For ``foreachBatch``: each micro-batch as a load under its number; a replayed one replaces itself."""
+
+    def write(batch: DataFrame, batch_id: int) -> None:
+        append_load(batch, path, batch_id)
+
+    return write

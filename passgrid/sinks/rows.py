@@ -54,8 +54,9 @@ def upsert_statement(table: str, columns: Sequence[str], keys: Sequence[str], ma
 
 
 def write_rows(df: DataFrame, connect: Callable[[], Any], statement: str, columns: Sequence[str], *,
-               batch_size: int = TrafficSettings.batch_size) -> None:
-    """Run ``statement`` for every row, each task over its own DB-API connection, committing per batch.
+               batch_size: int = TrafficSettings.batch_size, connections: int = 32) -> None:
+    """Run ``statement`` for every row, each task over its own DB-API connection, committing per batch; at most
+    ``connections`` tasks write.
 
     Delivery is at least once, as a task may be repeated; an upsert statement makes repeats harmless.
     """
@@ -74,7 +75,7 @@ def write_rows(df: DataFrame, connect: Callable[[], Any], statement: str, column
             if connection is not None:
                 connection.close()
 
-    df.select(*columns).foreachPartition(write_partition)
+    df.select(*columns).coalesce(connections).foreachPartition(write_partition)
 
 
 def jdbc_batches(options: dict[str, str], columns: Sequence[str]) -> Callable[[DataFrame, int], None]:
@@ -87,10 +88,11 @@ def jdbc_batches(options: dict[str, str], columns: Sequence[str]) -> Callable[[D
 
 
 def row_batches(connect: Callable[[], Any], statement: str, columns: Sequence[str], *,
-                batch_size: int = TrafficSettings.batch_size) -> Callable[[DataFrame, int], None]:
+                batch_size: int = TrafficSettings.batch_size,
+                connections: int = 32) -> Callable[[DataFrame, int], None]:
     """For ``foreachBatch``: run a statement for each row; with an upsert, a replayed batch changes nothing."""
 
     def write(batch: DataFrame, batch_id: int) -> None:
-        write_rows(batch, connect, statement, columns, batch_size=batch_size)
+        write_rows(batch, connect, statement, columns, batch_size=batch_size, connections=connections)
 
     return write

@@ -26,8 +26,9 @@ def dictionary_value(dictionary: DataFrame, field: str) -> DataFrame:
     return dictionary.filter(F.col("field") == field).groupBy("key").agg(F.max("value").alias("value"))
 
 
-def lookup_value(df: DataFrame, dictionary: DataFrame, *, key: str, field: str, into: str, **join) -> DataFrame:
-    """Add the value of ``field`` under ``df[key]`` as column ``into``; NULL when the dictionary has none."""
+def lookup_value(df: DataFrame, dictionary: DataFrame, *, key: str, field: str = "", into: str, **join) -> DataFrame:
+    """Add the value of ``field`` under ``df[key]`` as column ``into``; NULL when the dictionary has none. A plain value,
+    one under the key itself, has the empty field."""
     values = dictionary_value(dictionary, field).select(F.col("key").alias(key), F.col("value").alias(into))
     return join_dimension(df, values, key, how="left", **join)
 

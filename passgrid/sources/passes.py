@@ -10,6 +10,7 @@ from pyspark.sql import types as T
 
 from passgrid.functions.json import STRICT_JSON, lenient_number
 from passgrid.functions.time import parse_instant
+from passgrid.session import stage
 from passgrid.settings import NARROW_FIELDS, PASS_FIELDS, PASS_TYPES
 
 _BAD = "_undecodable"
@@ -36,9 +37,18 @@ def _parsed(records: DataFrame, fields: Sequence[str], keep: Sequence[str]) -> D
 
 def _decode(records: DataFrame, fields: Sequence[str], ingest_time: Column, keep: Sequence[str],
             drop_bad_time: bool) -> DataFrame:
+    marked = _marked(records, fields, ingest_time, keep, drop_bad_time, empty=False)
+    return marked.filter(F.col("reject").isNull()).drop("reject")
+
+
+def _marked(records: DataFrame, fields: Sequence[str], ingest_time: Column, keep: Sequence[str],
+            drop_bad_time: bool, empty: bool = True) -> DataFrame:
+    """Decoded rows with ``reject``: why a message is not used, or null."""
     # The time text keeps its own name until the fallback column is at hand.
-    fallback = records.withColumn("_ingest", ingest_time).filter(~_is_empty(F.col("value")))
-    rows = _parsed(fallback, fields, [*keep, "_ingest"]).filter(F.col(_BAD).isNull())
+    fallback = records.withColumn("_ingest", ingest_time).withColumn("_empty", _is_empty(F.col("value")))
+    if not empty:
+        fallback = fallback.filter(~F.col("_empty"))
+    rows = _parsed(fallback, fields, [*keep, "_ingest", "_empty"])
     instant = parse_instant(F.col("gcsj"))
     if drop_bad_time:
         gcsj = F.when(F.col("gcsj").isNull(), F.col("_ingest")).otherwise(instant)
@@ -52,8 +62,10 @@ def _decode(records: DataFrame, fields: Sequence[str], ingest_time: Column, keep
             out.append(gcsj.alias(f))
         else:
             out.append(F.col(f))
-    decoded = rows.select(*keep, *out)
-    return decoded.filter(F.col("gcsj").isNotNull()) if drop_bad_time else decoded
+    reject = F.when(F.col("_empty"), F.lit("empty")).when(F.col(_BAD).isNotNull(), F.lit("not json"))
+    if drop_bad_time:
+        reject = reject.when(gcsj.isNull(), F.lit("bad time"))
+    return rows.select(*keep, *out, reject.alias("reject"))
 
 
 def decode_passes(records: DataFrame, *, ingest_time: Column | str = "ingest_time",
@@ -82,5 +94,27 @@ def decode_rejects(records: DataFrame) -> DataFrame:
     )
 
 
+def _split(records: DataFrame, fields: Sequence[str], keep: Sequence[str], narrow: bool) -> tuple[DataFrame, DataFrame]:
+    kept = list(dict.fromkeys([*keep, "value"]))
+    marked = stage(_marked(records, fields, F.col("ingest_time"), kept, narrow), "decoded")
+    passes = marked.filter(F.col("reject").isNull()).drop("reject", *([] if "value" in keep else ["value"]))
+    return passes, marked.filter(F.col("reject").isNotNull()).select(*kept, "reject")
+
+
+def split_passes(records: DataFrame, *, keep: Sequence[str] = ()) -> tuple[DataFrame, DataFrame]:
+    """Batch: :func:`decode_passes`, and the messages it leaves out with the reason, after one parse."""
+    return _split(records, PASS_FIELDS, keep, narrow=False)
+
+
+def split_narrow(records: DataFrame, *, keep: Sequence[str] = ()) -> tuple[DataFrame, DataFrame]:
+    """Batch: :func:`decode_passes_narrow`, and the messages it leaves out with the reason, after one parse."""
+    return _split(records, NARROW_FIELDS, keep, narrow=True)
+
+
+def marked_narrow(records: DataFrame, *, keep: Sequence[str] = ()) -> DataFrame:
+    """Decoded messages of the clone job with ``value`` and ``reject``, for a live query that keeps both."""
+    return _marked(records, NARROW_FIELDS, F.col("ingest_time"), [*keep, "value"], True)
+
+
 def _column(c: Column | str) -> Column:
     return F.col(c) if isinstance(c, str) else c

@@ -128,6 +128,8 @@ def test_speed_and_confidence(spark):
     assert evaluate(spark, speed, d=F.lit(100.0), g=F.lit(1800).cast("bigint")) == 200.0
     assert evaluate(spark, speed, d=F.lit(0.0), g=F.lit(0).cast("bigint")) == math.inf
     assert evaluate(spark, geo.is_overspeed(F.col("v"), 140.0), v=F.lit(140.0)) is False
+    assert evaluate(spark, geo.is_overspeed(F.col("v"), 140.0), v=F.lit(math.nan)) is False
+    assert evaluate(spark, geo.is_overspeed(F.col("v"), 140.0), v=F.lit(math.inf)) is True
     confidence = geo.clone_confidence(F.col("v"), 140.0)
     assert evaluate(spark, confidence, v=F.lit(154.0)) == pytest.approx(0.6)
     assert evaluate(spark, confidence, v=F.lit(math.inf)) == 1.0

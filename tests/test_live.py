@@ -33,11 +33,11 @@ class Feed:
         os.utime(path, (ingest, ingest))
 
 
-def traffic_run(spark, feed, base):
+def traffic_run(spark, feed, base, clock=None):
     """Both queries once; how many passes were too late for the statistics."""
     query = None
     for start in (
-        lambda: start_detail(text_records(spark, str(feed.folder)), base, f"{base}/cp", available_now=True),
+        lambda: start_detail(text_records(spark, str(feed.folder)), base, f"{base}/cp", clock=clock, available_now=True),
         lambda: start_stats(spark, base, f"{base}/cp", available_now=True),
     ):
         query = start()
@@ -88,15 +88,47 @@ def test_a_key_is_forgotten_after_a_day(spark, tmp_path):
         (26, [first]),
     ]:
         feed.add(*messages, hours=hours)
-        traffic_run(spark, feed, base)
+        traffic_run(spark, feed, base, clock="ingest_time")
     got = spark.read.parquet(f"{base}/detail").groupBy("gcsj").count().collect()
     assert {int((r.gcsj.replace(tzinfo=timezone.utc) - START).total_seconds() // 3600): r["count"] for r in got} == {
         0: 2, 24: 1, -100: 1}
 
 
-def alerts_run(spark, feed, base, hot_plates=None):
+def test_no_new_key_is_late(spark, tmp_path):
+    """On the trigger's clock neither a partition 20 hours behind nor an ingest time far ahead loses a pass."""
+    feed, base = Feed(tmp_path / "in"), str(tmp_path / "out")
+    feed.add(message(1, 101, gcsj=at(hours=48)), hours=48)
+    query = start_detail(text_records(spark, str(feed.folder)), base, f"{base}/cp", available_now=True)
+    query.awaitTermination()
+    feed.add(message(2, 101, gcsj=at(days=9000)), hours=24 * 5)
+    feed.add(message(3, 101, gcsj=at(hours=28)), message(1, 101, gcsj=at(hours=48)), hours=28)
+    for _ in range(2):
+        query = start_detail(text_records(spark, str(feed.folder)), base, f"{base}/cp", available_now=True)
+        query.awaitTermination()
+        assert sum(op["numRowsDroppedByWatermark"] for p in query.recentProgress for op in p["stateOperators"]) == 0
+        feed.add(message(4, 101, gcsj=at(hours=1)), hours=1)
+    assert spark.read.parquet(f"{base}/detail").count() == 4
+
+
+def test_no_alert_is_lost_to_a_clock(spark, tmp_path):
+    feed, base = Feed(tmp_path / "in"), str(tmp_path / "out")
+    other = {"gcxh": 8, "station_id": 104, "hphm": "other"}
+    feed.add({**other, "gcsj": at(days=3650)}, message(1, 101, gcsj=at(minutes=60)))
+    alerts_run(spark, feed, base, ingest_clock=False)
+    feed.add(message(2, 104, gcsj=at(minutes=70)))
+    alerts_run(spark, feed, base, ingest_clock=False)
+    # Two passes that arrive together, hours behind all others.
+    late = [{"gcxh": k, "station_id": s, "hphm": "late", "gcsj": at(hours=-9, minutes=m)} for k, s, m in [(3, 101, 0), (4, 118, 20)]]
+    feed.add(*late, hours=-8)
+    query = alerts_run(spark, feed, base, ingest_clock=False)
+    got = spark.read.parquet(f"{base}/alerts").collect()
+    assert sorted((r.first_station_id, r.second_station_id) for r in got) == [(101, 104), (101, 118)]
+    assert sum(op["numRowsDroppedByWatermark"] for p in query.recentProgress for op in p["stateOperators"]) == 0
+
+
+def alerts_run(spark, feed, base, hot_plates=None, ingest_clock=True):
     query = start_alerts(text_records(spark, str(feed.folder)), default_stations(spark), base, f"{base}/cp",
-                         CloneSettings(), hot_plates, available_now=True)
+                         CloneSettings(), hot_plates, ingest_clock, available_now=True)
     query.awaitTermination()
     return query
 
@@ -109,12 +141,13 @@ def clone_feed(spark, folder, base, hot_plates=None):
     # 40 minutes out of order, then repeated
     feed.add(message(5, 118, gcsj=at(minutes=30)), message(6, 101, gcsj=at(minutes=70, seconds=10)))
     alerts_run(spark, feed, base, hot_plates)
-    feed.add(message(5, 118, gcsj=at(minutes=30)), {"gcxh": 7, "station_id": 104, "hphm": "other", "gcsj": at(hours=9)})
+    feed.add(message(5, 118, gcsj=at(minutes=30)), {"gcxh": 7, "station_id": 104, "hphm": "other", "gcsj": at(hours=9)},
+             hours=0.1)
     alerts_run(spark, feed, base, hot_plates)
     # long after the history has gone
-    feed.add({"gcxh": 8, "station_id": 104, "hphm": "other", "gcsj": at(hours=10)})
+    feed.add({"gcxh": 8, "station_id": 104, "hphm": "other", "gcsj": at(hours=10)}, hours=10)
     alerts_run(spark, feed, base, hot_plates)
-    feed.add(message(9, 117, gcsj=at(minutes=65)))
+    feed.add(message(9, 117, gcsj=at(minutes=65)), hours=10)
     query = alerts_run(spark, feed, base, hot_plates)
     got = spark.read.parquet(f"{base}/alerts")
     return query, sorted((r.first_station_id, r.second_station_id, r.time_gap_sec) for r in got.collect())

@@ -102,11 +102,23 @@ def test_plate_history(spark):
     rows = skewed_passes(7, n=300)
     df = pass_frame(spark, rows)
     sizes = Counter(cur for _, cur in brute_pairs(rows, 0, 2700, other_station=False))
-    for splits in (None, pairs.hot_plate_splits(df, hot_rows=20)):
-        got = {r.arrival_seq: r.history_size for r in pairs.plate_history(df, splits=splits).collect()}
+    for hot_rows in (pairs.HOT_ROWS, 20, 1):
+        got = {r.arrival_seq: r.history_size for r in pairs.plate_history(df, hot_rows=hot_rows).collect()}
         assert got == {r[0]: sizes[r[0]] + 1 for r in rows}
 
 
+def test_plate_history_of_a_crowd_builds_no_pairs(spark):
+    """A third of 30,000 passes under one plate within 1,000 seconds: 55 million pairs, if they were built."""
+    df = spark.range(30_000).select(
+        F.col("id").alias("arrival_seq"),
+        F.when(F.col("id") % 3 == 0, F.lit("crowd")).otherwise(F.concat(F.lit("p"), F.col("id") % 9000)).alias("hphm"),
+        F.timestamp_seconds(F.lit(1_700_000_000) + F.col("id") % 1000).alias("gcsj"),
+        F.lit(1).alias("station_id"),
+    )
+    got = pairs.plate_history(df).filter("hphm = 'crowd'")
+    assert got.filter("history_size <> arrival_seq / 3 + 1").isEmpty() and got.count() == 10_000
+
+
 @pytest.mark.parametrize("hot_rows, staged", [(None, False), (30, True)])
 def test_clone_alerts_match_brute_force(spark, hot_rows, staged):
     rows = skewed_passes(11, n=400)
@@ -177,6 +189,28 @@ def test_dedup_with_retention_matches_brute_force(spark, hours):
     assert got.columns == df.columns
 
 
+def test_dedup_with_retention_takes_one_job_however_often_a_key_returns(spark):
+    at = lambda i: START + timedelta(hours=30 * i)
+    rows = [(i, 5, 1, "P", at(0)) for i in range(400)] + [(1000, 6, 1, "P", at(0)), (1001, 6, 1, "P", at(0))]
+    clock = F.when(F.col("gcxh") == 5, F.lit(START).cast("timestamp") + F.expr("make_dt_interval(0, arrival_seq * 30, 0, 0)"))
+    df = pass_frame(spark, rows).withColumn("ingest_time", clock)
+    tracker = spark.sparkContext.statusTracker()
+    spark.sparkContext.setJobGroup("returns", "returns")
+    got = sorted(r.arrival_seq for r in dedup_passes_ttl(df).collect())
+    jobs = len(tracker.getJobIdsForGroup("returns"))
+    spark.sparkContext.setJobGroup("", "")
+    # Passes without a time: the first of a key stays.
+    assert got == [*range(400), 1000] and jobs <= 5
+
+
+def test_both_batch_dedups_keep_the_same_row(spark):
+    rows = [(1, 7, 1, "late clock", START), (2, 7, 1, "early clock", START)]
+    df = pass_frame(spark, rows).withColumn(
+        "ingest_time", F.lit(START).cast("timestamp") - F.expr("make_dt_interval(0, 0, arrival_seq, 0)"))
+    assert [r.arrival_seq for r in dedup_passes(df).collect()] == [2] == [
+        r.arrival_seq for r in dedup_passes_ttl(df).collect()]
+
+
 @pytest.mark.parametrize("window", [30, 1800])
 def test_station_stats_match_brute_force(spark, window):
     rows = skewed_passes(13)

@@ -6,9 +6,11 @@ import duckdb
 import pytest
 
 import __spark_entry__ as registry
+from passgrid.catalog import batch, streams
 
 DATA = "/root/testdata/sf0.001"
-QUERIES, SQL = registry.queries(), registry.oracle_sql()
+SQL = registry.oracle_sql()
+QUERIES = {name: query for name, query in registry.queries().items() if name in {**batch.QUERIES, **streams.QUERIES}}
 
 pytestmark = pytest.mark.skipif(not Path(DATA).exists(), reason="no test tables")
 
@@ -33,7 +35,7 @@ def values(frame):
 
 
 def test_every_query_has_sql():
-    assert set(QUERIES) == set(SQL)
+    assert set(QUERIES) == {**batch.QUERIES, **streams.QUERIES}.keys() <= set(SQL)
 
 
 @pytest.mark.parametrize("name", QUERIES)

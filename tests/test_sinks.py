@@ -4,8 +4,8 @@ from datetime import datetime, timedelta
 import pytest
 from pyspark.sql import functions as F
 
-from passgrid.plans.clones import run_clones
-from passgrid.plans.traffic import run_traffic, traffic_tables
+from passgrid.plans.clones import run_clone_records, run_clones
+from passgrid.plans.traffic import run_traffic, run_traffic_records, traffic_tables
 from passgrid.sinks import files, rows
 from passgrid.sources.stations import default_stations
 from test_operators import START, pass_frame, skewed_passes
@@ -46,6 +46,32 @@ def test_append_table_replay_adds_nothing(spark, tmp_path):
     assert sorted(r.v for r in files.read_loads(spark, path).collect()) == [1, 1, 1, 1, 2, 2]
 
 
+@pytest.mark.parametrize("again", [[(9, 0)], []])
+def test_a_load_written_again_replaces_all_of_it(spark, tmp_path, again):
+    path = str(tmp_path / "t")
+    kind = "v int, shard int"
+    files.append_load(spark.createDataFrame([(1, 0), (2, 1)], kind), path, 0)
+    files.append_load(spark.createDataFrame([(5, 1)], kind), path, 1)
+    files.append_load(spark.createDataFrame(again, kind), path, 0)
+    assert sorted(r.v for r in files.read_loads(spark, path).collect()) == sorted([5, *[v for v, _ in again]])
+    assert not list((tmp_path / "t").rglob("*_new"))
+
+
+def test_an_attempt_counts_once_it_is_committed(spark, tmp_path, monkeypatch):
+    path = str(tmp_path / "t")
+    kind = "v int, shard int"
+    files.append_load(spark.createDataFrame([(1, 0)], kind), path, 0)
+
+    def lost(*_):
+        raise OSError("driver lost")
+
+    with monkeypatch.context() as m:
+        m.setattr(files, "_put", lost)
+        with pytest.raises(OSError):
+            files.append_load(spark.createDataFrame([(7, 0)], kind), path, 0)
+    assert [r.v for r in files.read_loads(spark, path).collect()] == [1]
+
+
 def test_statements():
     assert rows.insert_statement("t", ["a", "b"], "?") == "INSERT INTO t (a,b) VALUES (?,?)"
     upsert = rows.upsert_statement(rows.STATS_TABLE, rows.STATS_COLUMNS, ["station_id", "window_start", "window_end"])
@@ -99,19 +125,23 @@ def test_batch_functions(spark, tmp_path):
             seen.append(columns)
             return self
 
+        def coalesce(self, connections):
+            seen.append(connections)
+            return self
+
         def foreachPartition(self, function):
             seen.append(callable(function))
 
     rows.row_batches(lambda: None, "INSERT", rows.ALERT_COLUMNS)(Frame(), 3)
-    assert seen == [tuple(rows.ALERT_COLUMNS), True]
+    assert seen == [tuple(rows.ALERT_COLUMNS), 32, True]
     options = rows.jdbc_options("jdbc:mysql://db/t", rows.DETAIL_TABLE, user="u", password="p")
     assert options["batchsize"] == "500" and options["dbtable"] == "traffic_pass_dev"
 
 
 def test_run_traffic_writes_what_the_lazy_plan_gives(spark, tmp_path):
     passes = pass_frame(spark, skewed_passes(21, n=600))
-    lazy = traffic_tables(passes)
-    written = run_traffic(passes, str(tmp_path))
+    lazy = traffic_tables(passes, clock="gcsj")
+    written = run_traffic(passes, str(tmp_path), clock="gcsj")
     drop = ["created_at", "shard", "dt"]
     for one, other in ((lazy.detail, written.detail), (lazy.stats, written.stats)):
         one, other = one.drop(*drop), other.drop(*drop).select(one.drop(*drop).columns)
@@ -119,6 +149,28 @@ def test_run_traffic_writes_what_the_lazy_plan_gives(spark, tmp_path):
     assert {r.shard for r in written.detail.select("shard").distinct().collect()} == {0, 1}
 
 
+def test_traffic_honours_the_life_time(spark):
+    rows = [(1, 7, 101, "P", START), (2, 7, 101, "P", START + timedelta(hours=30))]
+    assert traffic_tables(pass_frame(spark, rows), clock="gcsj").detail.count() == 2
+    rows[1] = (2, 7, 101, "P", START + timedelta(hours=23))
+    assert traffic_tables(pass_frame(spark, rows), clock="gcsj").detail.count() == 1
+
+
+def test_jobs_keep_what_they_leave_out(spark, tmp_path):
+    good = '{"gcxh":1,"station_id":101,"hphm":"P","gcsj":"2024-01-01T00:00:00Z"}'
+    messages = [good, "no json", "", '{"gcxh":2,"station_id":101,"hphm":"P","gcsj":"bad"}']
+    records = spark.createDataFrame([(v, START, i) for i, v in enumerate(messages)],
+                                    "value string, ingest_time timestamp, arrival_seq long")
+    tables = run_traffic_records(records, str(tmp_path / "t"))
+    run_clone_records(records, default_stations(spark), str(tmp_path / "c"))
+    found = {
+        job: {(r.value, r.reject) for r in spark.read.parquet(str(tmp_path / job / "rejects")).collect()}
+        for job in "tc"
+    }
+    assert found["t"] == {("no json", "not json"), ("", "empty")} and tables.detail.count() == 2
+    assert found["c"] == found["t"] | {(messages[3], "bad time")}
+
+
 def test_run_clones_writes_shards_by_earlier_station(spark, tmp_path):
     alerts = run_clones(pass_frame(spark, skewed_passes(22, n=300)), default_stations(spark), str(tmp_path))
     assert alerts.count() > 0

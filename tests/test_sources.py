@@ -144,12 +144,17 @@ def test_dimension_join_beyond_the_broadcast_bound(spark):
     assert fits_broadcast(dim) and not fits_broadcast(dim, max_rows=39) and not fits_broadcast(dim, max_bytes=100)
     spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
     try:
-        for how in ("inner", "left"):
-            small = join_dimension(facts, dim, "k", how=how)
-            large = join_dimension(facts, dim, "k", how=how, max_rows=10, salts=8)
-            assert "_salt" in large._jdf.queryExecution().toString()
-            assert sorted(map(tuple, small.select("id", "k", "v").collect()), key=str) == sorted(
-                map(tuple, large.select("id", "k", "v").collect()), key=str)
+        facts = facts.withColumn("nested", F.array(F.struct(F.create_map("id", "k").alias("m"))))
+        twice = dim.unionByName(dim.filter("k < 3"))
+        for how in ("inner", "left", "left_semi", "left_anti"):
+            for d in (dim, twice):
+                small = join_dimension(facts, d, "k", how=how)
+                large = join_dimension(facts, d, "k", how=how, max_rows=10)
+                assert "BroadcastHashJoin" not in large._jdf.queryExecution().toString()
+                assert small.columns == large.columns
+                assert sorted(map(str, small.collect())) == sorted(map(str, large.collect()))
+        with pytest.raises(ValueError, match="how"):
+            join_dimension(facts, dim, "k", how="right")
     finally:
         spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
 
@@ -159,6 +164,8 @@ def test_dictionary(spark):
         [("a", "x", "1"), ("a", "y", "2"), ("b", "x", "3"), ("a", "x", "0")], "key string, field string, value string")
     assert {r.key: r.entries for r in dictionary_entries(table).collect()} == {"a": {"x": "1", "y": "2"}, "b": {"x": "3"}}
     df = spark.createDataFrame([("a",), ("b",), ("c",)], "code string")
+    plain = spark.createDataFrame([("a", "", "v"), ("a", "f", "w")], "key string, field string, value string")
+    assert [r.v for r in lookup_value(df, plain, key="code", into="v").orderBy("code").collect()] == ["v", None, None]
     one = lookup_value(df, table, key="code", field="y", into="y")
     assert {r.code: r.y for r in one.collect()} == {"a": "2", "b": None, "c": None}
     every = lookup_entries(df, table, key="code", into="m", max_rows=0)
