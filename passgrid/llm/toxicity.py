@@ -1,14 +1,14 @@
 """Toxicity by gradient-boosted trees over dense features, calibrated by isotonic regression.
 
-Features are built-in expressions over the words of a text: densities of a fixed and of a learned lexicon, second
-person near a hit, capitals, punctuation and obfuscation. Trees and lexicon are fitted on a bounded sample of labelled
+Features are built-in expressions over the words of a text: densities of a fixed lexicon, of learned words and of learned
+stems, second person near a hit, capitals, punctuation and obfuscation. Trees and lexicon are fitted on a bounded sample of labelled
 rows, the calibration on rows that the trees have not seen. Scoring is a projection; nothing is shuffled.
 """
 
 from __future__ import annotations
 
 from collections.abc import Callable
-from dataclasses import dataclass
+from dataclasses import dataclass, field
 
 from pyspark.ml.classification import GBTClassificationModel, GBTClassifier
 from pyspark.ml.feature import VectorAssembler
@@ -23,6 +23,8 @@ from passgrid.session import stage
 
 SAMPLE_ROWS = 20_000
 LEXICON_WORDS = 200
+STEM = 5
+LEAST_Z = 3.0
 TREES, DEPTH = 20, 3
 # Weight of the trees' own score, which orders rows inside a step of the calibration.
 TIE_WEIGHT = 0.002
@@ -42,7 +44,7 @@ SECOND_PERSON = [
 LOOK_ALIKES = ("013457@$!|*", "oieastasiii")
 
 FEATURES = [
-    "words", "insults", "insult_density", "learned", "learned_density", "disguised", "disguised_density", "near_you",
+    "words", "insults", "insult_density", "learned", "learned_density", "stems", "stem_density", "disguised", "disguised_density", "near_you",
     "you_density", "capitals", "shouted", "punctuation", "exclamations", "obfuscated", "spelled_out",
 ]
 _NOT_WORD = r"[^\p{L}\p{N}]+"
@@ -69,18 +71,24 @@ def _once(value: Column, f: Callable[[Column], Column]) -> Column:
     return F.transform(F.array(value), f)[0]
 
 
-def _with_counts(docs: DataFrame, text_col: str, lexicon: list[str]) -> tuple[DataFrame, dict[str, str]]:
+def stem(word: Column) -> Column:
+    return F.substring(word, 1, STEM)
+
+
+def _with_counts(docs: DataFrame, text_col: str, lexicon: Lexicon) -> tuple[DataFrame, dict[str, str]]:
     """Adds what the features are made of: the text is read once for words, for capitals, for punctuation and for
     disguised words, and only the few words found are looked at again."""
-    known = ["text", "words", "told", "caps", "marks", "masked", "near"]
+    known = ["text", "words", "told", "stems", "caps", "marks", "masked", "near"]
     name = dict(zip(known, fresh(docs, *[f"_{k}" for k in known])))
     column = {k: quoted(v) for k, v in name.items()}
-    targets = sorted({*INSULTS, *lexicon})
+    targets = sorted({*INSULTS, *lexicon.words})
     told = F.filter(column["words"], lambda w: w.isin([*targets, *SECOND_PERSON]))
     first = docs.withColumn(name["text"], F.coalesce(quoted(text_col).cast("string"), F.lit("")))
     first = first.withColumn(name["words"], words_of(column["text"]))
     first = first.withColumns({
         name["told"]: told,
+        name["stems"]: F.size(F.filter(column["words"], lambda w: (F.length(w) > STEM) & stem(w).isin(lexicon.stems)))
+        if lexicon.stems else F.lit(0),
         name["caps"]: F.regexp_extract_all(column["text"], F.lit(r"(\p{Lu}+)")),
         name["marks"]: F.regexp_extract_all(column["text"], F.lit(r"([^\p{L}\p{N}\s]+)")),
         name["masked"]: F.transform(
@@ -91,22 +99,24 @@ def _with_counts(docs: DataFrame, text_col: str, lexicon: list[str]) -> tuple[Da
     return first.withColumn(name["near"], F.when(hit, _near_you(column["words"], targets)).otherwise(0)), name
 
 
-def _features(name: dict[str, str], lexicon: list[str]) -> dict[str, Column]:
-    text, words, told, caps, marks, masked, near = (quoted(name[k]) for k in name)
+def _features(name: dict[str, str], lexicon: Lexicon) -> dict[str, Column]:
+    text, words, told, stems, caps, marks, masked, near = (quoted(name[k]) for k in name)
     n = F.greatest(F.size(words), F.lit(1)).cast("double")
     chars = F.greatest(F.length(text), F.lit(1)).cast("double")
 
     def hits(among: Column, of: list[str]) -> Column:
         return (F.size(F.filter(among, lambda w: w.isin(of))) if of else F.lit(0)).cast("double")
 
-    insults, learned = hits(told, INSULTS), hits(told, lexicon)
-    disguised = hits(masked, sorted({*INSULTS, *lexicon}))
+    insults, learned = hits(told, INSULTS), hits(told, lexicon.words)
+    disguised = hits(masked, sorted({*INSULTS, *lexicon.words}))
     return {
         "words": F.log1p(n),
         "insults": F.log1p(insults),
         "insult_density": insults / n,
         "learned": F.log1p(learned),
         "learned_density": learned / n,
+        "stems": F.log1p(stems),
+        "stem_density": stems / n,
         "disguised": F.log1p(disguised),
         "disguised_density": disguised / n,
         "near_you": near / n,
@@ -120,17 +130,25 @@ def _features(name: dict[str, str], lexicon: list[str]) -> dict[str, Column]:
     }
 
 
+@dataclass
+class Lexicon:
+    """Learned words, and learned beginnings of longer words."""
+
+    words: list[str] = field(default_factory=list)
+    stems: list[str] = field(default_factory=list)
+
+
 @dataclass
 class ToxicityModel:
     """What scoring needs. Without rows of both classes there are no trees and every text gets ``base``."""
 
     base: float
-    lexicon: list[str]
+    lexicon: Lexicon
     trees: GBTClassificationModel | None = None
     calibration: IsotonicRegressionModel | None = None
 
 
-def _with_features(docs: DataFrame, text_col: str, lexicon: list[str], vector: str) -> DataFrame:
+def _with_features(docs: DataFrame, text_col: str, lexicon: Lexicon, vector: str) -> DataFrame:
     named, name = _with_counts(docs, text_col, lexicon)
     names = dict(zip(FEATURES, fresh(named, *[f"_f_{f}" for f in FEATURES])))
     values = _features(name, lexicon)
@@ -147,6 +165,22 @@ def _raw(frame: DataFrame, model: ToxicityModel, vector: str, out: str) -> DataF
     return scored.withColumn(out, vector_to_array(quoted(chance))[1]).drop(raw, chance, label)
 
 
+def _telling(rows: DataFrame, found: Column, yes: int, no: int, most: int) -> list[str]:
+    """The terms whose odds of standing in a toxic text are surest to be higher, ``most`` at most."""
+    in_docs = rows.select("label", F.explode(F.array_distinct(found)).alias("term"))
+    a, b = F.col("a") + 0.5, F.col("b") + 0.5
+    counts = in_docs.groupBy("term").agg(F.sum("label").alias("a"), F.sum(1 - F.col("label")).alias("b"))
+    odds = F.log(a / (yes + 1 - a)) - F.log(b / (no + 1 - b))
+    best = (
+        counts.filter("a >= 3")
+        .select("term", (odds / F.sqrt(1 / a + 1 / b)).alias("z"), odds.alias("odds"))
+        .filter((F.col("z") > LEAST_Z) & (F.col("odds") > 1.5))
+        .orderBy(F.desc("z"), "term")
+        .limit(most)
+    )
+    return [r["term"] for r in best.collect()]
+
+
 def fit_toxicity(
     docs: DataFrame,
     labels: DataFrame,
@@ -168,20 +202,11 @@ def fit_toxicity(
     yes, no = counts.get(1.0, 0), counts.get(0.0, 0)
     base = (yes + 1) / (yes + no + 2)
     if not yes or not no:
-        return ToxicityModel(min(base, 0.49), [])
-    in_docs = grown.select("label", F.explode(F.array_distinct(words_of(F.col("text")))).alias("word"))
-    by_word = in_docs.groupBy("word").agg(
-        F.sum("label").alias("a"), F.sum(1 - F.col("label")).alias("b")
-    ).filter("a >= 3")
-    odds = F.log((F.col("a") + 0.5) / (yes - F.col("a") + 0.5)) - F.log((F.col("b") + 0.5) / (no - F.col("b") + 0.5))
-    spread = F.sqrt(1 / (F.col("a") + 0.5) + 1 / (F.col("b") + 0.5))
-    best = (
-        by_word.select("word", (odds / spread).alias("z"), odds.alias("odds"))
-        .filter("z > 4 and odds > 1.5 and length(word) > 2")
-        .orderBy(F.desc("z"), "word")
-        .limit(lexicon_words)
-    )
-    lexicon = [r["word"] for r in best.collect() if r["word"].isalpha()]
+        return ToxicityModel(min(base, 0.49), Lexicon())
+    words = F.filter(words_of(F.col("text")), lambda w: w.rlike(r"^\p{L}{3,}$"))
+    longer = F.transform(F.filter(words, lambda w: F.length(w) > STEM), stem)
+    told = [_telling(grown, found, yes, no, lexicon_words) for found in (words, longer)]
+    lexicon = Lexicon(*told)
     model = ToxicityModel(base, lexicon)
     frame = stage(_with_features(rows, "text", lexicon, "features").select("part", "label", "features"), "features")
     model.trees = GBTClassifier(
