@@ -273,8 +273,14 @@ def _blind(page: Page) -> Page:
 def fit_pages(pages: DataFrame, *, html_col: str = "html", id_col: str = "page_id", sample: int = SAMPLE_PAGES) -> TreeModel:
     """A model from at most ``sample`` pages of at most ``LONGEST_SAMPLE`` characters, the first by a hash of the id."""
     html = quoted(html_col).cast("string")
+    keyed = pages.select(
+        html.alias("html"), F.xxhash64(quoted(id_col).cast("string"), F.crc32(html.cast("binary"))).alias("h")
+    )
+    # A hash thins the pages out before they are ordered, so that tasks send few of them.
+    scale, total = 1_000_000, pages.count()
+    share = scale if total <= 8 * sample else max(1, int(scale * 8 * sample / total))
     rows = (
-        pages.select(html.alias("html"), F.xxhash64(quoted(id_col).cast("string"), F.crc32(html.cast("binary"))).alias("h"))
+        keyed.filter(F.pmod(F.col("h"), F.lit(scale)) < share)
         .filter((F.length("html") <= LONGEST_SAMPLE) & F.col("html").rlike("(?i)<(article|main)[\\s>]"))
         .orderBy("h")
         .limit(sample)
