@@ -18,6 +18,8 @@ HEADLINES = [
     "decode_passes_narrow",
     "enrich_passes",
     "dedup_passes",
+    "dedup_passes_ttl",
+    "clean_passes_days",
     "station_window_count",
     "station_stats",
     "station_stats_30min",
