@@ -27,6 +27,7 @@ from pyspark.sql import types as T
 
 from passgrid.llm.columns import fresh, quoted, without
 from passgrid.llm.links import components, resolve
+from passgrid.llm.prefilter import likely_in
 from passgrid.llm.words import WORD_CHARACTER, mix, slices
 from passgrid.session import stage
 
@@ -196,7 +197,10 @@ def near_duplicates(
     rows = stage(narrow.mapInArrow(_classes("_text", ["doc_id"], True), schema), "classes")
     keyed = rows.filter("size(bands) > 0").select("cls", F.explode("bands").alias("band"))
     shared = keyed.groupBy("band").agg(F.min("cls").alias("least"), F.max("cls").alias("_most")).filter("least < _most")
-    groups = components(keyed.join(shared, "band").select("cls", "least"), "cls", "least")
+    shared = stage(shared.select("band", "least"), "bands")
+    # Most bands and most texts meet nobody; they aren't shuffled for the joins.
+    met = likely_in(keyed, "band", shared, "band").join(shared, "band")
+    groups = components(met.select("cls", "least"), "cls", "least")
 
     classes = stage(
         rows.filter("cls is not null")
@@ -215,7 +219,7 @@ def near_duplicates(
 
     named = narrow.mapInArrow(_classes("_text", ["doc_id", "_text"], False), "doc_id bigint, _text string, cls bigint")
     chosen = (
-        named.join(nodes, "cls").filter(F.col("doc_id").eqNullSafe(F.col("class_id"))).dropDuplicates(["cls"])
+        likely_in(named, "cls", nodes, "cls").join(nodes, "cls").filter(F.col("doc_id").eqNullSafe(F.col("class_id"))).dropDuplicates(["cls"])
     )
     chunk = F.pmod(F.xxhash64("cls"), F.col("m")).cast("int")
     tasks = (
