@@ -8,6 +8,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from passgrid.llm import ego_join, ngram_join
+from passgrid.llm import links as links_module
 from passgrid.llm.ego_join import near_vectors
 from passgrid.llm.links import components
 from passgrid.llm.ngram_join import drop_near_duplicates, least_matches, near_duplicates
@@ -158,7 +159,9 @@ def test_ego_join_odd_tables(spark):
     assert got == sorted([(4, 3, 2, False), (4, 3, 2, False), (None, 3, 2, False), (2, 3, 2, True)], key=str)
 
 
-def test_components_of_chains_and_stars(spark):
+@pytest.mark.parametrize("local", [200_000, 20])
+def test_components_of_chains_and_stars(spark, monkeypatch, local):
+    monkeypatch.setattr(links_module, "LOCAL_LINKS", local)
     rng = random.Random(7)
     links = [(i, i + 1) for i in range(0, 40)] + [(100, 100 + i) for i in range(1, 50)] + [(200, 200), (None, 3)]
     links += [(300 + i, 300 + rng.randint(0, i)) for i in range(1, 60)]
