@@ -302,6 +302,13 @@ FROM passes WHERE event_id % 41 = 0 OR event_id % 43 = 0"""),
     sql["stream_rejects"] = sql["clone_rejects"].replace("SELECT arrival_seq, CASE", "SELECT CASE", 1).replace(
         "WITH", "SELECT reject, count(*) AS messages FROM (WITH", 1) + ") GROUP BY reject"
     sql["stream_clone_alerts"] = sql["clone_job"]
+    crowd = """
+passes AS (
+  SELECT * REPLACE (CASE WHEN event_id % 3 = 0 THEN '苏A99999' ELSE hphm END AS hphm,
+    CASE WHEN event_id % 3 = 0 AND event_id % 150 <> 0 THEN 101 ELSE station_id END AS station_id) FROM plain
+)"""
+    sql["stream_clone_alerts_hot"] = sql["clone_job"].replace(_PASSES, _PASSES.replace("passes AS (", "plain AS (", 1) + ","
+                                                              + crowd, 1)
     sql["watermark_passes"] = _with(_PASSES, select="""
 SELECT date_trunc('millisecond', max(gcsj)) - INTERVAL 120 SECOND AS watermark FROM passes WHERE station_id > 0""")
     sql["stream_late_drop"] = _with(_PASSES, clean, select=f"""

@@ -19,10 +19,13 @@ from passgrid.catalog.batch import ALERT_DOUBLES, plain_time, rounded
 from passgrid.operators.dedup import stream_dedup_passes as stream_dedup
 from passgrid.operators.enrich import enrich_passes, pass_detail
 from passgrid.operators.filters import filter_essential
+from passgrid.operators.pairs import hot_plate_splits
 from passgrid.operators.stats import with_pass_watermark
+from passgrid.plans.clones import locate_passes
 from passgrid.plans.traffic import clean_passes
 from passgrid.session import shared_dir, stage
 from passgrid.settings import DETAIL_SCHEMA
+from passgrid.sources.passes import decode_passes_narrow
 from passgrid.sources.records import archived_records, text_records
 from passgrid.sources.stations import default_stations
 from passgrid.sinks.files import read_latest
@@ -222,6 +225,31 @@ def stream_clone_alerts(spark, sf):
     return rounded(spark.read.parquet(f"{base}/alerts").drop("created_at"), *ALERT_DOUBLES)
 
 
+def stream_clone_alerts_hot(spark, sf):
+    """Alerts of a feed in which one plate, nearly always at one station, bears a third of all passes. A batch search
+    over the feed so far finds such plates, whose state then lies in several partitions."""
+    base = shared_dir(spark, "stream-hot")
+    stations = default_stations(spark)
+    crowd, strays = F.col("event_id") % 3 == 0, F.col("event_id") % 150 == 0
+    p = fx.passes(spark, sf).withColumns({
+        "hphm": F.when(crowd, F.lit("苏A99999")).otherwise(F.col("hphm")),
+        "station_id": F.when(crowd & ~strays, F.lit(101)).otherwise(F.col("station_id")),
+    })
+    records = stage(p.select(fx.message(p).alias("value"), "ingest_time", "arrival_seq"), "records")
+    arrivals = _slices(records)
+    before = decode_passes_narrow(arrivals[0], keep=["arrival_seq"])
+    splits = hot_plate_splits(locate_passes(before, stations), hot_rows=50)
+    hot = None if splits is None else stage(splits.groupBy("hphm").agg(F.max("splits").alias("splits")), "hot")
+    _run(
+        spark, arrivals, f"{base}/in",
+        lambda: start_alerts(
+            archived_records(spark, f"{base}/in"), stations, base, f"{base}/checkpoint", hot_plates=hot,
+            available_now=True,
+        ),
+    )
+    return rounded(spark.read.parquet(f"{base}/alerts").drop("created_at"), *ALERT_DOUBLES)
+
+
 def stream_late_drop(spark, sf):
     """Passes that arrive days late reach the detail table but no statistics.
 
@@ -261,4 +289,5 @@ QUERIES = {
     "stream_upsert_stats": stream_upsert_stats,
     "stream_rejects": stream_rejects,
     "stream_clone_alerts": stream_clone_alerts,
+    "stream_clone_alerts_hot": stream_clone_alerts_hot,
 }
