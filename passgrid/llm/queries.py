@@ -61,7 +61,7 @@ def op7_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op8_licences(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
-    return scan_licences(docs, fit_licences(docs)).select(
+    return scan_licences(docs, fit_licences(docs), keep=["doc_id"]).select(
         "doc_id", F.array_join("families", ",").alias("families"), F.size("notices").cast("bigint").alias("n_notices")
     )
 
