@@ -36,7 +36,7 @@ STREAMS = ["stream_dedup_passes", "stream_station_stats", "stream_clone_alerts"]
 def main() -> None:
     sys.path.insert(0, str(Path(__file__).resolve().parent))
     from passgrid.catalog import batch, streams
-    from passgrid.session import RECOMMENDED_CONF
+    from passgrid.session import RECOMMENDED_CONF, use_local_scratch
 
     sf_dir = os.environ.get("BENCH_SF_DIR", "/root/testdata/sf0.1")
     cpus = os.environ.get("BENCH_CPUS", "8")
@@ -51,6 +51,7 @@ def main() -> None:
         .getOrCreate()
     )
     spark.sparkContext.setLogLevel("ERROR")
+    use_local_scratch(spark)
 
     def seconds(query) -> float:
         begin = time.perf_counter()
