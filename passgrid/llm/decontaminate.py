@@ -21,7 +21,7 @@ from pyspark.sql import types as T
 
 from passgrid.llm.columns import fresh, quoted, without
 from passgrid.llm.fm_index import FMIndex
-from passgrid.llm.words import slices
+from passgrid.llm.words import Words, slices
 from passgrid.session import stage
 
 WINDOW_WORDS = 13
@@ -82,8 +82,11 @@ def _occurrences(hashes: np.ndarray, text_of: np.ndarray, phrases: Phrases) -> t
     return words[index.locate(rows)], np.repeat(np.arange(len(times)), times)
 
 
-def _search(text: str, names: list[str], block) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
-    """Adds the block's occurrences to the columns ``_n_words, _marks, _items``."""
+def _search(
+    text: str, names: list[str], block, spans: str | None
+) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
+    """Adds the block's occurrences to the columns ``_n_words, _marks, _items``; the last block's search also turns all
+    marks into the column ``spans``."""
     n_words, marks, items = names
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -112,39 +115,30 @@ def _search(text: str, names: list[str], block) -> Callable[[Iterator[pa.RecordB
                     edge = np.diff(np.concatenate([[0], hit[a:b], [0]]))
                     before[t] = list(zip(np.flatnonzero(edge == 1).tolist(), np.flatnonzero(edge == -1).tolist()))
                     known[t] = sorted({*known[t], *own})
-                spans = pa.array([[list(x) for x in y] for y in before], pa.list_(pa.list_(pa.int64())))
+                merged = pa.array([[list(x) for x in y] for y in before], pa.list_(pa.list_(pa.int64())))
                 columns = [part.column(c) for c in rest]
-                columns += [pa.array(words.counts.astype(np.int64)), spans, pa.array(known, pa.list_(pa.int64()))]
-                yield pa.RecordBatch.from_arrays(columns, [*rest, n_words, marks, items])
+                columns += [pa.array(words.counts.astype(np.int64)), merged, pa.array(known, pa.list_(pa.int64()))]
+                if spans:
+                    columns.append(_places(words, before))
+                yield pa.RecordBatch.from_arrays(columns, [*rest, n_words, marks, items, *([spans] if spans else [])])
 
     return run
 
 
-def _places(text: str, marks: str, spans: str) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
-    """Word spans as character offsets of the text, end exclusive."""
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            rest = [c for c in batch.schema.names if c != marks]
-            for words in slices(batch.column(text)):
-                part = batch.slice(words.first, len(words.counts))
-                out = []
-                chars = None
-                for t, own in enumerate(part.column(marks).to_pylist()):
-                    row = []
-                    if own:
-                        if chars is None:
-                            chars = words.code_points(np.arange(len(words.data) + 1))
-                        zero, begin = chars[words.text_starts[t]], words.bounds[t]
-                        for a, b in own:
-                            start, end = words.starts[begin + a], words.ends[begin + b - 1]
-                            row.append({"start": int(chars[start] - zero), "end": int(chars[end] - zero)})
-                    out.append(row)
-                kind = pa.list_(pa.struct([("start", pa.int64()), ("end", pa.int64())]))
-                columns = [part.column(c) for c in rest]
-                yield pa.RecordBatch.from_arrays([*columns, pa.array(out, kind)], [*rest, spans])
-
-    return run
+def _places(words: Words, marks: list[list[tuple[int, int]]]) -> pa.Array:
+    """Word spans as character offsets of their texts, end exclusive."""
+    out, chars = [], None
+    for t, own in enumerate(marks):
+        row = []
+        if own:
+            if chars is None:
+                chars = words.code_points(np.arange(len(words.data) + 1))
+            zero, begin = chars[words.text_starts[t]], words.bounds[t]
+            for a, b in own:
+                start, end = words.starts[begin + a], words.ends[begin + b - 1]
+                row.append({"start": int(chars[start] - zero), "end": int(chars[end] - zero)})
+        out.append(row)
+    return pa.array(out, pa.list_(pa.struct([("start", pa.int64()), ("end", pa.int64())])))
 
 
 def find_contamination(
@@ -186,16 +180,15 @@ def find_contamination(
     for block in range(blocks):
         own = asked.filter(F.pmod(F.xxhash64("item", "phrase"), F.lit(blocks)) == block).toArrow()
         phrases = Phrases(own["item"].combine_chunks(), own["phrase"].combine_chunks(), window)
-        found = found.mapInArrow(
-            _search(text, [n_words, marks, items], spark.sparkContext.broadcast(phrases)), found.schema
-        )
+        last = spans if block == blocks - 1 else None
+        schema = T.StructType([*found.schema.fields, *([T.StructField(spans, SPAN)] if last else [])])
+        shared = spark.sparkContext.broadcast(phrases)
+        found = found.mapInArrow(_search(text, [n_words, marks, items], shared, last), schema)
     n_hit = F.aggregate(
         quoted(marks), F.lit(0).cast("bigint"), lambda n, s: n + F.element_at(s, 2) - F.element_at(s, 1)
     )
-    hit, = fresh(found, "_hit")
-    schema = T.StructType([*[f for f in found.schema.fields if f.name != marks], T.StructField(hit, T.LongType()),
-                           T.StructField(spans, SPAN)])
-    found = found.withColumn(hit, n_hit).mapInArrow(_places(text, marks, spans), schema)
+    (hit,) = fresh(found, "_hit")
+    found = found.withColumn(hit, n_hit)
     return found.select(
         *[quoted(c) for c in base.columns],
         quoted(n_words).alias("n_words"),

@@ -1,7 +1,7 @@
 """Words and word shingles of an Arrow text column as 64-bit hashes, without a Python object for each word.
 
 A word is a run of bytes other than ``\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F`` after A-Z became a-z: digits, letters a-z
-and every character beyond ASCII. Texts are taken in slices of about two megabytes, a longer text as one slice of its
+and every character beyond ASCII. Texts are taken in slices of about half a megabyte, a longer text as one slice of its
 own; a slice needs about fifty times its bytes.
 """
 
@@ -14,7 +14,7 @@ from functools import cache
 import numpy as np
 import pyarrow as pa
 
-SLICE_BYTES = 2 << 20
+SLICE_BYTES = 1 << 19
 WORD_CHARACTER = r"[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]"
 _BASE = 0x9E3779B97F4A7C15 | 1
 
@@ -51,7 +51,7 @@ def _powers(size: int) -> tuple[np.ndarray, np.ndarray]:
 
 
 def _power_tables(n: int) -> tuple[np.ndarray, np.ndarray]:
-    return _powers(1 << max(22, int(n).bit_length()))
+    return _powers(1 << max(20, int(n).bit_length()))
 
 
 def _range_hash(values: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
