@@ -1,6 +1,7 @@
 """Toxicity, quality and licences: what is learned, odd rows, empty tables."""
 
 import random
+import textwrap
 import zlib
 
 import pytest
@@ -147,3 +148,25 @@ def test_licences_are_found_where_they_stand(spark):
 def test_licences_fit_on_an_empty_table(spark):
     docs = spark.createDataFrame([], "doc_id bigint, text string")
     assert scan_licences(docs, fit_licences(docs)).count() == 0
+
+
+def test_wrapped_licences_are_found(spark):
+    rng = random.Random(6)
+    filler = [" ".join(rng.choice("the na ti lo mar pel of in".split()) for _ in range(12)) for _ in range(200)]
+    bsd, mit = TEMPLATES["BSD"][3], TEMPLATES["MIT"][3]
+    mpl = ["# This Source Code Form is subject to the terms of the Mozilla Public",
+           "# License, v. 2.0. If a copy of the MPL was not distributed with this",
+           "# file, You can obtain one at http://mozilla.org/MPL/2.0/."]
+    wrapped = {1: ("MPL-2.0", mpl), 2: ("MPL-2.0", [x.replace("#", "REM") for x in mpl])}
+    for width in (20, 40, 75):
+        wrapped[width] = "BSD", textwrap.wrap(bsd, width)
+        wrapped[100 + width] = "MIT", textwrap.wrap(mit, width)
+    wrapped[3] = "BSD", bsd.split()
+    rows = [(i, "\n".join([filler[0], *lines, filler[1]])) for i, (_, lines) in wrapped.items()]
+    rows += [(1000 + i, x) for i, x in enumerate(filler)]
+    # Wrapped prose that shares runs with templates.
+    rows += [(2000, "He sent\na copy of\nthe letter\nsubject to\nthe terms of the post"), (2001, "a copy of\n\nwith or without")]
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string")
+    got = {r["doc_id"]: r["notices"] for r in scan_licences(docs, fit_licences(docs)).collect()}
+    for i, notices in got.items():
+        assert [(n["family"], n["line"]) for n in notices] == ([(wrapped[i][0], 1)] if i in wrapped else []), (i, notices)
