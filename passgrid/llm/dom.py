@@ -8,13 +8,17 @@ from html import unescape
 
 _MARKUP = re.compile(
     r"<!--.*?(?:-->|\Z)"
-    r"|<(?P<raw>script|style|template|noscript|textarea|svg|iframe|object|title)\b(?P<raw_rest>[^>]*)>"
+    r"|<(?P<raw>script|style|textarea|iframe|title)(?=[\s/>])[^>]*>"
     r"|<(?P<close>/?)(?P<name>[a-zA-Z][a-zA-Z0-9:-]*)(?P<rest>(?:[^>\"']|\"[^\"]*\"|'[^']*')*)>"
     r"|<[!?/][^>]*>",
     re.DOTALL | re.IGNORECASE,
 )
 _ATTRIBUTE = re.compile(r"""(class|id|role|hidden|style|aria-hidden)(?:\s*=\s*("[^"]*"|'[^']*'|[^\s>]+))?""", re.IGNORECASE)
 _SPACE = re.compile(r"\s+")
+_UNSEEN = re.compile(
+    r"<!--.*?-->|<(?P<close>/?)(?P<name>svg|object|template)(?=[\s/>])(?P<rest>(?:[^>\"']|\"[^\"]*\"|'[^']*')*)>",
+    re.DOTALL | re.IGNORECASE,
+)
 
 # ---- Fixed values: element kinds of HTML ---------------------------------------------------------------------------
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
@@ -38,6 +42,14 @@ ENDS_PARAGRAPH = frozenset(
 )
 
 
+# Unseen elements with markup of their own; noscript ends at its first end tag, whatever stands in it.
+UNSEEN = frozenset("svg object template".split())
+_RAW_END = {
+    name: re.compile(rf"</{name}(?=[\s/>])[^>]*>", re.IGNORECASE)
+    for name in ("script", "style", "textarea", "iframe", "title", "noscript")
+}
+
+
 @dataclass
 class Element:
     tag: str
@@ -61,13 +73,38 @@ class Page:
     pieces: list[tuple[int, str | None]] = field(default_factory=list)
 
 
+def _whole(rest: str) -> bool:
+    """Whether the name of a tag ends where ``rest`` begins."""
+    return not rest or rest[0] in " \t\n\r\f/"
+
+
+def _unseen_ends(html: str) -> dict[int, int]:
+    """Ends of unseen elements by their beginnings: each end tag balances the last start tag that is still open."""
+    ends: dict[int, int] = {}
+    open_: dict[str, list[int]] = {name: [] for name in UNSEEN}
+    for m in _UNSEEN.finditer(html):
+        name = (m["name"] or "").lower()
+        if not name:
+            continue
+        if not m["close"]:
+            if name != "svg" or not m["rest"].endswith("/"):
+                open_[name].append(m.start())
+        elif open_[name]:
+            ends[open_[name].pop()] = m.end()
+    return ends
+
+
 def read_page(html: str) -> Page:
-    """Elements and text of a page. Scripts, styles, titles, comments and other unseen text are left out; an unclosed
-    one reaches to the end."""
+    """Elements and text of a page. Scripts, styles, titles, comments and other unseen text are left out. An unclosed
+    script, style, title, frame or text field reaches to the end, as in browsers; an empty or unclosed drawing, object,
+    template or noscript hides nothing."""
     page = Page([Element("#page", -1)])
     elements, pieces = page.elements, page.pieces
     open_ = [0]
     at, n = 0, len(html)
+    # Found when needed: ends of unseen elements, and whether no noscript ends any more.
+    ends: dict[int, int] | None = None
+    endless = False
 
     def text(value: str) -> None:
         if value:
@@ -92,9 +129,7 @@ def read_page(html: str) -> Page:
         at = m.end()
         if m["raw"]:
             name = m["raw"].lower()
-            if name not in ("svg", "object", "noscript", "iframe"):
-                pass
-            end = re.compile(rf"</{name}\s*>", re.IGNORECASE).search(html, at)
+            end = _RAW_END[name].search(html, at)
             at = end.end() if end else n
             if name == "textarea":
                 pieces.append((open_[-1], None))
@@ -102,6 +137,17 @@ def read_page(html: str) -> Page:
         if not m["name"]:
             continue
         name = m["name"].lower()
+        if (name in UNSEEN or name == "noscript") and _whole(m["rest"]):
+            if m["close"]:
+                continue
+            if name == "noscript":
+                end = None if endless else _RAW_END[name].search(html, at)
+                endless = end is None
+                at = end.end() if end else at
+            else:
+                ends = _unseen_ends(html) if ends is None else ends
+                at = ends.get(m.start(), at)
+            continue
         if m["close"]:
             if name in INLINE or name == "br":
                 for i in range(len(open_) - 1, 0, -1):

@@ -99,3 +99,19 @@ def test_odd_tables(spark, model):
     assert by_id[3]["n_chars"] == len("\n".join([LINES[0], *[LINES[2]] * 20_000]))
     empty = fit_pages(spark.createDataFrame([], "page_id bigint, html string"))
     assert "first paragraph" in empty.extract(page())
+
+
+@pytest.mark.parametrize("markup, want", [
+    ("<header><svg class='i'/></header><p>a</p><svg><text>x</text></svg><p>b</p>", "a\nb"),
+    ("<header><svg class='i'><path d=''></header><p>a</p>", "a"),
+    ("<p>a</p><svg><svg><text>x</text></svg><title/><text>y</text></svg><p>b</p>", "a\nb"),
+    ("<object data='f'><p>a</p><object data='g'>x<object>y</object>z</object><p>b</p>", "a\nb"),
+    ("<title-bar>a</title-bar><p>b</p><object-viewer>c</object-viewer><svg-icon>d</svg-icon>", "a\nb\nc\nd"),
+    ("<noscript><iframe src='x'></noscript><p>a</p><noscript><p>b</p>", "a\nb"),
+    ("<template><p>x</p><!-- </template> --><template>y</template>z</template><p>a</p>", "a"),
+    ("<script>var s = '<svg>';</script><p>a</p><svg data-x='/>'><text>x</text></svg><p>b</p><script>'</svg>'</script><p>c", "a\nb\nc"),
+    ("<style media='x'>p{}</style ><title>t</title\n><p>a</p><textarea>no</textarea x><p>b", "a\nb"),
+])
+def test_unseen_elements_hide_no_more_than_themselves(markup, want):
+    got = read_page(markup)
+    assert blocks(got, [True] * len(got.elements)) == want
