@@ -6,7 +6,7 @@ text goes with the element that holds it. The model is trained on labelled pages
 with the marginals' help.
 
 Labels come from pages that mark their main text up themselves (``article`` or ``main``), a bounded sample of the pages
-given. Each is also used in disguise, with the telling elements renamed and with the usual surroundings of other sites
+given, drawn from all that do so. Each is also used in disguise, with the telling elements renamed and with the usual surroundings of other sites
 added, so that the model learns how content looks where nothing says so.
 """
 
@@ -26,7 +26,7 @@ from passgrid.llm.columns import quoted, without
 from passgrid.llm.dom import INLINE, Page, blocks, read_page
 
 SAMPLE_PAGES = 120
-LONGEST_SAMPLE = 20_000
+SAMPLE_CHARS = 6_000_000
 TURNS = 12
 
 # ---- Fixed values: names that sites give to parts of a page --------------------------------------------------------
@@ -271,25 +271,32 @@ def _blind(page: Page) -> Page:
 
 
 def fit_pages(pages: DataFrame, *, html_col: str = "html", id_col: str = "page_id", sample: int = SAMPLE_PAGES) -> TreeModel:
-    """A model from at most ``sample`` pages of at most ``LONGEST_SAMPLE`` characters, the first by a hash of the id."""
+    """A model from ``sample`` of the pages with marks, the first by a hash of id and page, copies once.
+
+    They may have ``SAMPLE_CHARS`` characters in all: a page longer than what is left is passed over, and if all are
+    longer, the shortest of them is taken. Only where no page has usable marks, a built-in one stands in.
+    """
     html = quoted(html_col).cast("string")
     keyed = pages.select(
         html.alias("html"), F.xxhash64(quoted(id_col).cast("string"), F.crc32(html.cast("binary"))).alias("h")
     )
-    # A hash thins the pages out before they are ordered, so that tasks send few of them.
-    scale, total = 1_000_000, pages.count()
-    share = scale if total <= 8 * sample else max(1, int(scale * 8 * sample / total))
-    rows = (
-        keyed.filter(F.pmod(F.col("h"), F.lit(scale)) < share)
-        .filter((F.length("html") <= LONGEST_SAMPLE) & F.col("html").rlike("(?i)<(article|main)[\\s>]"))
-        .orderBy("h")
-        .limit(sample)
-        .collect()
-    )
+    # Hashes and lengths are ordered first; only pages that are taken leave their tasks.
+    marked = keyed.filter(F.col("html").rlike("(?i)<(article|main)[\\s>]"))
+    first = marked.groupBy("h").agg(F.max(F.length("html")).alias("n")).orderBy("h").limit(sample).collect()
+    left, taken = SAMPLE_CHARS, []
+    for row in first:
+        if row["n"] <= left:
+            taken.append(row["h"])
+            left -= row["n"]
+    if first and not taken:
+        taken = [min(first, key=lambda row: row["n"])["h"]]
+    chosen = keyed.filter(F.col("h").isin(taken)).dropDuplicates(["h"]).orderBy("h").collect() if taken else []
     rng = random.Random(9)
-    labelled = []
-    for row in rows or [{"html": _PLAIN}]:
-        for html in (row["html"], disguised(row["html"], rng), disguised(row["html"], rng)):
+    labelled: list[tuple[Page, list[bool]]] = []
+    for original in [*(row["html"] for row in chosen), _PLAIN]:
+        if original is _PLAIN and labelled:
+            break
+        for html in (original, disguised(original, rng), disguised(original, rng)):
             page = read_page(html)
             gold = own_labels(page)
             if gold is not None:

@@ -3,6 +3,7 @@ import random
 
 import pytest
 
+from passgrid.llm import html_text
 from passgrid.llm.dom import Element, Page, blocks, read_page
 from passgrid.llm.html_text import TreeModel, disguised, edge_kind, extract_text, fit_pages
 
@@ -115,3 +116,30 @@ def test_odd_tables(spark, model):
 def test_unseen_elements_hide_no_more_than_themselves(markup, want):
     got = read_page(markup)
     assert blocks(got, [True] * len(got.elements)) == want
+
+
+def learned_from(monkeypatch, spark, rows):
+    seen = []
+    monkeypatch.setattr(html_text, "disguised", lambda html, rng: seen.append(html) or html)
+    fit_pages(spark.createDataFrame(rows, "page_id bigint, html string"))
+    assert seen[::2] == seen[1::2]
+    return seen[::2]
+
+
+def test_all_marked_pages_can_be_learned_from(spark, monkeypatch):
+    plain = [(i, f"<div><p>page {i}</p></div>") for i in range(3000)]
+    long = page(lines=[LINES[0], *[LINES[2]] * 300])
+    few = [(5000 + i, page(before=f"<p>{i}</p>")) for i in range(10)] + [(6000, long)] * 3
+    got = learned_from(monkeypatch, spark, plain + few)
+    assert len(long) > 20_000 and sorted(got) == sorted({html for _, html in few})
+    many = [(7000 + i, page(before=f"<p>{i}</p>")) for i in range(400)]
+    assert len(set(learned_from(monkeypatch, spark, plain + many))) == html_text.SAMPLE_PAGES
+
+
+def test_sample_is_bounded_by_characters(spark, monkeypatch):
+    rows = [(i, page(before=f"<p>{i}</p>")) for i in range(9)] + [(50, page(lines=[LINES[0], *[LINES[2]] * 30]))]
+    monkeypatch.setattr(html_text, "SAMPLE_CHARS", len(rows[0][1]) * 3)
+    assert len(learned_from(monkeypatch, spark, rows)) == 3
+    assert learned_from(monkeypatch, spark, rows[-1:]) == [rows[-1][1]]
+    hidden = [(1, "<article hidden><p>a</p></article>")]
+    assert learned_from(monkeypatch, spark, hidden) == [hidden[0][1], html_text._PLAIN]
