@@ -1,4 +1,5 @@
 import random
+import re
 from collections import Counter, defaultdict
 from datetime import datetime, timedelta
 
@@ -119,6 +120,21 @@ def test_plate_history_of_a_crowd_builds_no_pairs(spark):
     assert got.filter("history_size <> arrival_seq / 3 + 1").isEmpty() and got.count() == 10_000
 
 
+def test_plate_history_orders_no_crowded_cell_in_one_task(spark, monkeypatch):
+    staged = {}
+    monkeypatch.setattr(pairs, "stage", lambda df, label, real=pairs.stage: staged.setdefault(label, real(df, label)))
+    df = spark.range(9_000).select(
+        F.col("id").alias("arrival_seq"), F.lit("crowd").alias("hphm"), F.lit(1).alias("station_id"),
+        F.timestamp_seconds(F.lit(1_700_000_000) + F.col("id") * 7 % 1000).alias("gcsj"),
+    )
+    got = pairs.plate_history(df, hot_rows=500)
+    assert got.filter("history_size <> arrival_seq + 1").isEmpty() and got.count() == 9_000
+    assert staged["ranked"].groupBy("hphm", "cell", "part").count().agg(F.max("count")).first()[0] < 1_000
+    plan = got._jdf.queryExecution().analyzed().toString()
+    specs = re.findall(r"windowspecdefinition\((.*?) ASC", plan)
+    assert specs and all("slice#" in spec for spec in specs)
+
+
 @pytest.mark.parametrize("hot_rows, staged", [(None, False), (30, True)])
 def test_clone_alerts_match_brute_force(spark, hot_rows, staged):
     rows = skewed_passes(11, n=400)
