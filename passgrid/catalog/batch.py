@@ -84,7 +84,7 @@ def station_dim(spark, sf):
     """The station file, with a null entry and an outdated one, and the passes seen at each station."""
     entries = [None, {"stationId": 101, "name": "old", "lat": 0.0, "lon": 0.0}]
     entries += [dict(zip(("stationId", "name", "lat", "lon"), s)) for s in station_source.STATIONS]
-    path = shared_dir(spark, "stations")
+    path = f"{shared_dir(spark, 'stations')}/data"
     document = spark.range(1).select(F.lit(json.dumps(entries, ensure_ascii=False)).alias("value"))
     document.coalesce(1).write.text(path)
     stations = station_source.load_stations(spark, path)
