@@ -13,6 +13,7 @@ from passgrid.llm.licences import fit_licences, scan_licences
 from passgrid.llm.mixing import mix_sources
 from passgrid.llm.ngram_join import near_duplicates
 from passgrid.llm.quality import fit_quality, score_quality
+from passgrid.llm.quality_rules import apply_rules, fit_rules
 from passgrid.llm.secrets import fit_field, scan_secrets
 from passgrid.llm.shards import shard_documents
 from passgrid.llm.toxicity import fit_toxicity, score_toxicity
@@ -84,10 +85,17 @@ def op10_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op13_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return apply_rules(docs, fit_rules(docs, table(spark, sf_dir, "labels"))).select(
+        "doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept", "rule"
+    )
+
+
 QUERIES = {
     f.__name__: f
     for f in (
         op1_ego_join, op2_quality, op3_ngram_jaccard_join, op4_secrets, op5_toxicity, op6_shard_by_bytes, op7_mix_sources,
-        op8_licences, op9_html_text, op10_decontaminate,
+        op8_licences, op9_html_text, op10_decontaminate, op13_quality_rules,
     )
 }

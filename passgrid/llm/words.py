@@ -24,6 +24,17 @@ _IS_WORD = np.ones(256, bool)
 _IS_WORD[0x00:0x30] = _IS_WORD[0x3A:0x61] = _IS_WORD[0x7B:0x80] = False
 
 
+@dataclass(frozen=True, eq=False)
+class Alphabet:
+    """Which bytes belong to words, and what each byte counts as when words are compared."""
+
+    inside: np.ndarray
+    same_as: np.ndarray
+
+
+LOWER_WORDS = Alphabet(_IS_WORD[_LOWER], _LOWER)
+
+
 def mix(x: np.ndarray) -> np.ndarray:
     """Finalizer of 64-bit hashes (a bijection)."""
     x = x ^ (x >> np.uint64(30))
@@ -35,7 +46,7 @@ def mix(x: np.ndarray) -> np.ndarray:
 
 @cache
 def _bytes_table() -> np.ndarray:
-    return mix(np.arange(1, 257, dtype=np.uint64) * np.uint64(0xD6E8FEB86659FD93))[_LOWER]
+    return mix(np.arange(1, 257, dtype=np.uint64) * np.uint64(0xD6E8FEB86659FD93))
 
 
 @cache
@@ -54,7 +65,7 @@ def _power_tables(n: int) -> tuple[np.ndarray, np.ndarray]:
     return _powers(1 << max(20, int(n).bit_length()))
 
 
-def _range_hash(values: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
+def range_hash(values: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
     """Polynomial hash of ``values[s:e]``, independent of where the range lies."""
     up, down = _power_tables(len(values))
     sums = np.zeros(len(values) + 1, np.uint64)
@@ -84,7 +95,7 @@ class Words:
 
     def fingerprints(self) -> np.ndarray:
         """A hash of each text's sequence of words."""
-        return _range_hash(self.hashes, self.bounds[:-1], self.bounds[1:])
+        return range_hash(self.hashes, self.bounds[:-1], self.bounds[1:])
 
     def shingles(self, size: int) -> tuple[np.ndarray, np.ndarray]:
         """Hashes of each text's runs of ``size`` words and their bounds; a text of fewer words, but not none, is one
@@ -94,7 +105,7 @@ class Words:
         bounds = np.concatenate([[0], np.cumsum(per_text)])
         at = np.repeat(self.bounds[:-1] - bounds[:-1], per_text) + np.arange(bounds[-1])
         width = np.repeat(np.minimum(n, size), per_text)
-        return _range_hash(self.hashes, at, at + width), bounds
+        return range_hash(self.hashes, at, at + width), bounds
 
     def code_points(self, offsets: np.ndarray) -> np.ndarray:
         """Byte offsets of the slice as characters from its beginning."""
@@ -102,7 +113,7 @@ class Words:
         return chars[offsets]
 
 
-def slices(column: pa.Array) -> Iterator[Words]:
+def slices(column: pa.Array, alphabet: Alphabet = LOWER_WORDS) -> Iterator[Words]:
     """The words of all texts of a column, null as empty."""
     if isinstance(column, pa.ChunkedArray):
         column = column.combine_chunks()
@@ -116,16 +127,16 @@ def slices(column: pa.Array) -> Iterator[Words]:
     while first < len(column):
         last = int(np.searchsorted(offsets, offsets[first] + SLICE_BYTES, "right")) - 1
         last = min(max(last, first + 1), len(column))
-        yield _words(first, data[offsets[first] : offsets[last]], offsets[first : last + 1] - offsets[first])
+        yield _words(first, data[offsets[first] : offsets[last]], offsets[first : last + 1] - offsets[first], alphabet)
         first = last
 
 
-def _words(first: int, data: np.ndarray, text_starts: np.ndarray) -> Words:
+def _words(first: int, data: np.ndarray, text_starts: np.ndarray, alphabet: Alphabet) -> Words:
     inside = np.zeros(len(data) + 2, bool)
-    inside[1:-1] = _IS_WORD[_LOWER[data]]
+    inside[1:-1] = alphabet.inside[data]
     cut = np.zeros(len(data) + 1, bool)
     cut[text_starts] = True
     starts = np.flatnonzero(inside[1:] & (~inside[:-1] | cut))
     ends = np.flatnonzero(inside[:-1] & (~inside[1:] | cut))
-    hashes = _range_hash(_bytes_table()[data], starts, ends)
+    hashes = range_hash(_bytes_table()[alphabet.same_as[data]], starts, ends)
     return Words(first, hashes, np.searchsorted(starts, text_starts), starts, ends, text_starts, data)

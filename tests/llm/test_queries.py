@@ -28,6 +28,8 @@ COLUMNS = {
     "op9_html_text": ["page_id:bigint", "url:string", "text:string", "n_chars:bigint"],
     "op10_decontaminate": ["doc_id:bigint", "n_words:bigint", "n_hit:bigint", "n_items:bigint", "items_sha256:string",
                            "contaminated:boolean"],
+    "op13_quality_rules": ["doc_id:bigint", "n_words:bigint", "word_chars:bigint", "n_symbols:bigint", "n_dup_lines:bigint",
+                           "n_repeat_words:bigint", "base_failed:boolean", "kept:boolean"],
 }
 TABLE = {"op1_ego_join": "embeddings", "op9_html_text": "pages"}
 
