@@ -79,8 +79,56 @@ SELECT vec_id, CAST(coalesce(near.n, 0) AS BIGINT) AS n_links, coalesce(componen
 FROM embeddings LEFT JOIN near ON near.a = vec_id LEFT JOIN root ON root.a = vec_id
 """
 
+_SQUARE = "list_inner_product(x.c, x.c) - 2 * list_inner_product(x.c, k.c) + list_inner_product(k.c, k.c)"
+
+
+def _assigned(r: int) -> str:
+    """Round ``r``: each part's nearest entry of codebook ``r``, and its squared distance."""
+    return f"""
+a{r} AS MATERIALIZED (
+  SELECT rid, p, min(d) AS d, min_by(e, (d, e)) AS e
+  FROM (SELECT x.rid, x.p, k.e, {_SQUARE} AS d FROM x JOIN k{r} k ON x.p = k.p) GROUP BY rid, p
+)"""
+
+
+def _refitted(r: int) -> str:
+    """Codebook ``r + 1``: floored means, unused entries as they were."""
+    return f"""
+k{r + 1} AS MATERIALIZED (
+  SELECT k.p, k.e, coalesce(m.c, k.c) AS c
+  FROM k{r} k LEFT JOIN (
+    SELECT p, e, list(mean ORDER BY i) AS c
+    FROM (SELECT p, e, i, floor(sum(x.c[i]) / count(*)) AS mean
+          FROM a{r} JOIN x USING (rid, p), range(1, 17) AS t(i) GROUP BY p, e, i) GROUP BY p, e
+  ) m ON m.p = k.p AND m.e = k.e
+)"""
+
+
+_VECTOR_CODES = f"""
+WITH v AS MATERIALIZED (
+  SELECT row_number() OVER (ORDER BY vec_id) AS rid, vec_id, label,
+    list_transform(CAST(embedding AS DOUBLE[]), lambda x: floor(1024 * x)) AS c
+  FROM embeddings
+  WHERE len(embedding) > 0 AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+),
+x AS MATERIALIZED (SELECT rid, p, c[16 * p + 1:16 * p + 16] AS c FROM v, range(4) AS t(p)),
+k0 AS MATERIALIZED (SELECT p, rid - 1 AS e, c FROM x WHERE rid <= 256),
+{",".join(_assigned(r) + "," + _refitted(r) for r in range(4))},
+{_assigned(4)},
+coded AS (
+  SELECT rid, string_agg(format('{{:02x}}', e), '' ORDER BY p) AS code, CAST(sum(d) AS BIGINT) AS error FROM a4 GROUP BY rid
+),
+book AS (
+  SELECT sha256(string_agg(CAST(CAST(k.c[i] AS BIGINT) AS VARCHAR), ',' ORDER BY p, e, i)) AS digest
+  FROM k4 k, range(1, 17) AS t(i)
+)
+SELECT v.vec_id, code, error, CAST(sum(error) OVER (PARTITION BY label) AS BIGINT) AS label_error, digest AS codebooks_sha256
+FROM coded JOIN v USING (rid), book
+"""
+
 ORACLE_SQL = {
     "op1_ego_join": _EGO_JOIN,
     "op3_ngram_jaccard_join": _NGRAM_JOIN,
     "op10_decontaminate": _DECONTAMINATE,
+    "op11_vector_codes": _VECTOR_CODES,
 }

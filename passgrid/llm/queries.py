@@ -17,6 +17,7 @@ from passgrid.llm.quality_rules import apply_rules, fit_rules
 from passgrid.llm.secrets import fit_field, scan_secrets
 from passgrid.llm.shards import shard_documents
 from passgrid.llm.toxicity import fit_toxicity, score_toxicity
+from passgrid.llm.vector_codes import books_sha256, code_text, code_vectors, with_label_errors
 
 
 def op1_ego_join(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -85,6 +86,14 @@ def op10_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op11_vector_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    coded, books = code_vectors(table(spark, sf_dir, "embeddings"))
+    return with_label_errors(coded, "label", "label_error").select(
+        "vec_id", code_text(F.col("codes")).alias("code"), "error", "label_error",
+        F.lit(books_sha256(books)).alias("codebooks_sha256"),
+    )
+
+
 def op13_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     return apply_rules(docs, fit_rules(docs, table(spark, sf_dir, "labels"))).select(
@@ -96,6 +105,6 @@ QUERIES = {
     f.__name__: f
     for f in (
         op1_ego_join, op2_quality, op3_ngram_jaccard_join, op4_secrets, op5_toxicity, op6_shard_by_bytes, op7_mix_sources,
-        op8_licences, op9_html_text, op10_decontaminate, op13_quality_rules,
+        op8_licences, op9_html_text, op10_decontaminate, op11_vector_codes, op13_quality_rules,
     )
 }

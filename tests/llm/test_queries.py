@@ -28,10 +28,11 @@ COLUMNS = {
     "op9_html_text": ["page_id:bigint", "url:string", "text:string", "n_chars:bigint"],
     "op10_decontaminate": ["doc_id:bigint", "n_words:bigint", "n_hit:bigint", "n_items:bigint", "items_sha256:string",
                            "contaminated:boolean"],
+    "op11_vector_codes": ["vec_id:bigint", "code:string", "error:bigint", "label_error:bigint", "codebooks_sha256:string"],
     "op13_quality_rules": ["doc_id:bigint", "n_words:bigint", "word_chars:bigint", "n_symbols:bigint", "n_dup_lines:bigint",
                            "n_repeat_words:bigint", "base_failed:boolean", "kept:boolean"],
 }
-TABLE = {"op1_ego_join": "embeddings", "op9_html_text": "pages"}
+TABLE = {"op1_ego_join": "embeddings", "op11_vector_codes": "embeddings", "op9_html_text": "pages"}
 
 
 @pytest.fixture(scope="module")
