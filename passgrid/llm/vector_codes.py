@@ -52,8 +52,9 @@ _STATE = T.StructType([
 
 
 def _down(x: np.ndarray) -> np.ndarray:
-    """Single precision, never above ``x``."""
-    return np.nextafter(x.astype(np.float32), np.float32(-np.inf))
+    """Single precision, never above ``x``; infinite stays infinite."""
+    single = x.astype(np.float32)
+    return np.where(np.isinf(x), single, np.nextafter(single, np.float32(-np.inf)))
 
 
 def _root_up(squares: np.ndarray) -> np.ndarray:
