@@ -126,9 +126,32 @@ SELECT v.vec_id, code, error, CAST(sum(error) OVER (PARTITION BY label) AS BIGIN
 FROM coded JOIN v USING (rid), book
 """
 
+_RANKED_SEARCH = f"""
+WITH d AS MATERIALIZED (
+  SELECT row_number() OVER () AS r, doc_id, w, len(w) AS n FROM (SELECT doc_id, {_WORDS} AS w FROM documents) WHERE len(w) > 0
+),
+q AS MATERIALIZED (
+  SELECT DISTINCT i, item_id, unnest(w) AS term
+  FROM (SELECT row_number() OVER () AS i, item_id, {_WORDS} AS w FROM benchmark)
+),
+f AS MATERIALIZED (SELECT r, term, count(*) AS tf FROM (SELECT r, unnest(w) AS term FROM d) GROUP BY r, term),
+s AS (SELECT count(*) AS docs, CAST(sum(n) AS BIGINT) AS words FROM d),
+weight AS (
+  SELECT term, CAST(floor(1000 * ln((2 * docs + 2) / (2 * count(*) + 1))) AS BIGINT) AS w FROM f, s GROUP BY term, docs
+),
+score AS (
+  SELECT i, item_id, r, doc_id,
+    CAST(sum(weight.w * ((1000000000 * tf) // (1000 * tf + 20 * (100 - 50 + (50 * n * docs) // words)))) AS BIGINT) AS score
+  FROM q JOIN f USING (term) JOIN weight USING (term) JOIN d USING (r), s GROUP BY i, item_id, r, doc_id
+)
+SELECT item_id, CAST(row_number() OVER (PARTITION BY i ORDER BY score DESC, doc_id) AS INTEGER) AS rank, doc_id, score
+FROM score WHERE score > 0 QUALIFY row_number() OVER (PARTITION BY i ORDER BY score DESC, doc_id) <= 50
+"""
+
 ORACLE_SQL = {
     "op1_ego_join": _EGO_JOIN,
     "op3_ngram_jaccard_join": _NGRAM_JOIN,
     "op10_decontaminate": _DECONTAMINATE,
     "op11_vector_codes": _VECTOR_CODES,
+    "op12_ranked_search": _RANKED_SEARCH,
 }

@@ -9,6 +9,7 @@ from passgrid.llm.columns import table
 from passgrid.llm.decontaminate import find_contamination
 from passgrid.llm.ego_join import near_vectors
 from passgrid.llm.html_text import extract_text, fit_pages
+from passgrid.llm.lexical_search import search_documents
 from passgrid.llm.licences import fit_licences, scan_licences
 from passgrid.llm.mixing import mix_sources
 from passgrid.llm.ngram_join import near_duplicates
@@ -94,6 +95,10 @@ def op11_vector_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op12_ranked_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return search_documents(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
 def op13_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     return apply_rules(docs, fit_rules(docs, table(spark, sf_dir, "labels"))).select(
@@ -105,6 +110,7 @@ QUERIES = {
     f.__name__: f
     for f in (
         op1_ego_join, op2_quality, op3_ngram_jaccard_join, op4_secrets, op5_toxicity, op6_shard_by_bytes, op7_mix_sources,
-        op8_licences, op9_html_text, op10_decontaminate, op11_vector_codes, op13_quality_rules,
+        op8_licences, op9_html_text, op10_decontaminate, op11_vector_codes, op12_ranked_search,
+        op13_quality_rules,
     )
 }
