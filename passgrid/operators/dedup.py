@@ -2,15 +2,15 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable, Iterator
-
-import numpy as np
-import pyarrow as pa
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
+from passgrid.operators.dimension import join_dimension
 from passgrid.operators.enrich import add_dedup_key
+from passgrid.session import stage
+
+# Rows of a key that one task may gather; classes into which keys are hashed to bound them.
+CROWDED_ROWS, HASHES = 200_000, 4096
 
 
 def first_per_key(df: DataFrame, key: str, *order: str) -> DataFrame:
@@ -27,25 +27,83 @@ def dedup_passes(passes: DataFrame, *, order_col: str = "arrival_seq") -> DataFr
     return first_per_key(add_dedup_key(passes), "dedup_key", *order).drop("dedup_key")
 
 
-def _spaced(key: str, clock: str, hours: float) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
-    """Of rows sorted by key and clock, those at least ``hours`` after the last one kept of their key."""
-    life = int(hours * 3_600_000_000)
+def _spread(keyed: DataFrame, at: Column) -> tuple[int, int]:
+    """The time from the first to the last pass in microseconds, and a bound on the rows of any key. One scan without
+    a shuffle of passes: counts by a hash of the key are combined where they are read."""
+    dealt = keyed.groupBy(F.pmod(F.xxhash64("dedup_key"), F.lit(HASHES)).alias("hash"))
+    counts = dealt.agg(F.count("*").alias("n"), F.min(at).alias("first"), F.max(at).alias("last"))
+    row = counts.agg(F.max("n").alias("n"), (F.max("last") - F.min("first")).alias("span")).first()
+    return row["span"] or 0, row["n"] or 0
+
+
+def _kept_of_epoch(times: Column, start: Column, life: int) -> Column:
+    """Of the sorted times of an epoch, those at least ``life`` after the one kept before, of which ``start`` is the first."""
+    return F.aggregate(
+        times,
+        F.struct(start.alias("last"), F.array().cast("array<bigint>").alias("kept")),
+        lambda held, t: F.when(
+            t >= held["last"] + life, F.struct(t.alias("last"), F.concat(held["kept"], F.array(t)).alias("kept"))
+        ).otherwise(held),
+        lambda held: held["kept"],
+    )
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held, until, untimed = None, 0, False
-        for batch in batches:
-            times = batch.column(clock).cast(pa.timestamp("us", "UTC")).cast(pa.int64()).to_pylist()
-            keep = np.zeros(len(times), bool)
-            for i, (own, at) in enumerate(zip(batch.column(key).to_pylist(), times)):
-                if own != held:
-                    held, until, untimed = own, None, False
-                if at is None:
-                    keep[i], untimed = not untimed, True
-                elif until is None or at >= until:
-                    keep[i], until = True, at + life
-            yield batch.filter(pa.array(keep))
 
-    return run
+def _spaced(keyed: DataFrame, at: Column, order_col: str, life: int) -> DataFrame:
+    """Rows kept of keys that one task may read.
+
+    A row that follows the one before it after ``life`` or more is kept whatever came before, as is the first row of a
+    key: each begins an epoch. Nothing else is kept of an epoch shorter than ``life``. Only what lies ``life`` or more
+    behind the start of its epoch is left to decide; it is gathered by epoch, in the partitioning that the windows have
+    made, and gone through in order.
+    """
+    columns = keyed.columns
+    timed = keyed.withColumns({"_at": at, "_untimed": at.isNull()})
+    along = Window.partitionBy("dedup_key", "_untimed").orderBy("_at", order_col)
+    before = F.lag("_at").over(along)
+    opens = before.isNull() | (F.col("_at") - before >= life)
+    # Passes without a time have no epochs: the first of them stays.
+    opens = F.when(F.col("_untimed"), F.row_number().over(along) == 1).otherwise(opens)
+    marked = timed.withColumn("_opens", opens).withColumn("_repeats", F.coalesce(F.col("_at") == before, F.lit(False)))
+    start = F.last(F.when(F.col("_opens"), F.col("_at")), ignorenulls=True).over(along)
+    marked = marked.withColumn("_start", start)
+    sure = marked.filter("_opens").select(*columns)
+    # Of rows of one microsecond only the first can be kept.
+    open_rows = marked.filter(~F.col("_opens") & ~F.col("_repeats") & (F.col("_at") - F.col("_start") >= life))
+    gathered = open_rows.groupBy("dedup_key", "_untimed", "_start").agg(
+        F.collect_list(F.struct("_at", F.struct(*columns).alias("_row"))).alias("_rows")
+    )
+    times = F.array_sort(F.transform("_rows", lambda r: r["_at"]))
+    chosen = gathered.withColumn("_kept", _kept_of_epoch(times, F.col("_start"), life))
+    rows = chosen.select("_kept", F.explode("_rows").alias("_r")).filter(F.array_contains("_kept", F.col("_r._at")))
+    return sure.unionByName(rows.select("_r._row.*").select(*columns))
+
+
+def _spaced_crowded(keyed: DataFrame, at: Column, order_col: str, life: int) -> DataFrame:
+    """The same for keys of any size: a key's rows stay spread over all tasks.
+
+    The times kept are found in rounds, for all keys at once: the first time of each key, then the first one that is at
+    least ``life`` later, and so on; a round is a minimum per key, combined where the rows are read. There are as many
+    rounds as a key has rows kept, at most the length of the input divided by ``life``, and one.
+    """
+    columns = keyed.columns
+    narrow = stage(keyed.select("dedup_key", at.alias("_at")).distinct(), "crowded")
+    kept = narrow.groupBy("dedup_key").agg(F.min("_at").alias("_at"))
+    found = kept = stage(kept, "kept")
+    while True:
+        until = found.filter("_at is not null").withColumnRenamed("_at", "_last")
+        later = join_dimension(narrow, until, "dedup_key").filter(F.col("_at") >= F.col("_last") + life)
+        found = stage(later.groupBy("dedup_key").agg(F.min("_at").alias("_at")), "kept")
+        if found.isEmpty():
+            break
+        kept = kept.unionByName(found)
+    # Passes without a time: one more row per key, beside its times.
+    untimed = narrow.filter("_at is null").distinct()
+    kept = kept.filter("_at is not null").unionByName(untimed).withColumn("_untimed", F.col("_at").isNull())
+    kept = stage(kept.withColumn("_at", F.coalesce("_at", F.lit(0))), "kept")
+    timed = keyed.withColumns({"_untimed": at.isNull(), "_at": F.coalesce(at, F.lit(0))})
+    rows = join_dimension(timed, kept, ["dedup_key", "_at", "_untimed"], how="left_semi")
+    alike = Window.partitionBy("dedup_key", "_at", "_untimed").orderBy(order_col)
+    return rows.withColumn("_rank", F.row_number().over(alike)).filter("_rank = 1").select(*columns)
 
 
 def dedup_passes_ttl(
@@ -54,20 +112,33 @@ def dedup_passes_ttl(
     hours: float = 24,
     clock: str = "ingest_time",
     order_col: str = "arrival_seq",
+    crowded_rows: int = CROWDED_ROWS,
 ) -> DataFrame:
     """Batch: as :func:`dedup_passes`, but a key is forgotten ``hours`` after the row kept for it, so a later arrival is
-    kept again.
+    kept again. Passes without a time come first: the first of them per key is kept and prolongs nothing.
 
-    One shuffle by key; each partition is sorted by key, clock and ``order_col`` and passed through once, remembering the
-    last time kept. Before it, rows that fall on one microsecond of their key are reduced to the first where they are
-    read. Passes without a time come first: the first of them per key is kept and prolongs nothing.
+    A first scan of keys and times tells how the rest is done. An input shorter than ``hours`` can't hold a key twice:
+    the first row per key stays, and the rank filter runs before the one shuffle too. A longer one is shuffled once by
+    key and decided by window functions; see :func:`_spaced`. Keys with more than ``crowded_rows`` rows, if any, are
+    decided apart, without gathering them; see :func:`_spaced_crowded`.
     """
+    life = round(hours * 3_600_000_000)
     keyed = add_dedup_key(passes)
-    alike = Window.partitionBy("dedup_key", clock).orderBy(order_col)
-    fewer = keyed.withColumn("_rank", F.row_number().over(alike)).filter("_rank = 1").drop("_rank")
-    ordered = fewer.repartition("dedup_key").sortWithinPartitions("dedup_key", clock, order_col)
-    schema = T.StructType([T.StructField(f.name, f.dataType) for f in ordered.schema.fields])
-    return ordered.mapInArrow(_spaced("dedup_key", clock, hours), schema).drop("dedup_key")
+    at = F.unix_micros(F.col(clock).cast("timestamp"))
+    span, most = _spread(keyed, at)
+    if span < life:
+        first = Window.partitionBy("dedup_key", F.col(clock).isNull()).orderBy(clock, order_col)
+        ranked = keyed.withColumn("_rank", F.row_number().over(first))
+        return ranked.filter("_rank = 1").drop("_rank", "dedup_key")
+    if most <= crowded_rows:
+        return _spaced(keyed, at, order_col, life).drop("dedup_key")
+    counts = keyed.groupBy("dedup_key").count()
+    crowded = stage(counts.filter(F.col("count") > crowded_rows).select("dedup_key"), "crowded")
+    if crowded.isEmpty():
+        return _spaced(keyed, at, order_col, life).drop("dedup_key")
+    few = _spaced(join_dimension(keyed, crowded, "dedup_key", how="left_anti"), at, order_col, life)
+    many = _spaced_crowded(join_dimension(keyed, crowded, "dedup_key", how="left_semi"), at, order_col, life)
+    return few.unionByName(many).drop("dedup_key")
 
 
 def stream_dedup_passes(passes: DataFrame, *, hours: int = 24, clock: str | None = None) -> DataFrame:

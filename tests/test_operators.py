@@ -189,34 +189,68 @@ def test_dedup_keeps_first_arrival_and_cuts_hot_keys_before_the_shuffle(spark):
     assert plan.index("row_number(), 1, Final") < exchange < plan.index("row_number(), 1, Partial")
 
 
-@pytest.mark.parametrize("hours", [0.5, 24])
-def test_dedup_with_retention_matches_brute_force(spark, hours):
-    rng = random.Random(8)
-    rows = [(i, 77 if i % 3 == 0 else rng.randrange(1, 400), 1, "P", START,) for i in range(600)]
-    df = pass_frame(spark, rows).withColumn(
-        "ingest_time", F.lit(START).cast("timestamp") + F.expr("make_dt_interval(0, 0, 0, arrival_seq * 30)"))
-    kept, last = [], {}
-    for r in rows:
-        if r[1] not in last or (r[0] - last[r[1]]) * 30 >= hours * 3600:
-            last[r[1]] = r[0]
-            kept.append(r[0])
-    got = dedup_passes_ttl(df, hours=hours)
-    assert sorted(r.arrival_seq for r in got.collect()) == kept
+def spaced_by_hand(rows, hours):
+    """Arrivals kept: of (arrival, key, seconds or None), the first per key, then the first ``hours`` after each kept."""
+    kept, last, untimed = [], {}, set()
+    for arrival, key, at in sorted(rows, key=lambda r: (r[2] is not None, r[2] or 0, r[0])):
+        if at is None:
+            if key not in untimed:
+                kept.append(arrival)
+            untimed.add(key)
+        elif key not in last or at - last[key] >= hours * 3600:
+            last[key] = at
+            kept.append(arrival)
+    return sorted(kept)
+
+
+def spaced_rows(seed):
+    """Keys with long and short epochs, ties in time, no time, and a key with a third of all rows and long gaps."""
+    rng = random.Random(seed)
+    rows = []
+    for i in range(1500):
+        key = 77 if i % 3 == 0 else rng.randrange(1, 200)
+        at = rng.choice([None, rng.randrange(0, 90) * 60, rng.randrange(0, 20) * 3600, rng.randrange(400_000)])
+        if key == 77 and at is not None:
+            at = at // 600 * 600 + 500_000 * rng.randrange(3)
+        rows.append((i, key, at))
+    return rows
+
+
+@pytest.mark.parametrize("hours, crowded", [(0.5, 200_000), (24, 200_000), (10_000, 200_000), (48, 60)])
+def test_dedup_with_retention_matches_brute_force(spark, hours, crowded):
+    rows = spaced_rows(8)
+    seconds_of = dict((r[0], r[2]) for r in rows)
+    passes = pass_frame(spark, [(i, key, 1, "P", START) for i, key, _ in rows])
+    times = spark.createDataFrame(
+        [(i, None if s is None else START + timedelta(seconds=s)) for i, s in seconds_of.items()],
+        "arrival_seq long, ingest_time timestamp")
+    df = passes.join(times, "arrival_seq")
+    got = dedup_passes_ttl(df, hours=hours, crowded_rows=crowded)
+    assert sorted(r.arrival_seq for r in got.collect()) == spaced_by_hand(rows, hours)
     assert got.columns == df.columns
 
 
-def test_dedup_with_retention_takes_one_job_however_often_a_key_returns(spark):
+def exchanges(df):
+    plan = df._jdf.queryExecution().executedPlan().toString()
+    return plan.count("Exchange hashpartitioning(dedup_key"), "Python" in plan or "MapInArrow" in plan
+
+
+def test_dedup_with_retention_shuffles_passes_once(spark, tmp_path):
+    """Also with a key that always returns; without Python, whether epochs are long or not."""
     at = lambda i: START + timedelta(hours=30 * i)
     rows = [(i, 5, 1, "P", at(0)) for i in range(400)] + [(1000, 6, 1, "P", at(0)), (1001, 6, 1, "P", at(0))]
     clock = F.when(F.col("gcxh") == 5, F.lit(START).cast("timestamp") + F.expr("make_dt_interval(0, arrival_seq * 30, 0, 0)"))
     df = pass_frame(spark, rows).withColumn("ingest_time", clock)
-    tracker = spark.sparkContext.statusTracker()
-    spark.sparkContext.setJobGroup("returns", "returns")
-    got = sorted(r.arrival_seq for r in dedup_passes_ttl(df).collect())
-    jobs = len(tracker.getJobIdsForGroup("returns"))
-    spark.sparkContext.setJobGroup("", "")
+    df.write.parquet(str(tmp_path / "passes"))
+    df = spark.read.parquet(str(tmp_path / "passes"))
+    short = dedup_passes_ttl(df.filter("arrival_seq < 1 or arrival_seq >= 1000"))
+    assert exchanges(short) == (1, False)
+    long = dedup_passes_ttl(df)
     # Passes without a time: the first of a key stays.
-    assert got == [*range(400), 1000] and jobs <= 5
+    assert sorted(r.arrival_seq for r in long.collect()) == [*range(400), 1000]
+    plan = long._jdf.queryExecution().executedPlan().toString()
+    plan = plan[plan.index("Final Plan"):plan.index("Initial Plan")]
+    assert plan.count("ReusedExchange") == 1 and "Python" not in plan and "MapInArrow" not in plan
 
 
 def test_both_batch_dedups_keep_the_same_row(spark):
