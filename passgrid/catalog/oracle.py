@@ -311,6 +311,11 @@ passes AS (
                                                               + crowd, 1)
     sql["watermark_passes"] = _with(_PASSES, select="""
 SELECT date_trunc('millisecond', max(gcsj)) - INTERVAL 120 SECOND AS watermark FROM passes WHERE station_id > 0""")
+    sql["stream_plate_history"] = sql["plate_history"].replace("FROM passes c JOIN passes p", "FROM narrow_decode c JOIN narrow_decode p").replace(
+        _PASSES, _PASSES + "," + _DECODED, 1)
+    sql["stream_partition_stats"] = sql["station_stats"]
+    sql["stream_late_counts"] = _with(_PASSES, select=f"""
+SELECT count(*) AS late, CAST(1 AS BIGINT) AS triggers FROM passes WHERE station_id > 0 AND {_LATE}""")
     sql["stream_late_drop"] = _with(_PASSES, clean, select=f"""
 SELECT 'stats' AS reached, count(*) AS passes FROM clean
 UNION ALL

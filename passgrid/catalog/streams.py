@@ -19,11 +19,13 @@ from passgrid.catalog.batch import ALERT_DOUBLES, plain_time, rounded
 from passgrid.operators.dedup import stream_dedup_passes as stream_dedup
 from passgrid.operators.enrich import enrich_passes, pass_detail
 from passgrid.operators.filters import filter_essential
+from passgrid.live.late import LateCounts, read_late_counts
 from passgrid.operators.pairs import hot_plate_splits
+from passgrid.operators.shard import shard_by_station
 from passgrid.operators.stats import with_pass_watermark
 from passgrid.plans.clones import locate_passes
 from passgrid.plans.traffic import clean_passes
-from passgrid.session import shared_dir, stage
+from passgrid.session import RECOMMENDED_CONF, shared_dir, stage
 from passgrid.settings import DETAIL_SCHEMA
 from passgrid.sources.passes import decode_passes_narrow
 from passgrid.sources.records import archived_records, text_records
@@ -32,7 +34,9 @@ from passgrid.sinks.files import read_latest
 from passgrid.live.queries import (
     file_writer,
     start_alerts,
+    partitioned_stats_stream,
     start_detail,
+    start_history,
     start_rejects,
     start_stats,
     start_stats_upsert,
@@ -55,6 +59,27 @@ def _state_partitions(spark: SparkSession) -> Iterator[None]:
         spark.conf.set(name, before)
 
 
+@contextmanager
+def keyed_state(spark: SparkSession) -> Iterator[None]:
+    """While queries start: the state store that keyed state needs, and no triggers without data, as keyed state on the
+    clock of the triggers asks for another one each time and a run over what is available would never end."""
+    provider = "spark.sql.streaming.stateStore.providerClass"
+    own = {provider: RECOMMENDED_CONF[provider], "spark.sql.streaming.noDataMicroBatches.enabled": "false"}
+    before = {k: spark.conf.get(k, None) for k in own}
+    for k, v in own.items():
+        spark.conf.set(k, v)
+    try:
+        yield
+    finally:
+        for k, v in before.items():
+            spark.conf.unset(k) if v is None else spark.conf.set(k, v)
+
+
+def wait_for_listeners(spark: SparkSession) -> None:
+    """Until listeners have been told of all that happened so far."""
+    spark.sparkContext._jsc.sc().listenerBus().waitUntilEmpty(60_000)
+
+
 def _slices(df: DataFrame, n: int = SLICES) -> list[DataFrame]:
     """``df`` cut into ``n`` arrivals of about equal length."""
     last = df.agg(F.max("arrival_seq")).first()[0]
@@ -278,11 +303,68 @@ def stream_late_drop(spark, sf):
     )
 
 
+def stream_plate_history(spark, sf):
+    """History sizes from keyed state, over three triggers."""
+    base = shared_dir(spark, "history")
+    with keyed_state(spark):
+        _run(
+            spark, _slices(fx.records(spark, sf)), f"{base}/in",
+            lambda: start_history(archived_records(spark, f"{base}/in"), base, f"{base}/checkpoint", available_now=True),
+        )
+    return spark.read.parquet(f"{base}/history").select("arrival_seq", "hphm", "history_size")
+
+
+def stream_partition_stats(spark, sf):
+    """Statistics of two source partitions, of which the second arrives one trigger, hours of passes, after the first."""
+    base = shared_dir(spark, "partitions")
+    clean = stage(clean_passes(fx.passes(spark, sf)).drop("tags"), "clean")
+    detail = pass_detail(clean, created_at=F.col("ingest_time")).withColumn("arrival_seq", F.unix_seconds("gcsj"))
+    detail = detail.withColumn("arrival_seq", F.col("arrival_seq") - fx.T0 // 1_000_000)
+    nothing, flush = detail.limit(0), _flush(detail)
+    first, second = detail.filter("station_id % 3 <> 0"), detail.filter("station_id % 3 = 0")
+    streams = [[*_slices(first), flush, flush, nothing], [nothing, *_slices(second), flush, flush]]
+
+    def start():
+        parts = [spark.readStream.schema(DETAIL_SCHEMA).parquet(f"{base}/in{i}") for i in (0, 1)]
+        stats = partitioned_stats_stream(parts)
+        return file_writer(stats, f"{base}/out", f"{base}/checkpoint", available_now=True).start()
+
+    with _state_partitions(spark):
+        for arrivals in zip(*streams):
+            for i, arrival in enumerate(arrivals):
+                arrival.drop("arrival_seq").write.mode("append").parquet(f"{base}/in{i}")
+            start().awaitTermination()
+    return plain_time(_read(spark, f"{base}/out").drop("shard"))
+
+
+def stream_late_counts(spark, sf):
+    """The account of passes too late for the statistics: every thirteenth pass once more, days behind."""
+    base = shared_dir(spark, "late-counts")
+    p = fx.passes(spark, sf)
+    late = filter_essential(p).filter(F.col("event_id") % 13 == 0).withColumn("gcxh", F.col("arrival_seq") + 2**50)
+    arrivals = [p, _flush(p, 3), _flush(p, 4), late, _flush(p, 5)]
+    records = [pass_detail(enrich_passes(filter_essential(a))).drop("tags") for a in arrivals]
+    listener = LateCounts(spark, f"{base}/counts")
+    spark.streams.addListener(listener)
+    name = f"late-{base[-8:]}"
+    try:
+        _run(spark, [shard_by_station(r) for r in records], f"{base}/detail",
+             lambda: start_stats(spark, base, f"{base}/checkpoint", name=name, count_late=True, available_now=True))
+        wait_for_listeners(spark)
+    finally:
+        spark.streams.removeListener(listener)
+    counts = read_late_counts(spark, f"{base}/counts").filter(F.col("query") == name)
+    return counts.agg(F.coalesce(F.sum("late"), F.lit(0)).alias("late"), F.count("*").alias("triggers"))
+
+
 QUERIES = {
     "source_passes": source_passes,
     "watermark_passes": watermark_passes,
     "stream_station_stats": stream_station_stats,
     "stream_late_drop": stream_late_drop,
+    "stream_plate_history": stream_plate_history,
+    "stream_partition_stats": stream_partition_stats,
+    "stream_late_counts": stream_late_counts,
     "stream_dedup_passes": stream_dedup_passes,
     "stream_traffic_detail": stream_traffic_detail,
     "stream_traffic_stats": stream_traffic_stats,

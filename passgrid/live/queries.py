@@ -11,7 +11,7 @@ the busiest day.
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from collections.abc import Callable, Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -20,7 +20,9 @@ from pyspark.sql.streaming import DataStreamWriter, StreamingQuery
 
 from passgrid.operators.dedup import stream_dedup_passes
 from passgrid.operators.enrich import enrich_passes, pass_detail
-from passgrid.operators.filters import filter_essential
+from passgrid.live.history import history_stream
+from passgrid.live.late import late_gate, united_partitions
+from passgrid.operators.filters import filter_essential, filter_plate_present
 from passgrid.operators.pairs import plate_pairs
 from passgrid.operators.shard import shard_by_station
 from passgrid.operators.stats import station_stats, stats_rows, with_pass_watermark
@@ -38,10 +40,23 @@ def detail_stream(records: DataFrame, settings: TrafficSettings = TrafficSetting
     return shard_by_station(pass_detail(deduped), settings.shards)
 
 
-def stats_stream(detail: DataFrame, settings: TrafficSettings = TrafficSettings()) -> DataFrame:
-    """Detail rows to closed station windows, each emitted once."""
-    stats = station_stats(with_pass_watermark(detail, settings.watermark_delay), settings.window)
-    return shard_by_station(stats_rows(stats), settings.shards)
+def stats_stream(detail: DataFrame, settings: TrafficSettings = TrafficSettings(), *,
+                 count_late: bool = False) -> DataFrame:
+    """Detail rows to closed station windows, each emitted once. With ``count_late`` the query's first operator counts
+    the passes that come too late; see :func:`passgrid.live.late.late_gate`."""
+    return _window_stream(with_pass_watermark(detail, settings.watermark_delay), settings, count_late)
+
+
+def partitioned_stats_stream(partitions: Sequence[DataFrame], settings: TrafficSettings = TrafficSettings(), *,
+                             count_late: bool = False) -> DataFrame:
+    """As :func:`stats_stream` for the streams of several source partitions, each with a watermark of its own."""
+    return _window_stream(united_partitions(partitions, settings.watermark_delay), settings, count_late)
+
+
+def _window_stream(passes: DataFrame, settings: TrafficSettings, count_late: bool) -> DataFrame:
+    if count_late:
+        passes = late_gate(passes, settings.window)
+    return shard_by_station(stats_rows(station_stats(passes, settings.window)), settings.shards)
 
 
 def alert_stream(records: DataFrame, stations: DataFrame, settings: CloneSettings = CloneSettings(),
@@ -123,9 +138,21 @@ def start_detail(records: DataFrame, out: str, checkpoint: str, settings: Traffi
 
 
 def start_stats(spark: SparkSession, out: str, checkpoint: str, settings: TrafficSettings = TrafficSettings(),
-                **trigger) -> StreamingQuery:
-    detail = read_detail_stream(spark, f"{out}/detail")
-    return file_writer(stats_stream(detail, settings), f"{out}/stats", f"{checkpoint}/stats", **trigger).start()
+                *, name: str | None = None, count_late: bool = False, **trigger) -> StreamingQuery:
+    """Write ``out/stats``. With a ``name`` and ``count_late``, a :class:`passgrid.live.late.LateCounts` that listens to
+    the session accounts for late passes."""
+    stats = stats_stream(read_detail_stream(spark, f"{out}/detail"), settings, count_late=count_late)
+    writer = file_writer(stats, f"{out}/stats", f"{checkpoint}/stats", **trigger)
+    return (writer.queryName(name) if name else writer).start()
+
+
+def start_history(records: DataFrame, out: str, checkpoint: str, settings: CloneSettings = CloneSettings(),
+                  **trigger) -> StreamingQuery:
+    """Write ``out/history``, the size of each pass's plate history; records need ``arrival_seq``."""
+    passes = decode_passes_narrow(records, keep=["arrival_seq", "ingest_time"])
+    usable = filter_plate_present(filter_essential(passes))
+    history = shard_by_station(history_stream(usable, settings), settings.shards)
+    return file_writer(history, f"{out}/history", f"{checkpoint}/history", **trigger).start()
 
 
 def start_stats_upsert(spark: SparkSession, out: str, checkpoint: str, settings: TrafficSettings = TrafficSettings(),

@@ -39,7 +39,7 @@ def write_sharded(df: DataFrame, path: str, *, time_col: str | None = None, orde
     )
 
 
-def _put(spark: SparkSession, path: str, text: str) -> None:
+def put_text(spark: SparkSession, path: str, text: str) -> None:
     """Write a small file in one step: readers see the old one or the new one."""
     jvm = spark.sparkContext._jvm
     place, part = jvm.org.apache.hadoop.fs.Path(path), jvm.org.apache.hadoop.fs.Path(f"{path}.{uuid.uuid4().hex}._new")
@@ -58,8 +58,8 @@ def append_load(df: DataFrame, path: str, load_id: int) -> None:
     or by no rows."""
     attempt = uuid.uuid4().hex
     df.write.partitionBy("shard").parquet(f"{path}/loads/load_id={load_id}/attempt={attempt}")
-    _put(df.sparkSession, f"{path}/commits/{load_id}.json",
-         json.dumps({"load_id": load_id, "attempt": attempt, "columns": df.schema.json()}) + "\n")
+    put_text(df.sparkSession, f"{path}/commits/{load_id}.json",
+             json.dumps({"load_id": load_id, "attempt": attempt, "columns": df.schema.json()}) + "\n")
 
 
 def _committed(spark: SparkSession, path: str, up_to: int | None = None) -> DataFrame:
