@@ -18,7 +18,7 @@ from passgrid.operators.dimension import join_dimension
 from passgrid.plans import clones, traffic
 from passgrid.session import shared_dir
 from passgrid.settings import CloneSettings
-from passgrid.sinks import files
+from passgrid.sinks import files, keyed
 from passgrid.sources import dictionary as dicts
 from passgrid.sources import passes as decoding
 from passgrid.sources import stations as station_source
@@ -335,6 +335,18 @@ def upsert_stats(spark, sf):
     return plain_time(merge.upsert_stats(current, new))
 
 
+def upsert_stats_buckets(spark, sf):
+    """The same two loads, merged into buckets of an hour as they are written; the second again under its number."""
+    path = shared_dir(spark, "buckets")
+    clean = _clean(spark, sf)
+    until, since = F.expr("timestamp'2024-01-01 04:00:00'"), F.expr("timestamp'2024-01-01 03:00:15'")
+    loads = [clean.filter(F.col("gcsj") < until), clean.filter(F.col("gcsj") >= since)]
+    write = keyed.upsert_batches(path)
+    for number, load in enumerate([*loads, loads[1]]):
+        write(stats.stats_rows(stats.station_stats(load)), min(number, 1))
+    return plain_time(keyed.read_buckets(spark, path))
+
+
 def reload_stats(spark, sf):
     """A load of statistics written again with those of even stations only: nothing of the first attempt stays."""
     path = shared_dir(spark, "reload")
@@ -437,6 +449,7 @@ QUERIES = {
     "histogram_json": histogram_json_,
     "sink_pass_detail": sink_pass_detail,
     "upsert_stats": upsert_stats,
+    "upsert_stats_buckets": upsert_stats_buckets,
     "reload_stats": reload_stats,
     "sink_clone_alerts": sink_clone_alerts,
     "shard_by_station": shard_by_station,

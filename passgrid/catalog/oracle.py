@@ -292,6 +292,7 @@ FROM passes WHERE event_id % 41 = 0 OR event_id % 43 = 0"""),
         "reload_stats": _with(_PASSES, clean, _stats("clean", 1800), select=_STATS_SELECT.format(name="stats")
                               + " WHERE station_id % 2 = 0"),
     }
+    sql["upsert_stats_buckets"] = sql["upsert_stats"]
     # Streams give what the batch jobs give.
     sql["stream_dedup_passes"] = _with(_PASSES, clean, select="SELECT gcxh, station_id, hphm, gcsj FROM clean")
     sql["stream_station_stats"] = sql["station_stats"]
@@ -311,8 +312,20 @@ passes AS (
                                                               + crowd, 1)
     sql["watermark_passes"] = _with(_PASSES, select="""
 SELECT date_trunc('millisecond', max(gcsj)) - INTERVAL 120 SECOND AS watermark FROM passes WHERE station_id > 0""")
-    sql["stream_plate_history"] = sql["plate_history"].replace("FROM passes c JOIN passes p", "FROM narrow_decode c JOIN narrow_decode p").replace(
-        _PASSES, _PASSES + "," + _DECODED, 1)
+    # A pass is in the history until one arrives that lies beyond the horizon from it.
+    sql["stream_plate_history"] = _with(_PASSES, _DECODED, """
+usable AS (
+  SELECT arrival_seq, hphm, epoch_us(gcsj) // 1000000 AS second FROM narrow_decode WHERE station_id > 0 AND trim(hphm) <> ''
+),
+gone AS (
+  SELECT p.arrival_seq, min(x.arrival_seq) AS at
+  FROM usable p JOIN usable x ON x.hphm = p.hphm AND x.arrival_seq > p.arrival_seq AND abs(x.second - p.second) > 2700
+  GROUP BY p.arrival_seq
+)""", select="""
+SELECT c.arrival_seq, c.hphm, count(*) AS history_size
+FROM usable c JOIN usable p ON p.hphm = c.hphm AND p.arrival_seq <= c.arrival_seq
+  LEFT JOIN gone ON gone.arrival_seq = p.arrival_seq
+WHERE gone.at IS NULL OR gone.at > c.arrival_seq GROUP BY ALL""")
     sql["stream_partition_stats"] = sql["station_stats"]
     sql["stream_late_counts"] = _with(_PASSES, select=f"""
 SELECT count(*) AS late, CAST(1 AS BIGINT) AS triggers FROM passes WHERE station_id > 0 AND {_LATE}""")

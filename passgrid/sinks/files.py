@@ -1,7 +1,7 @@
 """Sharded Parquet tables.
 
-A table of loads keeps each attempt to write a load in a folder of its own and then commits it by one small file, which
-replaces that of an earlier attempt. Readers honour committed attempts only, so they never see half a load, a load
+A table of loads keeps each attempt to write a load in a folder of its own and then names its files in the commit log,
+where they replace those of an earlier attempt. Readers open named files only, so they never see half a load, a load
 written again replaces the whole of its old self, and a replayed batch adds nothing.
 """
 
@@ -16,6 +16,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from passgrid.operators.merge import STATS_KEY, latest_per_key
+from passgrid.sinks.log import CommitLog
 
 
 def write_sharded(df: DataFrame, path: str, *, time_col: str | None = None, order: Sequence[str] = ()) -> None:
@@ -56,22 +57,23 @@ def put_text(spark: SparkSession, path: str, text: str) -> None:
 def append_load(df: DataFrame, path: str, load_id: int) -> None:
     """Add one load; ``df`` has a column ``shard``. The same id again replaces that load as a whole, also by fewer shards
     or by no rows."""
-    attempt = uuid.uuid4().hex
-    df.write.partitionBy("shard").parquet(f"{path}/loads/load_id={load_id}/attempt={attempt}")
-    put_text(df.sparkSession, f"{path}/commits/{load_id}.json",
-             json.dumps({"load_id": load_id, "attempt": attempt, "columns": df.schema.json()}) + "\n")
+    log = CommitLog(df.sparkSession, path)
+    folder = f"loads/load_id={load_id}/attempt={uuid.uuid4().hex}"
+    df.write.partitionBy("shard").parquet(f"{path}/{folder}")
+    log.commit({str(load_id): log.written(folder)}, df.schema.json())
 
 
 def _committed(spark: SparkSession, path: str, up_to: int | None = None) -> DataFrame:
-    """Rows of committed attempts, with ``load_id``."""
-    commits = spark.read.schema("load_id bigint, attempt string, columns string").json(f"{path}/commits/*.json")
-    columns = T.StructType.fromJson(json.loads(commits.select(F.max_by("columns", "load_id")).first()[0]))
-    parts = [T.StructField("load_id", T.LongType()), T.StructField("attempt", T.StringType())]
-    rows = spark.read.schema(T.StructType([*columns.fields, *parts])).parquet(f"{path}/loads")
-    valid = commits.select("load_id", "attempt")
-    if up_to is not None:
-        rows, valid = rows.filter(F.col("load_id") <= up_to), valid.filter(F.col("load_id") <= up_to)
-    return rows.join(valid, ["load_id", "attempt"], "left_semi").select("load_id", *columns.names)
+    """Rows of committed attempts, with ``load_id``. Only the files that the log names are looked at."""
+    log = CommitLog(spark, path)
+    table = log.read()
+    columns = T.StructType.fromJson(json.loads(table.columns))
+    files = [f for k, own in table.parts.items() if up_to is None or int(k) <= up_to for f in own]
+    kind = T.StructType([*columns.fields, T.StructField("load_id", T.LongType())])
+    if not files:
+        return spark.createDataFrame([], kind).select("load_id", *columns.names)
+    rows = spark.read.schema(kind).option("basePath", f"{path}/loads").parquet(*log.paths(files))
+    return rows.select("load_id", *columns.names)
 
 
 def read_loads(spark: SparkSession, path: str) -> DataFrame:
@@ -79,8 +81,14 @@ def read_loads(spark: SparkSession, path: str) -> DataFrame:
     return _committed(spark, path).drop("load_id")
 
 
+def clean_loads(spark: SparkSession, path: str, *, older_than_s: float = 7 * 86_400) -> int:
+    """Delete files of attempts that failed or were replaced, once they are that old; how many."""
+    return CommitLog(spark, path).clean("loads", older_than_s=older_than_s)
+
+
 def read_latest(spark: SparkSession, path: str, keys: Sequence[str] = STATS_KEY) -> DataFrame:
-    """A keyed table after all loads: the latest row per key."""
+    """A keyed table after all loads: the latest row per key. Merges all loads on each read; see :mod:`keyed` for a table
+    that is merged when it is written."""
     return latest_per_key(_committed(spark, path), keys, "load_id").drop("load_id")
 
 

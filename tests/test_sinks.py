@@ -1,5 +1,5 @@
 import json
-from datetime import datetime, timedelta
+from datetime import datetime, timedelta, timezone
 
 import pytest
 from pyspark.sql import functions as F
@@ -62,11 +62,11 @@ def test_an_attempt_counts_once_it_is_committed(spark, tmp_path, monkeypatch):
     kind = "v int, shard int"
     files.append_load(spark.createDataFrame([(1, 0)], kind), path, 0)
 
-    def lost(*_):
+    def lost(*_, **__):
         raise OSError("driver lost")
 
     with monkeypatch.context() as m:
-        m.setattr(files, "_put", lost)
+        m.setattr(files.CommitLog, "_put", lost)
         with pytest.raises(OSError):
             files.append_load(spark.createDataFrame([(7, 0)], kind), path, 0)
     assert [r.v for r in files.read_loads(spark, path).collect()] == [1]
@@ -191,3 +191,60 @@ def test_rebalanced_write_keeps_few_files(spark, tmp_path):
 def _utc(spark):
     assert spark.conf.get("spark.sql.session.timeZone") == "UTC"
     assert START == datetime(2024, 1, 1)
+
+
+def test_many_loads_are_read_from_one_checkpoint_and_its_tail(spark, tmp_path, monkeypatch):
+    path = str(tmp_path / "t")
+    files.append_load(spark.createDataFrame([(0, 0)], "v int, shard int"), path, 0)
+    log = files.CommitLog(spark, path)
+    first = log.read()
+    own = first.parts["0"]
+    for commit in range(1, 111):
+        # Twenty loads at a time, whose file is that of the first, without the cost of writing them.
+        log.commit({str(load): own for load in range(20 * commit - 19, 20 * commit + 1)}, first.columns)
+    names = sorted(p.name for p in (tmp_path / "t" / "_log").iterdir() if not p.name.startswith("."))
+    assert len(names) <= 45 and names[-1] == "000000000110.commit"
+    reads = []
+    monkeypatch.setattr(files.CommitLog, "_text", lambda self, name, f=files.CommitLog._text: (reads.append(name), f(self, name))[1])
+    assert len(log.read().parts) == 2201 and len(reads) <= 21
+    files.append_load(spark.createDataFrame([(5, 0), (6, 1)], "v int, shard int"), path, 7)
+    assert log.read().parts["7"] != own and len(log.read().parts) == 2201
+
+
+def test_orphans_are_cleaned_and_writers_collide(spark, tmp_path):
+    path, kind = str(tmp_path / "t"), "v int, shard int"
+    for load, v in ((0, 1), (1, 2), (0, 3)):
+        files.append_load(spark.createDataFrame([(v, 0)], kind), path, load)
+    spark.createDataFrame([(9, 0)], kind).write.parquet(f"{path}/loads/load_id=5/attempt=dead/shard=0")
+    assert files.clean_loads(spark, path) == 0
+    assert files.clean_loads(spark, path, older_than_s=-60) >= 2
+    assert sorted(r.v for r in files.read_loads(spark, path).collect()) == [2, 3]
+    log = files.CommitLog(spark, path)
+    seen = log.read()
+    log.commit({"8": []}, seen.columns, seen=seen)
+    with pytest.raises(Exception, match="(?i)exist"):
+        log.commit({"9": []}, seen.columns, seen=seen)
+
+
+def test_an_upsert_of_one_hour_touches_one_bucket(spark, tmp_path):
+    from passgrid.sinks import keyed
+
+    path = str(tmp_path / "k")
+    kind = "station_id int, window_start timestamp, window_end timestamp, cnt long"
+    hour = lambda h, s=0: datetime(2024, 1, 1, h, 0, s)
+    rows_of = lambda cnt, hours: [(i, hour(h), hour(h, 30), cnt) for h in hours for i in range(3)]
+    assert len(keyed.upsert_buckets(spark.createDataFrame(rows_of(1, range(10)), kind), path)) == 10
+    before = files.CommitLog(spark, path).read().parts
+    assert len(keyed.upsert_buckets(spark.createDataFrame(rows_of(2, [4])[:2] + [(9, None, None, 7)], kind), path, load_id=3)) == 2
+    after = files.CommitLog(spark, path).read().parts
+    assert sum(before.get(b) != own for b, own in after.items() if not b.startswith("_")) == 2
+    got = {(r.station_id, r.window_start and r.window_start.hour): r.cnt for r in keyed.read_buckets(spark, path).collect()}
+    want = {(i, h): 2 if h == 4 and i < 2 else 1 for h in range(10) for i in range(3)}
+    assert got == {**want, (9, None): 7}
+    assert keyed.upsert_buckets(spark.createDataFrame(rows_of(8, [4]), kind), path, load_id=3) == []
+    at = int(datetime(2024, 1, 1, 4, tzinfo=timezone.utc).timestamp())
+    part = keyed.read_buckets(spark, path, since=at, until=at + 3600)
+    assert len(part.inputFiles()) <= 2 and part.count() == 3
+    assert keyed.clean_buckets(spark, path, older_than_s=-60) >= 1
+    assert keyed.read_buckets(spark, path).count() == 31
+    assert keyed.upsert_buckets(spark.createDataFrame([], kind), path) == []
