@@ -326,6 +326,10 @@ SELECT c.arrival_seq, c.hphm, count(*) AS history_size
 FROM usable c JOIN usable p ON p.hphm = c.hphm AND p.arrival_seq <= c.arrival_seq
   LEFT JOIN gone ON gone.arrival_seq = p.arrival_seq
 WHERE gone.at IS NULL OR gone.at > c.arrival_seq GROUP BY ALL""")
+    sql["stream_split"] = _with(_PASSES, select="""
+SELECT arrival_seq, CASE WHEN event_id % 41 = 0 THEN 'not json' WHEN event_id % 43 = 0 THEN 'bad time' ELSE '' END AS reject
+FROM passes""")
+    sql["dedup_state_keys"] = _with(_PASSES, clean, select="SELECT dedup_key FROM clean")
     sql["stream_partition_stats"] = sql["station_stats"]
     sql["stream_late_counts"] = _with(_PASSES, select=f"""
 SELECT count(*) AS late, CAST(1 AS BIGINT) AS triggers FROM passes WHERE station_id > 0 AND {_LATE}""")

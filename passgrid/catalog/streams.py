@@ -26,11 +26,12 @@ from passgrid.operators.stats import with_pass_watermark
 from passgrid.plans.clones import locate_passes
 from passgrid.plans.traffic import clean_passes
 from passgrid.session import RECOMMENDED_CONF, shared_dir, stage
-from passgrid.settings import DETAIL_SCHEMA
-from passgrid.sources.passes import decode_passes_narrow
+from passgrid.live.state import dedup_keys
+from passgrid.settings import DETAIL_SCHEMA, NARROW_FIELDS
+from passgrid.sources.passes import decode_passes_narrow, marked_narrow
 from passgrid.sources.records import archived_records, text_records
 from passgrid.sources.stations import default_stations
-from passgrid.sinks.files import read_latest
+from passgrid.sinks.files import read_latest, read_loads, split_batches
 from passgrid.live.queries import (
     file_writer,
     start_alerts,
@@ -38,6 +39,7 @@ from passgrid.live.queries import (
     start_detail,
     start_history,
     start_rejects,
+    start_split,
     start_stats,
     start_stats_upsert,
     stats_stream,
@@ -357,11 +359,50 @@ def stream_late_counts(spark, sf):
     return counts.agg(F.coalesce(F.sum("late"), F.lit(0)).alias("late"), F.count("*").alias("triggers"))
 
 
+def stream_split(spark, sf):
+    """Passes and rejects of one query over two triggers, the second of which ran to half before it was lost."""
+    base = shared_dir(spark, "split")
+    records = stage(fx.records(spark, sf), "records")
+    _run(
+        spark, _slices(records, 2), f"{base}/in",
+        lambda: start_split(archived_records(spark, f"{base}/in"), base, f"{base}/checkpoint", available_now=True),
+    )
+    # The batch as it would run again: both targets have it already.
+    again = archived_records(spark, f"{base}/in", stream=False).filter(F.col("arrival_seq") >= 0)
+    marked = marked_narrow(_slices(again, 2)[1], keep=["arrival_seq", "ingest_time"])
+    marked = shard_by_station(marked).withColumn("shard", F.coalesce("shard", F.lit(0)))
+    split_batches({
+        f"{base}/passes": ("reject is null", ["arrival_seq", "ingest_time", *NARROW_FIELDS, "shard"]),
+        f"{base}/rejects": ("reject is not null", ["arrival_seq", "ingest_time", "value", "reject", "shard"]),
+    })(marked, 1)
+    passes, rejects = read_loads(spark, f"{base}/passes"), read_loads(spark, f"{base}/rejects")
+    return passes.select("arrival_seq", F.lit("").alias("reject")).unionByName(rejects.select("arrival_seq", "reject"))
+
+
+def dedup_state_keys(spark, sf):
+    """The keys that the live dedup remembers after its last trigger, read from its state."""
+    base = shared_dir(spark, "dedup-state")
+    p = enrich_passes(filter_essential(fx.passes(spark, sf))).drop("tags")
+
+    def start():
+        deduped = stream_dedup(spark.readStream.schema(p.schema).parquet(f"{base}/in"))
+        return (
+            deduped.select("gcxh", "hphm").writeStream.format("parquet")
+            .option("path", f"{base}/out").option("checkpointLocation", f"{base}/checkpoint")
+            .trigger(availableNow=True).start()
+        )
+
+    _run(spark, _slices(p, 2), f"{base}/in", start)
+    return dedup_keys(spark, f"{base}/checkpoint").select("dedup_key")
+
+
 QUERIES = {
     "source_passes": source_passes,
     "watermark_passes": watermark_passes,
     "stream_station_stats": stream_station_stats,
     "stream_late_drop": stream_late_drop,
+    "stream_split": stream_split,
+    "dedup_state_keys": dedup_state_keys,
     "stream_plate_history": stream_plate_history,
     "stream_partition_stats": stream_partition_stats,
     "stream_late_counts": stream_late_counts,

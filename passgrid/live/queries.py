@@ -27,8 +27,8 @@ from passgrid.operators.pairs import plate_pairs
 from passgrid.operators.shard import shard_by_station
 from passgrid.operators.stats import station_stats, stats_rows, with_pass_watermark
 from passgrid.plans.clones import locate_passes, score_pairs
-from passgrid.sinks.files import load_batches
-from passgrid.settings import DETAIL_SCHEMA, CloneSettings, TrafficSettings
+from passgrid.sinks.files import load_batches, split_batches
+from passgrid.settings import DETAIL_SCHEMA, NARROW_FIELDS, CloneSettings, TrafficSettings
 from passgrid.sources.passes import decode_passes, decode_passes_narrow, marked_narrow
 
 
@@ -168,6 +168,20 @@ def start_rejects(records: DataFrame, out: str, checkpoint: str, **trigger) -> S
     return file_writer(rejects, f"{out}/rejects", f"{checkpoint}/rejects", **trigger).start()
 
 
+def start_split(records: DataFrame, out: str, checkpoint: str, settings: CloneSettings = CloneSettings(),
+                **trigger) -> StreamingQuery:
+    """One query, one parse: passes to ``out/passes`` and messages left out, with the reason, to ``out/rejects``. Both are
+    tables of loads, to be read with ``read_loads``; a batch that runs again replaces itself in both."""
+    keep = [c for c in ("arrival_seq", "ingest_time") if c in records.columns]
+    marked = shard_by_station(marked_narrow(records, keep=keep), settings.shards)
+    marked = marked.withColumn("shard", F.coalesce("shard", F.lit(0)))
+    write = split_batches({
+        f"{out}/passes": ("reject is null", [*keep, *NARROW_FIELDS, "shard"]),
+        f"{out}/rejects": ("reject is not null", [*keep, "value", "reject", "shard"]),
+    })
+    return batch_writer(marked, write, f"{checkpoint}/split", **trigger).start()
+
+
 def start_alerts(records: DataFrame, stations: DataFrame, out: str, checkpoint: str,
                  settings: CloneSettings = CloneSettings(), hot_plates: DataFrame | None = None,
                  ingest_clock: bool = False, **trigger) -> StreamingQuery:

@@ -16,6 +16,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from passgrid.operators.merge import STATS_KEY, latest_per_key
+from passgrid.session import stage
 from passgrid.sinks.log import CommitLog
 
 
@@ -105,3 +106,19 @@ def load_batches(path: str) -> Callable[[DataFrame, int], None]:
         append_load(batch, path, batch_id)
 
     return write
+
+
+def split_batches(targets: dict[str, tuple[str, Sequence[str]]]) -> Callable[[DataFrame, int], None]:
+    """For ``foreachBatch``: one micro-batch into several tables of loads, each ``path: (condition, columns)``.
+
+    The batch is written once, beside the tables, and read back for each of them, so its source is read and parsed once
+    whatever the number of targets. Each target takes its rows under the batch's number: after a failure between two
+    targets the batch runs again and replaces what it had written.
+    """
+
+    def write(batch: DataFrame, batch_id: int) -> None:
+        parsed = stage(batch, "batch")
+        for path, (condition, columns) in targets.items():
+            append_load(parsed.filter(condition).select(*columns), path, batch_id)
+
+    return write
