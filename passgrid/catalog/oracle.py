@@ -310,6 +310,7 @@ passes AS (
 )"""
     sql["stream_clone_alerts_hot"] = sql["clone_job"].replace(_PASSES, _PASSES.replace("passes AS (", "plain AS (", 1) + ","
                                                               + crowd, 1)
+    sql["stream_clone_alerts_spread"] = sql["stream_clone_alerts_hot"]
     sql["watermark_passes"] = _with(_PASSES, select="""
 SELECT date_trunc('millisecond', max(gcsj)) - INTERVAL 120 SECOND AS watermark FROM passes WHERE station_id > 0""")
     # A pass is in the history until one arrives that lies beyond the horizon from it.

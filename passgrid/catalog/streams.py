@@ -27,7 +27,7 @@ from passgrid.plans.clones import locate_passes
 from passgrid.plans.traffic import clean_passes
 from passgrid.session import RECOMMENDED_CONF, shared_dir, stage
 from passgrid.live.state import dedup_keys
-from passgrid.settings import DETAIL_SCHEMA, NARROW_FIELDS
+from passgrid.settings import DETAIL_SCHEMA, NARROW_FIELDS, CloneSettings
 from passgrid.sources.passes import decode_passes_narrow, marked_narrow
 from passgrid.sources.records import archived_records, text_records
 from passgrid.sources.stations import default_stations
@@ -252,18 +252,22 @@ def stream_clone_alerts(spark, sf):
     return rounded(spark.read.parquet(f"{base}/alerts").drop("created_at"), *ALERT_DOUBLES)
 
 
-def stream_clone_alerts_hot(spark, sf):
-    """Alerts of a feed in which one plate, nearly always at one station, bears a third of all passes. A batch search
-    over the feed so far finds such plates, whose state then lies in several partitions."""
-    base = shared_dir(spark, "stream-hot")
-    stations = default_stations(spark)
+def _hot_records(spark: SparkSession, sf: str) -> DataFrame:
+    """A feed in which one plate, nearly always at one station, bears a third of all passes."""
     crowd, strays = F.col("event_id") % 3 == 0, F.col("event_id") % 150 == 0
     p = fx.passes(spark, sf).withColumns({
         "hphm": F.when(crowd, F.lit("苏A99999")).otherwise(F.col("hphm")),
         "station_id": F.when(crowd & ~strays, F.lit(101)).otherwise(F.col("station_id")),
     })
-    records = stage(p.select(fx.message(p).alias("value"), "ingest_time", "arrival_seq"), "records")
-    arrivals = _slices(records)
+    return stage(p.select(fx.message(p).alias("value"), "ingest_time", "arrival_seq"), "records")
+
+
+def stream_clone_alerts_hot(spark, sf):
+    """Alerts of a feed with a hot plate. A batch search over the feed so far finds such plates, whose state then lies in
+    several partitions."""
+    base = shared_dir(spark, "stream-hot")
+    stations = default_stations(spark)
+    arrivals = _slices(_hot_records(spark, sf))
     before = decode_passes_narrow(arrivals[0], keep=["arrival_seq"])
     splits = hot_plate_splits(locate_passes(before, stations), hot_rows=50)
     hot = None if splits is None else stage(splits.groupBy("hphm").agg(F.max("splits").alias("splits")), "hot")
@@ -277,6 +281,23 @@ def stream_clone_alerts_hot(spark, sf):
     return rounded(spark.read.parquet(f"{base}/alerts").drop("created_at"), *ALERT_DOUBLES)
 
 
+def clone_alerts_in_buckets(spark: SparkSession, sf: str, base: str) -> DataFrame:
+    """The alerts of that feed with state by plate and quarter of an hour, below ``base``."""
+    _run(
+        spark, _slices(_hot_records(spark, sf)), f"{base}/in",
+        lambda: start_alerts(
+            archived_records(spark, f"{base}/in"), default_stations(spark), base, f"{base}/checkpoint",
+            CloneSettings(bucket_s=900), available_now=True,
+        ),
+    )
+    return rounded(spark.read.parquet(f"{base}/alerts").drop("created_at"), *ALERT_DOUBLES)
+
+
+def stream_clone_alerts_spread(spark, sf):
+    """Alerts of the same feed without any knowledge of the hot plate, whose state moves over partitions with time."""
+    return clone_alerts_in_buckets(spark, sf, shared_dir(spark, "stream-spread"))
+
+
 def stream_late_drop(spark, sf):
     """Passes that arrive days late reach the detail table but no statistics.
 
@@ -413,4 +434,5 @@ QUERIES = {
     "stream_rejects": stream_rejects,
     "stream_clone_alerts": stream_clone_alerts,
     "stream_clone_alerts_hot": stream_clone_alerts_hot,
+    "stream_clone_alerts_spread": stream_clone_alerts_spread,
 }

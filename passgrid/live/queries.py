@@ -66,8 +66,9 @@ def alert_stream(records: DataFrame, stations: DataFrame, settings: CloneSetting
     State is kept by when a pass was seen, for ``retention_s``; the passes' own times only make pairs, so neither a clock
     in the future nor passes hours behind the others lose an alert. Seen means the time of the trigger, or with
     ``ingest_clock``, for replays at many times the original speed, the ingest time if that is earlier; there a pass
-    more than ``watermark_delay`` behind the newest is lost. ``hot_plates`` (``hphm, splits``) spreads plates known to be busy over several state partitions; it must not change
-    while the query keeps its checkpoint.
+    more than ``watermark_delay`` behind the newest is lost. ``settings.bucket_s`` spreads the state of busy plates, known
+    or not, over partitions by time; ``hot_plates`` (``hphm, splits``) spreads plates known to be busy further. Neither may
+    change while the query keeps its checkpoint.
     """
     keep = ["arrival_seq"] if "arrival_seq" in records.columns else []
     order_col = "arrival_seq" if keep else "gcsj"
@@ -83,6 +84,7 @@ def alert_stream(records: DataFrame, stations: DataFrame, settings: CloneSetting
         carry=["lat", "lon", "mask"],
         splits=hot_plates,
         retention_s=settings.retention_s,
+        bucket_s=settings.bucket_s,
     )
     alerts = score_pairs(pairs, settings.max_speed_kmh).withColumn("created_at", F.current_timestamp())
     return shard_by_station(alerts, settings.shards)

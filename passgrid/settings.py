@@ -80,6 +80,8 @@ class CloneSettings:
     horizon_s: int = 2700
     # The live join forgets a pass so long after it was seen: the horizon and as much delay again.
     retention_s: int = 5400
+    # Width of the time buckets that spread a plate's live state over partitions; without one the plate alone is the key.
+    bucket_s: int | None = None
     # On the ingest clock, a pass this far behind the newest one is lost.
     watermark_delay: str = "45 minutes"
     shards: int = 2

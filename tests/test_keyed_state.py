@@ -5,11 +5,11 @@ from datetime import datetime, timedelta, timezone
 import pytest
 from pyspark.sql import functions as F
 
-from passgrid.catalog.streams import keyed_state, wait_for_listeners
+from passgrid.catalog.streams import clone_alerts_in_buckets, keyed_state, wait_for_listeners
 from passgrid.live.history import history_stream
 from passgrid.live.late import LateCounts, read_late_counts
 from passgrid.live.queries import file_writer, partitioned_stats_stream, start_stats, stats_stream
-from passgrid.live.state import held_history
+from passgrid.live.state import held_history, partition_rows
 from passgrid.settings import DETAIL_SCHEMA
 
 START = datetime(2024, 1, 1, tzinfo=timezone.utc)
@@ -100,3 +100,11 @@ def test_late_passes_are_counted_one_by_one(spark, tmp_path):
     assert [(r.query, r.late) for r in late] == [("counted", 4)] and late[0].watermark is not None
     stats = spark.read.parquet(f"{base}/stats").agg(F.sum("cnt")).first()[0]
     assert stats == 4
+
+
+def test_a_hot_plate_is_spread_over_state_partitions(spark, tmp_path):
+    """A third of all passes under one plate: with the plate alone as key half of the state or more lies in one of eight
+    partitions, in buckets of time none holds a third."""
+    clone_alerts_in_buckets(spark, "/root/testdata/sf0.001", str(tmp_path))
+    rows = {r.partition: r.rows for r in partition_rows(spark, f"{tmp_path}/checkpoint/alerts", side="left").collect()}
+    assert len(rows) >= 6 and max(rows.values()) < sum(rows.values()) / 3
