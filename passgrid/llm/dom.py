@@ -3,23 +3,35 @@
 from __future__ import annotations
 
 import re
+from collections.abc import Callable, Iterator
 from dataclasses import dataclass, field
 from html import unescape
 
-_MARKUP = re.compile(
-    r"<!--.*?(?:-->|\Z)"
-    r"|<(?P<raw>script|style|textarea|iframe|title)(?=[\s/>])[^>]*>"
-    r"|<(?P<close>/?)(?P<name>[a-zA-Z][a-zA-Z0-9:-]*)(?P<rest>(?:[^>\"']|\"[^\"]*\"|'[^']*')*)>"
-    r"|<[!?/][^>]*>",
-    re.DOTALL | re.IGNORECASE,
-)
+# What follows a tag's name. A quote opens a value right after an equals sign only. Possessive, so no text is read twice.
+_REST = r"""(?P<rest>(?:[^>=]++|=\s*+(?:"[^"]*+"|'[^']*+'|[^\s>"'][^\s>]*+)?+)*+)>"""
+_SIMPLE_REST = r"(?P<rest>[^>]*+)>"
+
+
+def _markup(rest: str) -> re.Pattern:
+    return re.compile(
+        r"<!--.*?(?:-->|\Z)"
+        r"|<(?P<raw>script|style|textarea|iframe|title)(?=[\s/>])[^>]*+>"
+        rf"|<(?P<close>/?)(?P<name>[a-zA-Z][a-zA-Z0-9:-]*+){rest}"
+        r"|<[!?/][^>]*+>",
+        re.DOTALL | re.IGNORECASE,
+    )
+
+
+def _unseen(rest: str) -> re.Pattern:
+    return re.compile(
+        rf"<!--.*?(?:-->|\Z)|<(?P<close>/?)(?P<name>svg|object|template)(?=[\s/>]){rest}", re.DOTALL | re.IGNORECASE
+    )
+
+
+_MARKUP, _SIMPLE_MARKUP = _markup(_REST), _markup(_SIMPLE_REST)
+_UNSEEN, _SIMPLE_UNSEEN = _unseen(_REST), _unseen(_SIMPLE_REST)
 _ATTRIBUTE = re.compile(r"""(class|id|role|hidden|style|aria-hidden)(?:\s*=\s*("[^"]*"|'[^']*'|[^\s>]+))?""", re.IGNORECASE)
 _SPACE = re.compile(r"\s+")
-_UNSEEN = re.compile(
-    r"<!--.*?-->|<(?P<close>/?)(?P<name>svg|object|template)(?=[\s/>])(?P<rest>(?:[^>\"']|\"[^\"]*\"|'[^']*')*)>",
-    re.DOTALL | re.IGNORECASE,
-)
-
 # ---- Fixed values: element kinds of HTML ---------------------------------------------------------------------------
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 INLINE = frozenset(
@@ -78,11 +90,39 @@ def _whole(rest: str) -> bool:
     return not rest or rest[0] in " \t\n\r\f/"
 
 
+def _matches(
+    html: str, strict: re.Pattern, simple: re.Pattern, reached: Callable[[], int] = lambda: 0
+) -> Iterator[re.Match]:
+    """Markup in page order, each character looked at a bounded number of times; ``reached`` tells how far the reader
+    has come, where that is beyond the match.
+
+    Where a tag has no end because a quote in it never closes, that one and all later tags end at the next ``>``; behind
+    the last ``>`` of the page only comments can begin.
+    """
+    at, last = 0, html.rfind(">")
+    pattern = strict
+    while (at := html.find("<", at)) >= 0:
+        m = None
+        if at <= last or html.startswith("<!--", at):
+            m = pattern.match(html, at)
+            if m is None and pattern is strict and (m := simple.match(html, at)):
+                pattern = simple
+        elif (at := html.find("<!--", at)) < 0:
+            break
+        else:
+            continue
+        if m is None:
+            at += 1
+            continue
+        yield m
+        at = max(m.end(), reached())
+
+
 def _unseen_ends(html: str) -> dict[int, int]:
     """Ends of unseen elements by their beginnings: each end tag balances the last start tag that is still open."""
     ends: dict[int, int] = {}
     open_: dict[str, list[int]] = {name: [] for name in UNSEEN}
-    for m in _UNSEEN.finditer(html):
+    for m in _matches(html, _UNSEEN, _SIMPLE_UNSEEN):
         name = (m["name"] or "").lower()
         if not name:
             continue
@@ -120,11 +160,7 @@ def read_page(html: str) -> Page:
             if tag not in INLINE:
                 return
 
-    while at < n:
-        m = _MARKUP.search(html, at)
-        if m is None:
-            text(html[at:])
-            break
+    for m in _matches(html, _MARKUP, _SIMPLE_MARKUP, lambda: at):
         text(html[at : m.start()])
         at = m.end()
         if m["raw"]:
@@ -197,6 +233,7 @@ def read_page(html: str) -> Page:
         elements.append(element)
         if name not in VOID and not m["rest"].endswith("/") or name in INLINE - {"img", "wbr"}:
             open_.append(len(elements) - 1)
+    text(html[at:])
     _measure(page)
     return page
 

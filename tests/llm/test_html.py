@@ -143,3 +143,28 @@ def test_sample_is_bounded_by_characters(spark, monkeypatch):
     assert learned_from(monkeypatch, spark, rows[-1:]) == [rows[-1][1]]
     hidden = [(1, "<article hidden><p>a</p></article>")]
     assert learned_from(monkeypatch, spark, hidden) == [hidden[0][1], html_text._PLAIN]
+
+
+def plain_text(html):
+    from passgrid.llm.dom import read_page
+
+    return " ".join("".join(" " if t is None else t for _, t in read_page(html).pieces).split())
+
+
+def test_quotes_open_values_after_an_equals_sign_only():
+    html = "<div><p don't>Hello world</p><p>More text.</p><p>It's here</p></div>"
+    assert plain_text(html) == "Hello world More text. It's here"
+    assert plain_text("<p title=\"a > b\" x='c>d' y=e\"f>one</p><p a= 'x>y'>two</p>") == "one two"
+    assert plain_text("<p class=\"x>Hello</p><p>there</p>") == "Hello there"
+    assert plain_text("5 < 6 and <3 <p>a</p") == "5 < 6 and <3 a</p"
+    assert plain_text("<p>a<!-- <b> --></p><!-- never ends <p>b") == "a"
+
+
+@pytest.mark.parametrize("piece", ["<a x", "<a x='>'", "<a x=\"", "<svg x", "<svg x=\"'>", "<!", "</", "<p =", "<object '\"=", "<a b="])
+def test_long_odd_pages_are_read_forward_only(piece):
+    import time
+
+    begin = time.perf_counter()
+    for html in (piece * (1_000_000 // len(piece)), piece * (500_000 // len(piece)) + ">" + "<svg>x</svg>"):
+        plain_text(html)
+    assert time.perf_counter() - begin < 10
