@@ -57,13 +57,15 @@ def words_of(text: Column) -> Column:
 
 
 def _near_you(words: Column, targets: list[str]) -> Column:
-    """Hits with a second person at most ``NEAR_WORDS`` words away."""
-    place = F.transform(
-        words, lambda w, i: F.when(w.isin(targets), i).when(w.isin(SECOND_PERSON), -1 - i).otherwise(F.lit(None))
-    )
-    places = F.filter(place, lambda i: i.isNotNull())
-    return _once(places, lambda own: F.size(F.filter(own, lambda i: (i >= 0) & F.exists(
-        own, lambda j: (j < 0) & (F.abs(i + j + 1) <= NEAR_WORDS)))))
+    """Hits with a second person at most ``NEAR_WORDS`` words away. Only the words around a hit are looked at, however
+    many hits a text has."""
+    others = [w for w in SECOND_PERSON if w not in targets]
+
+    def near(own: Column, i: Column) -> Column:
+        first = F.greatest(i + 1 - NEAR_WORDS, F.lit(1))
+        return F.exists(F.slice(own, first, i + 2 + NEAR_WORDS - first), lambda w: w.isin(others))
+
+    return _once(words, lambda own: F.size(F.filter(own, lambda w, i: w.isin(targets) & near(own, i))))
 
 
 def _once(value: Column, f: Callable[[Column], Column]) -> Column:

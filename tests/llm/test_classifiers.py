@@ -170,3 +170,28 @@ def test_wrapped_licences_are_found(spark):
     got = {r["doc_id"]: r["notices"] for r in scan_licences(docs, fit_licences(docs)).collect()}
     for i, notices in got.items():
         assert [(n["family"], n["line"]) for n in notices] == ([(wrapped[i][0], 1)] if i in wrapped else []), (i, notices)
+
+
+def test_near_you_counts_hits_beside_a_second_person(spark):
+    import random
+    import time
+
+    from pyspark.sql import functions as F
+
+    from passgrid.llm.toxicity import NEAR_WORDS, SECOND_PERSON, _near_you
+
+    rng, targets = random.Random(2), ["idiot", "worthless", "du"]
+    texts = [[rng.choice(["you", "idiot", "a", "b", "c", "d", "e", "f", "du", "worthless"]) for _ in range(rng.randrange(60))] for _ in range(200)]
+    long = ["you"] * 90_000 + ["x"] * 10 + ["idiot"] * 90_000
+
+    def plain(words):
+        you = {i for i, w in enumerate(words) if w in SECOND_PERSON and w not in targets}
+        return sum(w in targets and any(i + d in you for d in range(-NEAR_WORDS, NEAR_WORDS + 1)) for i, w in enumerate(words))
+
+    frame = spark.createDataFrame([(i, w) for i, w in enumerate(texts)], "i int, words array<string>")
+    got = {r["i"]: r["n"] for r in frame.select("i", _near_you(F.col("words"), targets).alias("n")).collect()}
+    assert got == {i: plain(w) for i, w in enumerate(texts)}
+    frame = spark.createDataFrame([(" ".join(long),)], "t string").select(F.split("t", " ").alias("words"))
+    begin = time.perf_counter()
+    assert frame.select(_near_you(F.col("words"), targets).alias("n")).first()["n"] == 0
+    assert time.perf_counter() - begin < 10
