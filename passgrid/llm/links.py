@@ -51,8 +51,9 @@ def _star_round(links: DataFrame) -> DataFrame:
 def components(edges: DataFrame, a: str, b: str) -> DataFrame:
     """``node, root`` of every node that a link between different nodes touches; root is the smallest node reachable.
 
-    Links are dealt into portions of about ``LOCAL_LINKS``, each of which a task contracts by itself; with several
-    portions, rounds of alternating star contraction follow, whose number grows with the logarithm of the longest path,
+    Links are dealt into portions of about ``LOCAL_LINKS``, each of which a task contracts by itself. They are dealt by
+    their larger node, which has one link at most once portions are contracted, so that the many links of one root are
+    spread evenly. With several portions, rounds of alternating star contraction follow, whose number grows with the logarithm of the longest path,
     until nothing changes. There neighbourhoods are reduced to their minimum before a shuffle and never collected. A
     round is written to the shared folder, so that a lost executor costs one round. Links with a null end are ignored;
     nodes are 64-bit integers.
@@ -66,7 +67,7 @@ def components(edges: DataFrame, a: str, b: str) -> DataFrame:
             break
         state = seen
         portions = -(-seen["n"] // LOCAL_LINKS)
-        dealt = now.coalesce(1) if portions == 1 else now.repartition(portions, "v")
+        dealt = now.coalesce(1) if portions == 1 else now.repartition(portions, "u")
         now = dealt.mapInArrow(_contract, "u bigint, v bigint")
         if portions == 1:
             now = stage(now, "links")

@@ -1,6 +1,7 @@
 """The similarity joins against all pairs."""
 
 import random
+import uuid
 from collections import defaultdict
 
 import numpy as np
@@ -172,3 +173,20 @@ def test_components_of_chains_and_stars(spark, monkeypatch, local):
     want = {i: root for i, (_, root) in reach({x for p in clean for x in p}, clean).items()}
     assert roots == want and got.count() == len(want)
     assert components(spark.createDataFrame([], "a bigint, b bigint"), "a", "b").filter(F.lit(True)).count() == 0
+
+
+def test_links_of_one_star_are_dealt_evenly(spark, monkeypatch, tmp_path):
+    """Ten times as many links of one root as a portion should hold: no task contracts many more than that."""
+    contract = links_module._contract
+
+    def counted(batches):
+        batches = list(batches)
+        (tmp_path / f"{uuid.uuid4().hex}").write_text(str(sum(b.num_rows for b in batches)))
+        yield from contract(iter(batches))
+
+    monkeypatch.setattr(links_module, "LOCAL_LINKS", 2_000)
+    monkeypatch.setattr(links_module, "_contract", counted)
+    links = spark.range(1, 20_001).select(F.col("id").alias("a"), F.lit(0).cast("bigint").alias("b"))
+    assert {r["root"] for r in components(links, "a", "b").collect()} == {0}
+    sizes = [int(p.read_text()) for p in tmp_path.iterdir()]
+    assert sum(sizes) >= 20_000 and max(sizes) < 3_000
