@@ -1 +1 @@
-"""The two jobs as Structured Streaming queries."""
+"""Queries over live input, and what they remember."""
