@@ -22,7 +22,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from passgrid.llm.columns import quoted
-from passgrid.llm.links import resolve
+from passgrid.llm.links import join_crowded, resolve
 from passgrid.session import stage
 
 THRESHOLD = 0.98
@@ -280,13 +280,10 @@ def near_vectors(
         both.mapInArrow(_join(axes, threshold, eps), "cls bigint, linked bigint, other bigint"), "found"
     )
     result = resolve(classes.select("cls", "class_id", "members"), found)
+    linked = join_crowded(rows.select("vec_id", "cls"), result, "cls", "members")
+    lone = rows.filter("cls is null").select("vec_id", F.lit(0).cast("bigint").alias("n_links"), F.col("vec_id").alias("component_id"))
     return (
-        rows.select("vec_id", "cls")
-        .join(result, "cls", "left")
-        .select(
-            "vec_id",
-            F.coalesce("n_links", F.lit(0).cast("bigint")).alias("n_links"),
-            F.when(F.col("cls").isNull(), F.col("vec_id")).otherwise(F.col("component_id")).alias("component_id"),
-        )
+        linked.select("vec_id", "n_links", "component_id")
+        .unionByName(lone)
         .withColumn("kept", F.col("vec_id").eqNullSafe(F.col("component_id")))
     )

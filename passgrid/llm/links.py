@@ -13,6 +13,7 @@ from passgrid.session import stage
 
 
 LOCAL_LINKS = 200_000
+CROWD, MOST_CROWDS = 100, 10_000
 
 
 def _contract(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -78,8 +79,22 @@ def components(edges: DataFrame, a: str, b: str) -> DataFrame:
     )
 
 
+def join_crowded(rows: DataFrame, unique: DataFrame, key: str, count: str) -> DataFrame:
+    """The inner join on ``key``, of which ``unique`` has one row each with the ``count`` of its ``rows``.
+
+    Keys of more than ``CROWD`` rows and more than one in ``MOST_CROWDS`` of all rows, of which there are fewer than
+    ``MOST_CROWDS``, are broadcast; their rows, and those with a null key, aren't shuffled. ``unique`` is read three
+    times and should be a written table.
+    """
+    total = unique.agg(F.coalesce(F.sum(count), F.lit(0))).first()[0]
+    crowded = F.col(count) > max(CROWD, -(-total // MOST_CROWDS))
+    many = unique.filter(crowded)
+    rest = rows.filter(F.col(key).isNotNull()).join(F.broadcast(many.select(key)), key, "left_anti")
+    return rows.join(F.broadcast(many), key).unionByName(rest.join(unique.filter(~crowded), key))
+
+
 def resolve(classes: DataFrame, found: DataFrame) -> DataFrame:
-    """``cls, class_id, n_links, component_id`` of every class.
+    """``cls, class_id, members, n_links, component_id`` of every class, as a written table.
 
     ``classes`` has ``cls, class_id, members`` (the smallest id and the number of a class's copies); ``found`` has, once
     for each task that compared a class, ``cls, linked`` (copies linked to it there) and ``other`` (a class to which
@@ -87,15 +102,19 @@ def resolve(classes: DataFrame, found: DataFrame) -> DataFrame:
     """
     linked = found.groupBy("cls").agg(F.sum("linked").alias("linked"))
     reached = components(found, "cls", "other").withColumnRenamed("node", "cls")
-    names = reached.join(classes, "cls").groupBy("root").agg(F.min("class_id").alias("component_id"))
-    reached = reached.join(names, "root").select("cls", "component_id")
-    return (
+    reached = stage(reached, "reached")
+    names = reached.join(classes, "cls").groupBy("root")
+    names = stage(names.agg(F.min("class_id").alias("component_id"), F.count("*").alias("_n")), "names")
+    reached = join_crowded(reached, names, "root", "_n").select("cls", "component_id")
+    return stage(
         classes.join(linked, "cls", "left")
         .join(reached, "cls", "left")
         .select(
             "cls",
             "class_id",
+            "members",
             (F.col("members") - 1 + F.coalesce("linked", F.lit(0))).cast("bigint").alias("n_links"),
             F.coalesce("component_id", "class_id").alias("component_id"),
-        )
+        ),
+        "resolved",
     )

@@ -1,8 +1,9 @@
 """Near duplicates by word n-grams: MinHash values compared step by step with a Bayesian stop, the rest exactly.
 
 1. Texts with the same sequence of words form a class; classes are compared, not copies.
-2. Classes that agree in one of 32 bands of four MinHash values are candidates. Only links to the smallest class of a
-   band are kept; their connected components are the candidate groups, so every candidate pair lies inside a group.
+2. Classes that agree in one of 32 bands of four MinHash values are candidates. Bands are shuffled once, into ranges of
+   band and class, so that a crowded band is spread; neighbours of one band are linked. The links' connected components
+   are the candidate groups, so every candidate pair lies inside a group.
 3. Inside a group, pairs are compared on 128 MinHash values, sixteen at a time. With m of n equal, the similarity has
    the posterior Beta(m + 1, n - m + 1); a pair goes once its probability of reaching the threshold falls below the
    tolerance. The remaining pairs are verified on their shingle sets.
@@ -26,7 +27,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from passgrid.llm.columns import fresh, quoted, without
-from passgrid.llm.links import components, resolve
+from passgrid.llm.links import components, join_crowded, resolve
 from passgrid.llm.prefilter import likely_in
 from passgrid.llm.words import WORD_CHARACTER, mix, slices
 from passgrid.session import stage
@@ -103,6 +104,41 @@ def _classes(text: str, keep: list[str], with_bands: bool) -> Callable[[Iterator
     return run
 
 
+def _chains(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Links ``band, a, b`` between neighbours of one band in sorted rows; the partition's first and last row come as
+    links of a class with itself."""
+
+    def links(band: np.ndarray, a: np.ndarray, b: np.ndarray) -> pa.RecordBatch:
+        return pa.RecordBatch.from_pydict({"band": band, "a": a, "b": b})
+
+    last = None
+    for batch in batches:
+        band, cls = batch.column("band").to_numpy(), batch.column("cls").to_numpy()
+        if not len(band):
+            continue
+        if last is None:
+            yield links(band[:1], cls[:1], cls[:1])
+        else:
+            band, cls = np.concatenate([last[0], band]), np.concatenate([last[1], cls])
+        meet = np.flatnonzero((band[1:] == band[:-1]) & (cls[1:] != cls[:-1]))
+        yield links(band[meet], cls[meet], cls[meet + 1])
+        last = band[-1:], cls[-1:]
+    if last is not None:
+        yield links(last[0], last[1], last[1])
+
+
+def _met(keyed: DataFrame) -> DataFrame:
+    """Links ``a, b`` that connect all classes of each band."""
+    ordered = keyed.repartitionByRange("band", "cls").sortWithinPartitions("band", "cls")
+    found = stage(ordered.mapInArrow(_chains, "band bigint, a bigint, b bigint"), "bands")
+    # Ranges that share a band are linked at their ends, two rows a range.
+    ends = found.filter("a = b")
+    across = ends.join(F.broadcast(ends.groupBy("band").agg(F.min("a").alias("least"))), "band")
+    return found.filter("a != b").select("a", "b").unionByName(
+        across.select("a", F.col("least").alias("b")).filter("a != b")
+    )
+
+
 def _links(rows: list[int], others: list[int] | None, sig, sets, weights, need, threshold):
     """Links between ``rows``, or from ``rows`` to ``others``: weight linked to each text, and a parent of each."""
     everyone = rows if others is None else [*rows, *others]
@@ -195,12 +231,8 @@ def near_duplicates(
     narrow = docs.select(quoted(id_col).cast("bigint").alias("doc_id"), quoted(text_col).cast("string").alias("_text"))
     schema = "doc_id bigint, cls bigint, n_words bigint, bands array<bigint>"
     rows = stage(narrow.mapInArrow(_classes("_text", ["doc_id"], True), schema), "classes")
-    keyed = rows.filter("size(bands) > 0").select("cls", F.explode("bands").alias("band"))
-    shared = keyed.groupBy("band").agg(F.min("cls").alias("least"), F.max("cls").alias("_most")).filter("least < _most")
-    shared = stage(shared.select("band", "least"), "bands")
-    # Most bands and most texts meet nobody; they aren't shuffled for the joins.
-    met = likely_in(keyed, "band", shared, "band").join(shared, "band")
-    groups = components(met.select("cls", "least"), "cls", "least")
+    keyed = rows.filter("size(bands) > 0").select(F.explode("bands").alias("band"), "cls")
+    groups = components(_met(keyed), "a", "b")
 
     classes = stage(
         rows.filter("cls is not null")
@@ -209,15 +241,18 @@ def near_duplicates(
         "classes",
     )
     nodes = classes.join(groups.withColumnRenamed("node", "cls"), "cls")
+    nodes = stage(nodes, "nodes")
     sizes = nodes.groupBy("root").agg(
+        F.count("*").alias("_n"),
         F.greatest(F.ceil(F.count("*") / CHUNK_CLASSES), F.ceil(F.sum("n_words") / CHUNK_WORDS)).cast("int").alias("m"),
         F.sum("n_words").alias("group_words"),
     )
-    nodes = stage(nodes.join(sizes, "root"), "groups")
+    nodes = stage(join_crowded(nodes, stage(sizes, "sizes"), "root", "_n"), "groups")
     words = nodes.filter("m = 1").agg(F.sum("n_words")).first()[0] or 0
     packs = max(12, -(-words // PACK_WORDS))
 
     named = narrow.mapInArrow(_classes("_text", ["doc_id", "_text"], False), "doc_id bigint, _text string, cls bigint")
+    # Most texts meet nobody; they aren't shuffled for the join.
     chosen = (
         likely_in(named, "cls", nodes, "cls").join(nodes, "cls").filter(F.col("doc_id").eqNullSafe(F.col("class_id"))).dropDuplicates(["cls"])
     )
@@ -237,16 +272,14 @@ def near_duplicates(
         "found",
     )
     result = resolve(classes, found)
+    linked = join_crowded(rows.select("doc_id", "cls"), result, "cls", "members")
+    lone = rows.filter("cls is null").select(
+        "cls", "doc_id", F.col("doc_id").alias("class_id"), F.lit(0).cast("bigint").alias("n_links"),
+        F.col("doc_id").alias("component_id"),
+    )
     return (
-        rows.select("doc_id", "cls")
-        .join(result, "cls", "left")
-        .select(
-            "cls",
-            "doc_id",
-            F.when(F.col("cls").isNull(), F.col("doc_id")).otherwise(F.col("class_id")).alias("class_id"),
-            F.coalesce("n_links", F.lit(0)).cast("bigint").alias("n_links"),
-            F.when(F.col("cls").isNull(), F.col("doc_id")).otherwise(F.col("component_id")).alias("component_id"),
-        )
+        linked.select("cls", "doc_id", "class_id", "n_links", "component_id")
+        .unionByName(lone)
         .withColumn("kept", F.col("doc_id").eqNullSafe(F.col("component_id")))
     )
 
