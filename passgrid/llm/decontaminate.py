@@ -5,8 +5,10 @@ number each, a stretch of any other word an end. Stretches shorter than the shor
 left out; the rest is indexed. All phrases are searched backward through wavelet-tree ranks, their occurrences located
 by sampled suffix positions and merged into removal spans. Nothing is shuffled.
 
-The benchmark is the query set. It is cut into blocks of ``BLOCK_ROWS`` items, each broadcast by itself and searched in
-a pass of its own over the shards; passes hand their spans on within the row.
+The benchmark is the query set. Its items are cut into pieces of ``PIECE_WORDS`` words that overlap by less than a
+phrase; equal pieces are one. Pieces are dealt into blocks of about ``BLOCK_ROWS`` pieces or ``BLOCK_WORDS`` words and
+ids, whichever is less, each broadcast by itself and searched in a pass of its own over the shards; passes hand their
+spans on within the row. Words and phrases are compared by 64-bit hashes.
 """
 
 from __future__ import annotations
@@ -21,34 +23,87 @@ from pyspark.sql import types as T
 
 from passgrid.llm.columns import fresh, quoted, without
 from passgrid.llm.fm_index import FMIndex
-from passgrid.llm.words import Words, slices
+from passgrid.llm.words import Words, range_hash, slices
 from passgrid.session import stage
 
 WINDOW_WORDS = 13
-BLOCK_ROWS = 20_000
+BLOCK_ROWS, BLOCK_WORDS = 20_000, 1_000_000
+PIECE_WORDS = 50_000
 SPAN = T.ArrayType(T.StructType([T.StructField("start", T.LongType()), T.StructField("end", T.LongType())]))
 
 
 class Phrases:
-    """Windows of a block of benchmark items, as rows of vocabulary numbers."""
-
-    def __init__(self, ids: pa.Array, texts: pa.Array, window: int):
-        hashes, windows = [], {}
-        for words in slices(texts):
-            for i in range(len(words.bounds) - 1):
-                own = words.hashes[words.bounds[i] : words.bounds[i + 1]]
-                hashes.append(own)
-                item = ids[words.first + i].as_py()
-                for at in range(max(1, len(own) - window + 1) if len(own) else 0):
-                    windows.setdefault(own[at : at + window].tobytes(), set()).add(item)
-        self.vocabulary = np.unique(np.concatenate(hashes)) if hashes else np.zeros(0, np.uint64)
-        found = [np.frombuffer(w, np.uint64) for w in windows]
-        self.lengths = np.array([len(w) for w in found], np.int64)
-        self.rows = np.zeros((len(found), window), np.int64)
-        for i, w in enumerate(found):
-            self.rows[i, : len(w)] = np.searchsorted(self.vocabulary, w) + 1
-        self.items = [sorted(x for x in items if x is not None) for items in windows.values()]
+    """Windows of a block of benchmark pieces, as rows of vocabulary numbers, and the items that hold each."""
+
+    def __init__(self, pieces: pa.ListArray, ids: pa.ListArray, window: int):
+        hashes = pieces.flatten().to_numpy().view(np.uint64)
+        bounds = _list_bounds(pieces)
+        n = np.diff(bounds)
+        times = np.where(n >= window, n - window + 1, np.minimum(n, 1))
+        first = np.concatenate([[0], np.cumsum(times)])
+        starts = np.repeat(bounds[:-1] - first[:-1], times) + np.arange(first[-1])
+        widths = np.repeat(np.minimum(n, window), times)
+        _, one, which = np.unique(range_hash(hashes, starts, starts + widths), return_index=True, return_inverse=True)
+        self.vocabulary, symbols = np.unique(hashes, return_inverse=True)
+        self.lengths = widths[one]
+        self.rows = np.zeros((len(one), window), np.int32)
+        for k in range(window):
+            long = np.flatnonzero(self.lengths > k)
+            self.rows[long, k] = symbols[starts[one[long]] + k] + 1
         self.shortest = int(self.lengths.min(initial=window))
+        pairs = np.unique(which * max(1, len(n)) + np.repeat(np.arange(len(n)), times))
+        self._pieces = pairs % max(1, len(n))
+        self._first = np.searchsorted(pairs // max(1, len(n)), np.arange(len(one) + 1))
+        self._ids, self._id_bounds = ids.flatten().to_numpy(), _list_bounds(ids)
+
+    def pieces(self, phrase: int) -> list[int]:
+        return self._pieces[self._first[phrase] : self._first[phrase + 1]].tolist()
+
+    def items(self, piece: int) -> list[int]:
+        return self._ids[self._id_bounds[piece] : self._id_bounds[piece + 1]].tolist()
+
+
+def _list_bounds(lists: pa.ListArray) -> np.ndarray:
+    return np.concatenate([[0], np.cumsum(lists.value_lengths().to_numpy(zero_copy_only=False))]).astype(np.int64)
+
+
+def _cut(window: int) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
+    """Items as pieces of ``PIECE_WORDS`` word hashes at most; each window lies in one piece."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for words in slices(batch.column("phrase")):
+                rows, parts = [], []
+                for i, (a, b) in enumerate(zip(words.bounds.tolist(), words.bounds[1:].tolist())):
+                    if a == b:
+                        continue
+                    for at in range(a, max(a + 1, b - window + 1), max(1, PIECE_WORDS - window + 1)):
+                        rows.append(words.first + i)
+                        parts.append(words.hashes[at : min(b, at + max(PIECE_WORDS, window))].view(np.int64))
+                if rows:
+                    offsets = np.cumsum([0, *map(len, parts)]).astype(np.int32)
+                    lists = pa.ListArray.from_arrays(offsets, np.concatenate(parts))
+                    item = batch.column("item").take(pa.array(rows))
+                    yield pa.RecordBatch.from_arrays([item, lists], ["item", "piece"])
+
+    return run
+
+
+def _asked(benchmark: DataFrame, item_col: str, text_col: str, window: int) -> tuple[DataFrame, int]:
+    """``piece, salt, ids`` of the benchmark's different pieces, as a written table, and how many blocks they make.
+
+    A piece on many items is one row for each ``BLOCK_ROWS`` of the benchmark's pieces at most, so that no list of ids
+    grows with the benchmark.
+    """
+    items = benchmark.select(
+        quoted(item_col).cast("bigint").alias("item"), quoted(text_col).cast("string").alias("phrase")
+    )
+    pieces = stage(items.mapInArrow(_cut(window), "item bigint, piece array<bigint>"), "pieces")
+    salts = max(1, -(-pieces.count() // BLOCK_ROWS))
+    salt = F.pmod(F.xxhash64("item"), F.lit(salts)).alias("salt")
+    asked = stage(pieces.groupBy("piece", salt).agg(F.collect_set("item").alias("ids")), "benchmark")
+    rows, words = asked.agg(F.count("*"), F.coalesce(F.sum(F.size("piece") + F.size("ids")), F.lit(0))).first()
+    return asked, max(1, -(-rows // BLOCK_ROWS), -(-words // BLOCK_WORDS))
 
 
 def _occurrences(hashes: np.ndarray, text_of: np.ndarray, phrases: Phrases) -> tuple[np.ndarray, np.ndarray]:
@@ -106,7 +161,7 @@ def _search(
                 known = part.column(items).to_pylist()
                 found: dict[int, set] = {}
                 for t, p in np.unique(np.stack([text_of[at], phrase]), axis=1).T.tolist():
-                    found.setdefault(t, set()).update(phrases.items[p])
+                    found.setdefault(t, set()).update(phrases.pieces(p))
                 for t, own in found.items():
                     a, b = words.bounds[t], words.bounds[t + 1]
                     if before[t]:
@@ -114,7 +169,7 @@ def _search(
                             hit[a + x : a + y] = True
                     edge = np.diff(np.concatenate([[0], hit[a:b], [0]]))
                     before[t] = list(zip(np.flatnonzero(edge == 1).tolist(), np.flatnonzero(edge == -1).tolist()))
-                    known[t] = sorted({*known[t], *own})
+                    known[t] = sorted({*known[t], *(item for piece in own for item in phrases.items(piece))})
                 merged = pa.array([[list(x) for x in y] for y in before], pa.list_(pa.list_(pa.int64())))
                 columns = [part.column(c) for c in rest]
                 columns += [pa.array(words.counts.astype(np.int64)), merged, pa.array(known, pa.list_(pa.int64()))]
@@ -170,16 +225,10 @@ def find_contamination(
     found = found.withColumn(n_words, F.lit(0).cast("bigint"))
     found = found.withColumn(marks, F.array().cast("array<array<bigint>>"))
     found = found.withColumn(items, F.array().cast("array<bigint>"))
-    asked = stage(
-        benchmark.select(
-            quoted(item_col).cast("bigint").alias("item"), quoted(item_text_col).cast("string").alias("phrase")
-        ),
-        "benchmark",
-    )
-    blocks = max(1, -(-asked.count() // BLOCK_ROWS))
+    asked, blocks = _asked(benchmark, item_col, item_text_col, window)
     for block in range(blocks):
-        own = asked.filter(F.pmod(F.xxhash64("item", "phrase"), F.lit(blocks)) == block).toArrow()
-        phrases = Phrases(own["item"].combine_chunks(), own["phrase"].combine_chunks(), window)
+        own = asked.filter(F.pmod(F.xxhash64("piece", "salt"), F.lit(blocks)) == block).toArrow()
+        phrases = Phrases(own["piece"].combine_chunks(), own["ids"].combine_chunks(), window)
         last = spans if block == blocks - 1 else None
         schema = T.StructType([*found.schema.fields, *([T.StructField(spans, SPAN)] if last else [])])
         shared = spark.sparkContext.broadcast(phrases)

@@ -62,3 +62,41 @@ def test_odd_tables(spark):
     assert find_contamination(docs.limit(0), asked).count() == 0
     (row,) = find_contamination(docs, asked).collect()
     assert row["n_hit"] == 1 and row["contaminated"] and row["spans"][0]["end"] == 1
+
+
+def test_long_items_are_cut_without_loss(spark, monkeypatch):
+    monkeypatch.setattr(decontaminate, "BLOCK_WORDS", 40)
+    monkeypatch.setattr(decontaminate, "PIECE_WORDS", 17)
+    docs, items = tables(2)
+    rng = random.Random(3)
+    long = " ".join(f"w{rng.randrange(60)}" for _ in range(70))
+    items.append((20, long))
+    docs += [(100 + i, " ".join(long.split()[i : i + 13])) for i in range(58)]
+    frame = spark.createDataFrame(docs, "doc_id bigint, text string")
+    got = find_contamination(frame, spark.createDataFrame(items, "item_id int, text string")).collect()
+    texts = dict(docs)
+    for r in got:
+        assert (r["n_words"], r["n_hit"], r["items"], r["contaminated"]) == brute(texts[r["doc_id"]], items)
+
+
+def test_driver_holds_neither_repeated_nor_giant_items(spark, monkeypatch):
+    blocks = []
+
+    def seen(self, pieces, ids, window, real=decontaminate.Phrases.__init__):
+        blocks.append((len(pieces.flatten()), len(ids.flatten())))
+        real(self, pieces, ids, window)
+
+    monkeypatch.setattr(decontaminate.Phrases, "__init__", seen)
+    phrase = " ".join(f"p{i}" for i in range(30))
+    giant = spark.range(1).selectExpr(
+        "1000000L AS item_id", "array_join(transform(sequence(1, 700000), i -> concat('g', i)), ' ') AS text"
+    )
+    equal = spark.range(50_000).selectExpr("id AS item_id", f"'{phrase}' AS text")
+    docs = [(1, "x " + phrase), (2, " ".join(f"g{i}" for i in range(49_980, 50_020))), (3, "g5 g7")]
+    found = find_contamination(spark.createDataFrame(docs, "doc_id bigint, text string"), equal.unionByName(giant))
+    got = {r["doc_id"]: r for r in found.collect()}
+    assert got[1]["items"] == list(range(50_000)) and got[1]["n_hit"] == 30
+    assert got[2]["items"] == [1_000_000] and got[2]["n_hit"] == 40
+    assert got[3]["n_hit"] == 0
+    # 50,000 rows of one text come as three lists of ids, a giant item as pieces, all within a block's words.
+    assert sum(n for n, _ in blocks) < 702_000 and sum(n for _, n in blocks) < 50_100
