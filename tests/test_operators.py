@@ -324,3 +324,28 @@ def test_output_types(spark):
 def test_shards(spark):
     df = spark.createDataFrame([(101,), (102,), (-1,)], "station_id int")
     assert [r.shard for r in shard_by_station(df, 2).collect()] == [1, 0, 1]
+
+
+@pytest.mark.parametrize("bucket_s", [None, 900])
+def test_live_pairs_leave_out_the_crowd_of_one_station(spark, tmp_path, bucket_s):
+    """A live plate nearly always at one station: the join meets no two passes of it there, a row is copied a bounded
+    number of times, and the pairs are those of brute force."""
+    rows = [(i, 0, 101 if i % 9 else 102 + i % 5, "HOT" if i % 2 else f"P{i % 3}", START + timedelta(seconds=37 * i))
+            for i in range(400)]
+    rows += [(400 + i, 0, s, "HOT", START + timedelta(seconds=40 * i)) for i, s in enumerate((118, 101, 118, 107))]
+    df = pass_frame(spark, rows).withColumn("seen", F.current_timestamp())
+    df.write.parquet(str(tmp_path / "in"))
+    stations = spark.createDataFrame([(s,) for s in (101, 102, 103, 104, 105, 106, 107, 118)], "station_id int")
+    bits = pairs.station_bits(stations)
+    assert bits == [0, 1, 2, 3, 4]
+    hot = None if bucket_s else spark.createDataFrame([("HOT", 500)], "hphm string, splits int")
+    live = spark.readStream.schema(df.schema).parquet(str(tmp_path / "in")).withWatermark("seen", "1 hour")
+    found = pairs.plate_pairs(live, splits=hot, bucket_s=bucket_s, bits=bits)
+    query = (
+        found.writeStream.format("parquet").option("path", str(tmp_path / "out"))
+        .option("checkpointLocation", str(tmp_path / "cp")).trigger(availableNow=True).start()
+    )
+    query.awaitTermination()
+    assert pair_ids(spark.read.parquet(str(tmp_path / "out"))) == brute_pairs(rows, 20, 2700)
+    held = max(op["numRowsTotal"] for p in query.recentProgress for op in p["stateOperators"])
+    assert held <= len(rows) * (len(bits) * 5 if bucket_s else 2 * len(bits) * pairs.LIVE_SPLITS)
