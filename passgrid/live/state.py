@@ -16,7 +16,7 @@ def dedup_keys(spark: SparkSession, checkpoint: str) -> DataFrame:
 def held_history(spark: SparkSession, checkpoint: str) -> DataFrame:
     """The plate histories that the query with this checkpoint holds: ``hphm, second``, a row per pass."""
     held = spark.read.format("statestore").option("stateVarName", "held").option("flattenCollectionTypes", "true").load(checkpoint)
-    return held.select("key.hphm", F.col("list_element.value.second").alias("second"))
+    return held.select("list_element.value.hphm", "list_element.value.second")
 
 
 def partition_rows(spark: SparkSession, checkpoint: str, *, operator: int = 0, side: str | None = None) -> DataFrame:

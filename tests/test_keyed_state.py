@@ -5,8 +5,8 @@ from datetime import datetime, timedelta, timezone
 import pytest
 from pyspark.sql import functions as F
 
-from passgrid.catalog.streams import clone_alerts_in_buckets, keyed_state, wait_for_listeners
-from passgrid.live.history import history_stream
+from passgrid.catalog.streams import _run, clone_alerts_in_buckets, keyed_state, wait_for_listeners
+from passgrid.live.history import GROUPS, history_stream
 from passgrid.live.late import LateCounts, read_late_counts
 from passgrid.live.queries import file_writer, partitioned_stats_stream, start_stats, stats_stream
 from passgrid.live.state import held_history, partition_rows
@@ -62,6 +62,25 @@ def test_a_straggler_purges_and_state_stays_bounded(history):
     assert state == held == {"a": [90_000], "b": [90_000], "c": [50], "hot": [89_000, 90_000]}
 
 
+def test_plates_share_lists_of_state(spark, history, tmp_path):
+    """Far more plates than groups: sizes and what is held as by hand, a key of state per group at most."""
+    first = [(i, f"p{i % 2500}", i % 7 * 600) for i in range(5000)]
+    second = [(5000 + i, f"p{i}", 3600 + i % 5 * 900) for i in range(0, 2500, 2)]
+    want, held = sizes_by_hand(first + second)
+    got, state = history(first, second)
+    assert got == want and state == held
+    with keyed_state(spark):
+        table = spark.read.format("statestore").option("stateVarName", "held").load(str(tmp_path / "cp"))
+        assert table.select("key").distinct().count() <= GROUPS < 2500
+
+
+def test_arrivals_are_dealt_over_files(spark, tmp_path):
+    """One file of one row group would be decoded by one task, however large."""
+    _run(spark, [spark.range(5000).coalesce(1)], str(tmp_path / "in"))
+    rows = spark.read.parquet(str(tmp_path / "in")).groupBy(F.input_file_name()).count().collect()
+    assert len(rows) == spark.sparkContext.defaultParallelism and max(r["count"] for r in rows) < 2 * 5000 / len(rows)
+
+
 def detail(spark, rows):
     rows = [(START + timedelta(seconds=s), station) for s, station in rows]
     frame = spark.createDataFrame(rows, "gcsj timestamp, station_id int")
