@@ -13,10 +13,13 @@ PASS_COLUMNS = [
 ]
 
 
-def passes(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """All events as passes, plus a late second delivery of every eleventh. One scan of the table."""
+def passes(spark: SparkSession, sf_dir: str, *, dealt: bool = False) -> DataFrame:
+    """All events as passes, plus a late second delivery of every eleventh. One scan of the table; ``dealt`` spreads what
+    it reads over all cores, as a file of one row group is read by one task."""
     spark.conf.set("spark.sql.session.timeZone", "UTC")
     events = spark.read.parquet(f"{sf_dir}/events.parquet").select("event_id", "ts", "user_id", "event_type", "props")
+    if dealt:
+        events = events.repartition(spark.sparkContext.defaultParallelism)
     e, u = F.col("event_id"), F.col("user_id")
     k = F.regexp_extract("props", r"(\d+)", 1).cast("int") % 6
     offset = F.unix_micros(F.col("ts").cast("timestamp")) - F.lit(T0)
@@ -83,9 +86,9 @@ def message(df: DataFrame) -> Column:
     return F.when(e % 41 == 0, F.lit("not-json")).otherwise(F.concat(F.lit("{"), parts, F.lit("}")))
 
 
-def records(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The passes as source records ``value, ingest_time, arrival_seq``."""
-    df = passes(spark, sf_dir)
+def records(spark: SparkSession, sf_dir: str, *, dealt: bool = False) -> DataFrame:
+    """The passes as source records ``value, ingest_time, arrival_seq``; ``dealt`` as in :func:`passes`."""
+    df = passes(spark, sf_dir, dealt=dealt)
     return df.select(message(df).alias("value"), "ingest_time", "arrival_seq")
 
 

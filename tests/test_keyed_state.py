@@ -5,6 +5,7 @@ from datetime import datetime, timedelta, timezone
 import pytest
 from pyspark.sql import functions as F
 
+from passgrid.catalog import fixture as fx
 from passgrid.catalog.streams import _run, clone_alerts_in_buckets, keyed_state, wait_for_listeners
 from passgrid.live.history import GROUPS, history_stream
 from passgrid.live.late import LateCounts, read_late_counts
@@ -81,6 +82,20 @@ def test_arrivals_are_dealt_over_files(spark, tmp_path):
     assert len(rows) == spark.sparkContext.defaultParallelism and max(r["count"] for r in rows) < 2 * 5000 / len(rows)
 
 
+def test_messages_are_made_by_all_tasks(spark, tmp_path):
+    """Events of one row group: each core makes messages, and the same ones as a single task."""
+    e = F.col("id")
+    spark.range(4000).coalesce(1).select(
+        e.alias("event_id"), F.expr("timestamp_ntz'2024-01-01 00:00:00' + make_dt_interval(0, 0, 0, id)").alias("ts"),
+        (e % 90).alias("user_id"), F.when(e % 4 > 0, "view").alias("event_type"), F.concat(F.lit('{"k": '), e, F.lit("}")).alias("props"),
+    ).write.parquet(str(tmp_path / "events.parquet"))
+    dealt = fx.records(spark, str(tmp_path), dealt=True)
+    rows = dealt.groupBy(F.spark_partition_id()).count().collect()
+    assert len(rows) == spark.sparkContext.defaultParallelism and max(r["count"] for r in rows) < 2 * 4364 / len(rows)
+    whole = fx.records(spark, str(tmp_path))
+    assert dealt.exceptAll(whole).isEmpty() and whole.exceptAll(dealt).isEmpty()
+
+
 def detail(spark, rows):
     rows = [(START + timedelta(seconds=s), station) for s, station in rows]
     frame = spark.createDataFrame(rows, "gcsj timestamp, station_id int")
