@@ -26,33 +26,39 @@ class ChainField:
         self.step = np.zeros((3, 3))
 
     def fit(self, chains: Sequence[list[list[int]]], tags: Sequence[list[int]], *, turns: int = 120, l2: float = 1e-3):
-        """Maximum likelihood by gradient steps; all chains at once, padded to the longest."""
-        longest = max(map(len, chains))
+        """Maximum likelihood by gradient steps over all chains; chains of like lengths are padded to the longest of them."""
         wide = max(len(f) for c in chains for f in c)
-        ids = np.full((len(chains), longest, wide), BUCKETS)
-        gold = np.zeros((len(chains), longest), np.int64)
-        real = np.zeros((len(chains), longest), bool)
-        for i, (chain, own) in enumerate(zip(chains, tags)):
-            for t, features in enumerate(chain):
-                ids[i, t, : len(features)] = features
-            gold[i, : len(own)] = own
-            real[i, : len(own)] = True
-        flat = ids[real]
+        groups = []
+        for low, high in ((1, 1), (2, 4), (5, 16), (17, max(map(len, chains)))):
+            own = [i for i, c in enumerate(chains) if low <= len(c) <= high]
+            if not own:
+                continue
+            lengths = np.array([len(chains[i]) for i in own])
+            real = np.arange(lengths.max()) < lengths[:, None]
+            gold = np.zeros(real.shape, np.int64)
+            gold[real] = [t for i in own for t in tags[i]]
+            flat = np.full((lengths.sum(), wide), BUCKETS, np.int32)
+            for row, features in zip(flat, (f for i in own for f in chains[i])):
+                row[: len(features)] = features
+            seen_steps = np.zeros((3, 3))
+            np.add.at(seen_steps, (gold[:, :-1][real[:, 1:]], gold[:, 1:][real[:, 1:]]), 1)
+            groups.append((flat, real, gold, seen_steps))
         ones = np.eye(3)
-        follow = real[:, 1:]
-        seen_steps = np.zeros((3, 3))
-        np.add.at(seen_steps, (gold[:, :-1][follow], gold[:, 1:][follow]), 1)
         moments = [np.zeros((BUCKETS + 1, 3)), np.zeros((BUCKETS + 1, 3)), np.zeros((3, 3)), np.zeros((3, 3))]
         state = np.vstack([self.state, np.zeros((1, 3))])
         for turn in range(1, turns + 1):
-            scores = np.zeros((len(chains), longest, 3))
-            scores[real] = state[flat].sum(axis=1)
-            marginal, steps = self._marginals(scores, real)
-            by_state = np.zeros_like(state)
-            np.add.at(by_state, flat, (ones[gold[real]] - marginal[real])[:, None, :])
+            by_state, by_step = np.zeros_like(state), np.zeros((3, 3))
+            for flat, real, gold, seen_steps in groups:
+                scores = np.zeros((*real.shape, 3))
+                scores[real] = state[flat].sum(axis=1)
+                marginal, steps = self._marginals(scores, real)
+                off = ones[gold[real]] - marginal[real]
+                for k in range(3):
+                    by_state[:, k] += np.bincount(flat.ravel(), np.repeat(off[:, k], wide), BUCKETS + 1)
+                by_step += seen_steps - steps
             by_state[-1] = 0
             by_state = by_state / len(chains) - l2 * state
-            by_step = (seen_steps - steps) / len(chains) - l2 * self.step
+            by_step = by_step / len(chains) - l2 * self.step
             for k, (weights, gradient) in enumerate(((state, by_state), (self.step, by_step))):
                 m, v = moments[2 * k], moments[2 * k + 1]
                 m += 0.1 * (gradient - m)

@@ -1,13 +1,13 @@
 """Secret scans: fixed patterns, and a linear-chain conditional random field for what they miss.
 
-The field tags tokens as begin, inside or outside of a secret. It sees runs of secret characters: those next to a secret
-word or an assignment sign, whatever their shape and length, mixed ones of at least ``RUN`` characters with a letter and
-a digit among them, and random-looking ones of letters or digits alone. Tokens elsewhere are outside, so that the chain
-falls apart into these runs and each is decoded by itself, with the words around it as features. Texts are scanned where
-they are read; nothing is shuffled.
-
-The field is trained on the fixed patterns' matches and the other such runs of a bounded sample of documents, and on
-made-up lines: secrets of common forms in common settings, and things that only look like them.
+The field tags tokens as begin, inside or outside of a secret. It sees every run of secret characters of the whole text;
+characters between runs are outside, so that the chain falls apart into runs and each is decoded by itself, with the words
+around it as features. Texts are scanned where they are read; nothing is shuffled.
+
+The field is trained on a bounded sample of documents, on made-up secrets of common forms in common settings, and on
+things that only look like them. Of a document it learns runs likely to hold a secret (next to a secret word or an
+assignment sign, mixed ones of at least ``RUN`` characters with a letter and a digit among them, and random-looking ones
+of letters or digits alone), the fixed patterns' matches among them, and as many others.
 """
 
 from __future__ import annotations
@@ -18,22 +18,27 @@ from collections import Counter
 from collections.abc import Callable, Iterator
 from functools import lru_cache
 from hashlib import sha256
+from heapq import nsmallest
 from math import log2
 from zlib import crc32
 
+import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from passgrid.llm.columns import quoted, without
-from passgrid.llm.crf import ChainField, bucket
+from passgrid.llm.crf import BUCKETS, ChainField, bucket
 
 SAMPLE_DOCS = 2000
 MADE_LINES = 1500
 RUN = 8
 LONGEST_CHAIN = 64
 KNOWN_SETTINGS = 20_000
+# Characters of a text that are scored at once, and of a run that is scored token by token.
+PIECE = 1 << 16
+LONG_RUN = 512
 
 # ---- Fixed values: the patterns every scan must report -------------------------------------------------------------
 ASSIGN = re.compile(
@@ -50,6 +55,7 @@ _RUN_CHARACTERS = frozenset("ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxy
 _LETTER = re.compile(r"[A-Za-z]")
 _TOKEN = re.compile(r"[A-Za-z0-9]+|[^A-Za-z0-9]")
 _WORD = re.compile(r"\w+|[=:]", re.ASCII)
+_WORD_CHARACTER = re.compile(r"\w", re.ASCII)
 _SECRET_WORDS = frozenset(
     "password passwd pwd pass secret token key apikey api_key auth authorization bearer credential credentials private "
     "access client signature".split()
@@ -158,7 +164,7 @@ def _following(text: str, runs: _Runs, at: int, word_end: int) -> Iterator[tuple
 
 
 def seen_runs(text: str) -> list[tuple[int, int]]:
-    """The runs that the field sees, in order."""
+    """The runs most likely to hold a secret, in order."""
     runs = _Runs(text)
     found = set(mixed_runs(text))
     found.update(run for run in _beside(text, runs) if _KNOWN.search(text, *run))
@@ -197,15 +203,22 @@ def _vowels(token: str) -> int:
     return sum(c in "aeiouyAEIOUY" for c in token[:64]) * 6 // max(1, min(64, len(token)))
 
 
+def _names_secret(word: str) -> bool:
+    return not _SECRET_WORDS.isdisjoint([word, *word.split("_")])
+
+
 def _run_features(text: str, start: int, end: int, file: list[str]) -> tuple[list[int], bool, bool]:
     """Features that all tokens of a run share, and whether a secret word and a sign come before it."""
-    before = [w.lower() for w in _WORD.findall(text, max(0, start - 40), start)][-3:]
+    near = max(0, start - 40)
+    cut = near > 0 and _WORD_CHARACTER.match(text, near - 1)
+    before = [w[0].lower() for w in _WORD.finditer(text, near, start) if not (cut and w.start() == near and w[0] not in "=:")]
+    before = before[-3:]
     run = text[start:end]
     shared = [f"before={w}" for w in before]
-    named = any(not _SECRET_WORDS.isdisjoint([w, *w.split("_")]) for w in before)
+    named = any(map(_names_secret, before))
     signed = before[-1:] in (["="], [":"])
-    after = _WORD.search(text, end, end + 20)
-    shared += ["before secret word"] * (after is not None and after[0].lower() in _SECRET_WORDS)
+    after = _WORD.search(text, end)
+    shared += ["before secret word"] * (after is not None and after.start() < end + 20 and after[0].lower() in _SECRET_WORDS)
     shared += [f"run={_size(len(run))}", f"run changes={_size(_changes(run))}", f"quoted={text[start - 1:start] in _QUOTES}"]
     shared += [f"at={'@' in run}", f"dots={min(run.count('.'), 3)}", f"slashes={min(run.count('/'), 3)}"]
     shared += file
@@ -234,6 +247,10 @@ def _token_settings(text: str, start: int, end: int, named: bool, signed: bool)
 
 def _token_features(setting: _Setting) -> list[int]:
     named, signed, token, last, following, place = setting
+    return [*_own_features(named, signed, token), *map(bucket, (f"last={last}", f"next={following}", f"place={place}"))]
+
+
+def _own_features(named: bool, signed: bool, token: str) -> list[int]:
     n = max(1, len(token))
     shape = _shape(token)
     near = f"near={named:d}{signed:d} shape={shape}"
@@ -246,9 +263,6 @@ def _token_features(setting: _Setting) -> list[int]:
         f"shape={shape} size={_size(len(token))}",
         f"changes={_size(_changes(token))}",
         f"kinds={len(set(token)) * 4 // n}",
-        f"last={last}",
-        f"next={following}",
-        f"place={place}",
         f"word={token.lower()[:12]}",
     ]
     own += ["after secret word"] * named + ["after sign"] * signed
@@ -271,40 +285,233 @@ def file_features(text: str) -> list[str]:
     return [f"file signs={_size(signs * 200 // n)}", f"file key={'PRIVATE KEY' in text}", f"file size={n.bit_length() // 3}"]
 
 
-def field_spans(text: str, field: ChainField) -> list[Span]:
-    """Secrets that the field tags, from the first token of each to its last.
+_SIGNS = "+/_.=@$!%^&*~#-"
+_SHAPES = ["A", "a", "d", "Aa", "Ad", "ad", "Aad", *_SIGNS]
+_SHAPE_AT = {s: i for i, s in enumerate(_SHAPES)}
+# By the sum of 1 for capitals, 2 for small letters and 4 for digits; and by the sign.
+_SHAPE_OF_KINDS = np.array([0, *[_SHAPE_AT["".join(k for i, k in enumerate("Aad") if n >> i & 1)] for n in range(1, 8)]])
+_SHAPE_OF_SIGN = np.array([_SHAPE_AT.get(chr(c), 0) for c in range(128)])
+_VOWEL = np.array([chr(c) in "aeiouyAEIOUY" for c in range(128)])
+_QUOTED = np.array([chr(c) in "\"'`" for c in range(128)])
+_SECRET_BYTES = frozenset(w.encode() for w in _SECRET_WORDS)
+_LOW_WORD = re.compile(rb"[a-z0-9_]+|[=:]")
+# By character: 1 in a token of letters and digits, 2 a token by itself, 0 between runs. Others than ASCII are 127.
+_CLASS = np.array([1 if chr(c).isalnum() else 2 * (chr(c) in _SIGNS) for c in range(128)], np.int8)
+_IN_WORD = np.array([1 if chr(c).isalnum() or chr(c) == "_" else 2 * (chr(c) in "=:") for c in range(128)], np.int8)
+_RUN_TOKEN = re.compile(rb"[a-z0-9]+|[+/_.=@$!%^&*~#-]")
+
+
+def _spans_of(kind: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Starts and ends of the longest stretches of 1 and of each single 2."""
+    before, after = np.concatenate([[0], kind[:-1]]), np.concatenate([kind[1:], [0]])
+    starts = np.flatnonzero((kind == 2) | ((kind == 1) & (before != 1)))
+    return starts, np.flatnonzero((kind == 2) | ((kind == 1) & (after != 1))) + 1
+
 
-    Tokens are scored and decoded one by one, so that a run of megabytes needs a byte a token.
+class _Scorer:
+    """Scores of the runs of a text, many at once.
+
+    A token's score is a sum over its features, which depend on the token with what is named and signed before it, on its
+    neighbours' shapes and place, or on its run; each part is looked up or counted for all tokens of a piece.
     """
-    out: list[Span] = []
-    file: list[str] | None = None
-    known: dict[_Setting, list[float]] = {}
 
-    def scores(start: int, end: int) -> Iterator[tuple[float, float, float]]:
+    def __init__(self, field: ChainField):
+        self.field = field
+        self.settings: dict[_Setting, list[float]] = {}
+        sizes, settings = sorted(set(map(_size, range(65)))), range(4)
+        self.size_at = np.array([sizes.index(_size(n)) for n in range(65)])
+        # By what is named (2) and signed (1) before, shape, size, turns of case and vowels.
+        near = [[f"near={i >> 1}{i & 1} shape={s}" for s in _SHAPES] for i in settings]
+        by_size = self._weights([[[f"{f} size={n}" for n in sizes] for f in fs] for fs in near])
+        by_size += self._weights([[f"shape={s} size={n}" for n in sizes] for s in _SHAPES])
+        by_shape = self._weights(near) + self._weights([f"shape={s}" for s in _SHAPES])
+        after = self._weights(["after secret word", "after sign"])
+        by_shape += (np.array([[i >> 1, i & 1] for i in settings]) @ after)[:, None]
+        by_case = self._weights([[[f"{f} cases={n}" for n in range(4)] for f in fs] for fs in near])
+        by_vowels = self._weights([[[[f"{f} vowels={v} size={n}" for v in range(7)] for n in sizes] for f in fs] for fs in near])
+        self.own = (by_shape[:, :, None] + by_size)[:, :, :, None, None] + by_case[:, :, None, :, None] + by_vowels[:, :, :, None]
+        self.turns = self._weights([f"changes={_size(n)}" for n in range(65)])
+        self.kinds = self._weights([f"kinds={n}" for n in range(5)])
+        self.last = self._weights([f"last={s}" for s in _SHAPES])
+        self.following = self._weights([f"next={s}" for s in _SHAPES])
+        self.place = self._weights([f"place={i}" for i in range(4)])
+        # What runs share.
+        self.run_size = self._weights([f"run={_size(n)}" for n in range(65)])
+        self.run_turns = self._weights([f"run changes={_size(n)}" for n in range(65)])
+        self.quoted = self._weights([f"quoted={q}" for q in (False, True)])
+        self.at = self._weights([f"at={q}" for q in (False, True)])
+        self.dots = self._weights([f"dots={n}" for n in range(4)])
+        self.slashes = self._weights([f"slashes={n}" for n in range(4)])
+        self.asked = self._weights("before secret word")
+        # What a tag other than O may gain by the steps to it and from it to O, against staying at O.
+        step = field.step - field.step[0, 0]
+        self.slack = max(0.0, step[:, 1:].max()) + max(0.0, step[1:, 0].max()) + 1e-6
+
+    def _weights(self, features: str | list) -> np.ndarray:
+        if isinstance(features, str):
+            return self.field.state[bucket(features)]
+        return np.array([self._weights(f) for f in features])
+
+    def _worded(self, prefix: bytes, words: list[bytes]) -> np.ndarray:
+        """Weights of the features that end in a word each."""
+        seed = crc32(prefix)
+        return self.field.state[np.array([crc32(w, seed) for w in words]) % BUCKETS]
+
+    def of_run(self, text: str, start: int, end: int, file: list[str]) -> Iterator[tuple[float, float, float]]:
+        """Scores of a run's tokens one by one, so that one of megabytes needs a byte a token."""
         fixed, named, signed = _run_features(text, start, end, file)
-        x, y, z = field.state[fixed].sum(axis=0).tolist()
+        x, y, z = self.field.state[fixed].sum(axis=0).tolist()
         for setting in _token_settings(text, start, end, named, signed):
-            own = known.get(setting)
+            own = self.settings.get(setting)
             if own is None:
-                if len(known) > KNOWN_SETTINGS:
-                    known.clear()
-                own = known[setting] = field.state[_token_features(setting)].sum(axis=0).tolist()
+                if len(self.settings) > KNOWN_SETTINGS:
+                    self.settings.clear()
+                own = self.settings[setting] = self.field.state[_token_features(setting)].sum(axis=0).tolist()
             yield x + own[0], y + own[1], z + own[2]
 
-    for start, end in seen_runs(text):
-        file = file or file_features(text)
-        begin = None
-        for m, tag in zip(_TOKEN.finditer(text, start, end), field.best_tags(scores(start, end))):
-            if tag == 1:
-                if begin is not None:
-                    out.append((begin, last, "field"))
-                begin = m.start()
-            if tag == 0 and begin is not None:
-                out.append((begin, last, "field"))
-                begin = None
-            last = m.end()
-        if begin is not None:
-            out.append((begin, last, "field"))
+    def of_piece(self, text: str, start: int, end: int, file: np.ndarray) -> Iterator[tuple[int, int, np.ndarray | None]]:
+        """Runs within ``text[start:end]``, which cuts none, and their tokens' scores, nothing for a long run. Runs that
+        can't but be all O are left out: no token could gain by another tag, whatever its neighbours' tags."""
+        begin = max(0, start - 41)
+        # The word after the last run counts, if it begins within 20 characters; no long one is a secret word.
+        around = text[begin : end + 100]
+        plain = around.encode("ascii", "replace")  # "?" is in no run
+        codes, low = np.frombuffer(plain, np.uint8), plain.lower()
+        kind = _CLASS[codes]
+        kind[: start - begin] = kind[end - begin :] = 0
+        starts, ends = _spans_of(kind)
+        if not len(starts):
+            return
+        run_starts, run_ends = _spans_of(np.minimum(kind, 1))
+        first = np.searchsorted(starts, run_starts)
+        lengths = np.diff(np.append(first, len(starts)))
+        run = np.repeat(np.arange(len(first)), lengths)
+
+        # Characters of a kind, and turns between them, up to each place.
+        def sums(flag: np.ndarray) -> np.ndarray:
+            upto = np.zeros(len(flag) + 1, np.int32)
+            np.cumsum(flag, out=upto[1:])
+            return upto
+
+        def turns(flag: np.ndarray) -> np.ndarray:
+            return sums(flag[1:] != flag[:-1])
+
+        def count(flag: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
+            upto = sums(flag)
+            return upto[ends] - upto[starts]
+
+        digit, upper = (codes >= 48) & (codes <= 57), (codes >= 65) & (codes <= 90)
+        lower = (codes >= 97) & (codes <= 122)
+        digit_turns, case_turns = turns(digit), turns(upper)
+
+        # What all tokens of a run share.
+        size = np.minimum(run_ends - run_starts, 64)
+        quoted = (run_starts > 0) & _QUOTED[codes[run_starts - 1]]
+        fixed = file + self.run_size[size] + self.run_turns[digit_turns[run_starts + size - 1] - digit_turns[run_starts]]
+        fixed += self.quoted[quoted.astype(int)] + self.at[np.minimum(count(codes == ord("@"), run_starts, run_ends), 1)]
+        fixed += self.dots[np.minimum(count(codes == ord("."), run_starts, run_ends), 3)]
+        fixed += self.slashes[np.minimum(count(codes == ord("/"), run_starts, run_ends), 3)]
+        # One word out of reach, so that there is always one behind.
+        words = [*[w[:64] for w in _LOW_WORD.findall(low)], b""]
+        word_starts, word_ends = _spans_of(_IN_WORD[codes])
+        word_starts = np.append(word_starts, len(codes) + 20)
+        worded = self._worded(b"before=", words)
+        secret = np.array([w in _SECRET_BYTES for w in words])
+        names = secret.copy()
+        if b"_" in low:
+            names |= [b"_" in w and _names_secret(w.decode()) for w in words]
+        sign = np.append(_IN_WORD[codes[word_starts[:-1]]] == 2, False)
+        ended = np.searchsorted(word_ends, run_starts, "right")
+        named, signed = np.zeros(len(first), bool), np.zeros(len(first), bool)
+        for back in (1, 2, 3):
+            at = np.maximum(ended - back, 0)
+            near = (ended >= back) & (word_starts[at] >= run_starts - 40)
+            fixed += worded[at] * near[:, None]
+            named |= near & names[at]
+            if back == 1:
+                signed = near & sign[at]
+        at = np.searchsorted(word_starts, run_ends)
+        asked = (word_starts[at] < run_ends + 20) & secret[at]
+        fixed += asked[:, None] * self.asked
+
+        # What a token has from earlier ones of its run.
+        def earlier(flag: np.ndarray) -> np.ndarray:
+            upto = np.cumsum(flag) - flag
+            return upto > upto[first][run]
+
+        tokens = _RUN_TOKEN.findall(low, start - begin, end - begin)
+        named = named[run] | earlier(np.array([t in _SECRET_BYTES for t in tokens]))
+        signed = signed[run] | earlier(codes[starts] == ord("="))
+        # The first 64 characters count.
+        size = np.minimum(ends - starts, 64)
+        ends = starts + size
+        kinds = 1 * (count(upper, starts, ends) > 0) + 2 * (count(lower, starts, ends) > 0) + 4 * (count(digit, starts, ends) > 0)
+        shape = np.where(kinds > 0, _SHAPE_OF_KINDS[kinds], _SHAPE_OF_SIGN[codes[starts]])
+        cases = (case_turns[ends - 1] - case_turns[starts]) * 4 // size
+        vowels = count(_VOWEL[codes], starts, ends) * 6 // size
+        token_at = np.repeat(np.arange(len(starts)), size)
+        inside = np.arange(len(token_at)) - np.repeat(np.cumsum(size) - size, size) + np.repeat(starts, size)
+        pairs = np.sort((token_at * 128 + codes[inside]).astype(np.int32))
+        different = np.add.reduceat(np.append(True, pairs[1:] != pairs[:-1]), np.cumsum(size) - size, dtype=np.int64)
+        ahead = np.append(shape[1:], 0)
+        ahead[first[1:] - 1] = ahead[-1] = _SHAPE_AT["$"]
+        last = np.append(0, shape[:-1])
+        last[first] = _SHAPE_AT["^"]
+        scores = fixed[run] + self.own[2 * named + signed, shape, self.size_at[size], cases, vowels]
+        scores += self._worded(b"word=", [t[:12] for t in tokens]) + self.kinds[different * 4 // size]
+        scores += self.turns[digit_turns[ends - 1] - digit_turns[starts]] + self.last[last] + self.following[ahead]
+        scores += self.place[np.minimum(np.arange(len(starts)) - first[run], 3)]
+        gains = np.maximum(scores[:, 1], scores[:, 2]) - scores[:, 0] + self.slack > 0
+        for i in np.flatnonzero(np.logical_or.reduceat(gains, first)).tolist():
+            a, b = int(run_starts[i]), int(run_ends[i])
+            yield a + begin, b + begin, None if b - a > LONG_RUN else scores[first[i] : first[i] + lengths[i]]
+
+
+_scorer = lru_cache(1)(_Scorer)
+
+
+def _pieces(text: str) -> Iterator[tuple[int, int]]:
+    """Ends of pieces that cut no run; one that begins with a run longer than a piece is that run."""
+    at = 0
+    while at < len(text):
+        end = at + PIECE
+        if end < len(text) and text[end] in _RUN_CHARACTERS:
+            while end > at and text[end - 1] in _RUN_CHARACTERS:
+                end -= 1
+            if end == at:
+                end = _RUN.match(text, at).end()
+        yield at, min(end, len(text))
+        at = end
+
+
+def _tagged(text: str, start: int, end: int, tags: bytearray) -> Iterator[Span]:
+    """Secrets of a run, from the first token of each to its last."""
+    if not any(tags):
+        return
+    begin = None
+    for m, tag in zip(_TOKEN.finditer(text, start, end), tags):
+        if tag != 2 and begin is not None:
+            yield begin, last, "field"
+            begin = None
+        if tag == 1:
+            begin = m.start()
+        last = m.end()
+    if begin is not None:
+        yield begin, last, "field"
+
+
+def field_spans(text: str, field: ChainField) -> list[Span]:
+    """Secrets that the field tags, in all runs of the text."""
+    out: list[Span] = []
+    if not text:
+        return out
+    scorer, file = _scorer(field), file_features(text)
+    weights = field.state[[bucket(f) for f in file]].sum(axis=0)
+    for start, end in _pieces(text):
+        runs = [(start, end, None)] if end - start > PIECE else scorer.of_piece(text, start, end, weights)
+        for a, b, scores in runs:
+            scores = scorer.of_run(text, a, b, file) if scores is None else scores.tolist()
+            out.extend(_tagged(text, a, b, field.best_tags(scores)))
     return out
 
 
@@ -417,8 +624,9 @@ def _surrounded(line: str, rng: random.Random) -> str:
 def fit_field(docs: DataFrame, *, text_col: str = "text", sample_docs: int = SAMPLE_DOCS) -> ChainField:
     """A field from at most about ``sample_docs`` documents, by a hash of the text, and ``MADE_LINES`` made-up lines.
 
-    A document gives eight runs, the first by a hash, with the features of its whole text; of all runs those first by a hash
-    are learned from, four a document on average at most. Made-up lines stand in documents of made-up lengths.
+    A document gives eight runs likely to hold a secret and eight others, the first by a hash, with the features of its whole
+    text; of all runs those first by a hash are learned from, eight a document on average at most. Of a made-up line all
+    runs are; the lines stand in documents of made-up lengths.
     """
     scale = 1_000_000
     text = quoted(text_col).cast("string")
@@ -434,13 +642,16 @@ def fit_field(docs: DataFrame, *, text_col: str = "text", sample_docs: int = SAM
                 value = value or ""
                 known = base_spans(value)
                 file = file_features(value)
-                picked = sorted(seen_runs(value), key=lambda r: (crc32(f"{r[0]} {value[r[0]:r[1]]}".encode()), r))[:8]
+                likely = set(seen_runs(value))
+                others = (m.span() for m in _RUN.finditer(value) if m.span() not in likely)
+                picked = [r for runs in (likely, others)
+                          for r in nsmallest(8, runs, key=lambda r: (crc32(f"{r[0]} {value[r[0]:r[1]]}".encode()), r))]
                 for start, end in picked:
                     if end - start > 4 * LONGEST_CHAIN:
                         continue
                     inside = [s for s in known if s[0] < end and s[1] > start]
                     begin = max(0, start - 60)
-                    out.append((value[begin : end + 20], start - begin, end - begin, len(inside), file))
+                    out.append((value[begin : end + 60], start - begin, end - begin, len(inside), file))
             cut = [list(x) for x in zip(*out)] if out else [[], [], [], [], []]
             yield pa.RecordBatch.from_arrays(
                 [pa.array(cut[0], pa.string()), *[pa.array(c, pa.int64()) for c in cut[1:4]], pa.array(cut[4], pa.list_(pa.string()))],
@@ -466,7 +677,7 @@ def fit_field(docs: DataFrame, *, text_col: str = "text", sample_docs: int = SAM
         chains.append(features)
         tags.append(own)
 
-    for row in seen.limit(4 * sample_docs).toLocalIterator():
+    for row in seen.limit(8 * sample_docs).toLocalIterator():
         secret = (0, 0)
         if row["n"]:
             spans = [s for s in base_spans(row["text"]) if s[0] < row["end"] and s[1] > row["start"]]
@@ -478,8 +689,8 @@ def fit_field(docs: DataFrame, *, text_col: str = "text", sample_docs: int = SAM
     for _ in range(MADE_LINES):
         line, start, end = next(made)
         file = file_features(_surrounded(line, rng))
-        for a, b in seen_runs(line):
-            learn(line, a, b, (start, end), file)
+        for m in _RUN.finditer(line):
+            learn(line, *m.span(), (start, end), file)
     return ChainField().fit(chains, tags)
 
 

@@ -177,3 +177,58 @@ def test_runs_are_those_around_every_place(field):
         assert {r for r in signed if re.search("[A-Za-z0-9]", text[slice(*r)])} <= set(seen)
         base, added = find_spans(text, field)
         assert added == [s for s in field_spans(text, field) if all(s[1] <= b[0] or s[0] >= b[1] for b in base)]
+
+
+def every_run_decoded(text, field):
+    """Each run's tokens and features one by one, decoded by itself."""
+    out = []
+    for run in secrets._RUN.finditer(text):
+        places, features = secrets.chain_features(text, *run.span(), secrets.file_features(text))
+        begin = None
+        for (a, b), tag in zip([*places, (0, 0)], [*field.decode(features), 0]):
+            if tag != 2 and begin is not None:
+                out.append((begin, last, "field"))
+                begin = None
+            if tag == 1:
+                begin = a
+            last = b
+    return out
+
+
+def test_every_run_of_a_text_is_decoded(monkeypatch):
+    monkeypatch.setattr(secrets, "PIECE", 50)
+    monkeypatch.setattr(secrets, "LONG_RUN", 30)
+    rng = np.random.default_rng(3)
+    some = random.Random(3)
+    parts = ["swordfish", "key", "Key ", "=", ": ", " ", " ", "\n", "A1", "x.y", "é", "\ud83d", "pwd", "_", "@", "//", "12", '"', "(", "#", "k=" * 30]
+    for scale, bias in ((0.2, 0.1), (0.2, 0.0), (1.0, 0.0)):
+        field = ChainField()
+        # Weights that leave most runs to the bound, and such that leave few.
+        field.state = rng.normal(size=field.state.shape) * scale + [bias, 0, 0]
+        field.step = rng.normal(size=(3, 3))
+        found = 0
+        for _ in range(150):
+            text = "".join(some.choice(parts) for _ in range(some.randint(1, 60)))
+            want = every_run_decoded(text, field)
+            assert field_spans(text, field) == want, text
+            found += len(want)
+        assert found > 20
+
+
+def test_plain_runs_anywhere_are_scored():
+    # No digit, no sign, no secret word near: such a run was never looked at.
+    field = ChainField()
+    field.state[secrets.bucket("word=swordfish")] = [0, 5, 0]
+    text = "we say " * 20_000 + "swordfish and no more. Swordfish"
+    at = text.index("swordfish")
+    assert field_spans(text, field) == [(at, at + 9, "field"), (len(text) - 9, len(text), "field")]
+
+
+def test_training_learns_runs_of_either_kind(spark, monkeypatch):
+    learned = []
+    real = secrets.chain_features
+    monkeypatch.setattr(secrets, "chain_features", lambda text, *run: (learned.append(text[run[0]:run[1]]), real(text, *run))[1])
+    monkeypatch.setattr(ChainField, "fit", lambda self, chains, tags: self)
+    text = " ".join(["run1234abc", *["plain"] * 30, *[f"run{i}xyz{i}" for i in range(100, 120)]])
+    fit_field(spark.createDataFrame([(1, text)], "doc_id bigint, text string"))
+    assert learned.count("plain") == 8 and sum(x.startswith("run") for x in learned) == 8
