@@ -14,11 +14,13 @@ from __future__ import annotations
 
 import random
 import re
+from bisect import bisect_right
 from collections import Counter
-from collections.abc import Callable, Iterator
+from collections.abc import Callable, Iterable, Iterator
 from functools import lru_cache
 from hashlib import sha256
 from heapq import nsmallest
+from itertools import accumulate
 from math import log2
 from zlib import crc32
 
@@ -36,9 +38,13 @@ MADE_LINES = 1500
 RUN = 8
 LONGEST_CHAIN = 64
 KNOWN_SETTINGS = 20_000
-# Characters of a text that are scored at once, and of a run that is scored token by token.
+# Characters of a text that are scored at once, of short texts that are scored together, and of a run that is scored token
+# by token.
 PIECE = 1 << 16
+TOGETHER = 1 << 15
 LONG_RUN = 512
+# Between texts scored together: more than the characters that a run sees before and after it, in no run, word or quotes.
+_BETWEEN = "\n" * 41
 
 # ---- Fixed values: the patterns every scan must report -------------------------------------------------------------
 ASSIGN = re.compile(
@@ -294,11 +300,15 @@ _SHAPE_OF_SIGN = np.array([_SHAPE_AT.get(chr(c), 0) for c in range(128)])
 _VOWEL = np.array([chr(c) in "aeiouyAEIOUY" for c in range(128)])
 _QUOTED = np.array([chr(c) in "\"'`" for c in range(128)])
 _SECRET_BYTES = frozenset(w.encode() for w in _SECRET_WORDS)
-_LOW_WORD = re.compile(rb"[a-z0-9_]+|[=:]")
+# By bucket, whether a secret word's feature is there.
+_SECRET_BEFORE, _SECRET_WORD = (np.isin(np.arange(BUCKETS), [bucket(f) for f in features]) for features in (
+    [f"before={w}" for w in _SECRET_WORDS], [f"word={w[:12]}" for w in _SECRET_WORDS]
+))
 # By character: 1 in a token of letters and digits, 2 a token by itself, 0 between runs. Others than ASCII are 127.
 _CLASS = np.array([1 if chr(c).isalnum() else 2 * (chr(c) in _SIGNS) for c in range(128)], np.int8)
 _IN_WORD = np.array([1 if chr(c).isalnum() or chr(c) == "_" else 2 * (chr(c) in "=:") for c in range(128)], np.int8)
-_RUN_TOKEN = re.compile(rb"[a-z0-9]+|[+/_.=@$!%^&*~#-]")
+# What a byte does to a check sum: that of the byte alone, without the turns before and after.
+_CHECK = np.array([crc32(bytes([n ^ 255]), 0) ^ crc32(b"\xff", 0) for n in range(256)], np.uint32)
 
 
 def _spans_of(kind: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -308,6 +318,26 @@ def _spans_of(kind: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return starts, np.flatnonzero((kind == 2) | ((kind == 1) & (after != 1))) + 1
 
 
+def _are_secret(plain: bytes, starts: np.ndarray, ends: np.ndarray, likely: np.ndarray) -> np.ndarray:
+    """Whether words are secret words, of which only the likely ones can be."""
+    out = np.zeros(len(likely), bool)
+    for i in np.flatnonzero(likely).tolist():
+        out[i] = plain[starts[i] : ends[i]].lower() in _SECRET_BYTES
+    return out
+
+
+def _hashes(low: np.ndarray, starts: np.ndarray, sizes: np.ndarray, prefix: bytes) -> np.ndarray:
+    """Buckets of the features that end in a word each, as :func:`bucket` has them, for all words at once."""
+    order = np.argsort(255 - sizes.astype(np.uint8), kind="stable")  # the longest come first
+    at, check = starts[order], np.full(len(sizes), crc32(prefix) ^ 0xFFFFFFFF, np.uint32)
+    longer = len(sizes) - np.cumsum(np.bincount(sizes))
+    for j, n in enumerate(longer[:-1].tolist()):
+        check[:n] = _CHECK[(check[:n] ^ low[at[:n] + j]) & 255] ^ (check[:n] >> 8)
+    out = np.empty(len(sizes), np.int64)
+    out[order] = (check ^ 0xFFFFFFFF) % BUCKETS
+    return out
+
+
 class _Scorer:
     """Scores of the runs of a text, many at once.
 
@@ -352,11 +382,6 @@ class _Scorer:
             return self.field.state[bucket(features)]
         return np.array([self._weights(f) for f in features])
 
-    def _worded(self, prefix: bytes, words: list[bytes]) -> np.ndarray:
-        """Weights of the features that end in a word each."""
-        seed = crc32(prefix)
-        return self.field.state[np.array([crc32(w, seed) for w in words]) % BUCKETS]
-
     def of_run(self, text: str, start: int, end: int, file: list[str]) -> Iterator[tuple[float, float, float]]:
         """Scores of a run's tokens one by one, so that one of megabytes needs a byte a token."""
         fixed, named, signed = _run_features(text, start, end, file)
@@ -369,14 +394,16 @@ class _Scorer:
                 own = self.settings[setting] = self.field.state[_token_features(setting)].sum(axis=0).tolist()
             yield x + own[0], y + own[1], z + own[2]
 
-    def of_piece(self, text: str, start: int, end: int, file: np.ndarray) -> Iterator[tuple[int, int, np.ndarray | None]]:
+    def of_piece(self, text: str, start: int, end: int, files: np.ndarray,
+                 heads: np.ndarray) -> Iterator[tuple[int, int, np.ndarray | None]]:
         """Runs within ``text[start:end]``, which cuts none, and their tokens' scores, nothing for a long run. Runs that
-        can't but be all O are left out: no token could gain by another tag, whatever its neighbours' tags."""
+        can't but be all O are left out: no token could gain by another tag, whatever its neighbours' tags. ``text`` may
+        be several, with ``_BETWEEN`` between them; ``heads`` are their starts and ``files`` their files' weights."""
         begin = max(0, start - 41)
         # The word after the last run counts, if it begins within 20 characters; no long one is a secret word.
         around = text[begin : end + 100]
         plain = around.encode("ascii", "replace")  # "?" is in no run
-        codes, low = np.frombuffer(plain, np.uint8), plain.lower()
+        codes, low = np.frombuffer(plain, np.uint8), np.frombuffer(plain.lower(), np.uint8)
         kind = _CLASS[codes]
         kind[: start - begin] = kind[end - begin :] = 0
         starts, ends = _spans_of(kind)
@@ -407,19 +434,20 @@ class _Scorer:
         # What all tokens of a run share.
         size = np.minimum(run_ends - run_starts, 64)
         quoted = (run_starts > 0) & _QUOTED[codes[run_starts - 1]]
-        fixed = file + self.run_size[size] + self.run_turns[digit_turns[run_starts + size - 1] - digit_turns[run_starts]]
+        fixed = files[np.searchsorted(heads, run_starts + begin, "right") - 1]
+        fixed = fixed + self.run_size[size] + self.run_turns[digit_turns[run_starts + size - 1] - digit_turns[run_starts]]
         fixed += self.quoted[quoted.astype(int)] + self.at[np.minimum(count(codes == ord("@"), run_starts, run_ends), 1)]
         fixed += self.dots[np.minimum(count(codes == ord("."), run_starts, run_ends), 3)]
         fixed += self.slashes[np.minimum(count(codes == ord("/"), run_starts, run_ends), 3)]
-        # One word out of reach, so that there is always one behind.
-        words = [*[w[:64] for w in _LOW_WORD.findall(low)], b""]
         word_starts, word_ends = _spans_of(_IN_WORD[codes])
-        word_starts = np.append(word_starts, len(codes) + 20)
-        worded = self._worded(b"before=", words)
-        secret = np.array([w in _SECRET_BYTES for w in words])
+        places = _hashes(low, word_starts, np.minimum(word_ends - word_starts, 64), b"before=")
+        worded, secret = self.field.state[places], _are_secret(plain, word_starts, word_ends, _SECRET_BEFORE[places])
         names = secret.copy()
-        if b"_" in low:
-            names |= [b"_" in w and _names_secret(w.decode()) for w in words]
+        for i in np.flatnonzero(count(codes == ord("_"), word_starts, word_ends)).tolist():
+            names[i] = _names_secret(plain[word_starts[i] : min(word_ends[i], word_starts[i] + 64)].lower().decode())
+        # One word out of reach, so that there is always one behind.
+        worded = np.append(worded, [[0.0, 0.0, 0.0]], axis=0)
+        secret, names, word_starts = np.append(secret, False), np.append(names, False), np.append(word_starts, len(codes) + 20)
         sign = np.append(_IN_WORD[codes[word_starts[:-1]]] == 2, False)
         ended = np.searchsorted(word_ends, run_starts, "right")
         named, signed = np.zeros(len(first), bool), np.zeros(len(first), bool)
@@ -439,8 +467,8 @@ class _Scorer:
             upto = np.cumsum(flag) - flag
             return upto > upto[first][run]
 
-        tokens = _RUN_TOKEN.findall(low, start - begin, end - begin)
-        named = named[run] | earlier(np.array([t in _SECRET_BYTES for t in tokens]))
+        places = _hashes(low, starts, np.minimum(ends - starts, 12), b"word=")
+        named = named[run] | earlier(_are_secret(plain, starts, ends, _SECRET_WORD[places]))
         signed = signed[run] | earlier(codes[starts] == ord("="))
         # The first 64 characters count.
         size = np.minimum(ends - starts, 64)
@@ -458,7 +486,7 @@ class _Scorer:
         last = np.append(0, shape[:-1])
         last[first] = _SHAPE_AT["^"]
         scores = fixed[run] + self.own[2 * named + signed, shape, self.size_at[size], cases, vowels]
-        scores += self._worded(b"word=", [t[:12] for t in tokens]) + self.kinds[different * 4 // size]
+        scores += self.field.state[places] + self.kinds[different * 4 // size]
         scores += self.turns[digit_turns[ends - 1] - digit_turns[starts]] + self.last[last] + self.following[ahead]
         scores += self.place[np.minimum(np.arange(len(starts)) - first[run], 3)]
         gains = np.maximum(scores[:, 1], scores[:, 2]) - scores[:, 0] + self.slack > 0
@@ -500,26 +528,57 @@ def _tagged(text: str, start: int, end: int, tags: bytearray) -> Iterator[Span]:
         yield begin, last, "field"
 
 
-def field_spans(text: str, field: ChainField) -> list[Span]:
-    """Secrets that the field tags, in all runs of the text."""
-    out: list[Span] = []
-    if not text:
-        return out
-    scorer, file = _scorer(field), file_features(text)
-    weights = field.state[[bucket(f) for f in file]].sum(axis=0)
-    for start, end in _pieces(text):
-        runs = [(start, end, None)] if end - start > PIECE else scorer.of_piece(text, start, end, weights)
+def _together(texts: Iterable[str]) -> Iterator[list[str]]:
+    """The texts in order, short ones several at a time."""
+    group, size = [], 0
+    for text in texts:
+        if group and size + len(text) > TOGETHER:
+            yield group
+            group, size = [], 0
+        group.append(text)
+        size += len(text) + len(_BETWEEN)
+    if group:
+        yield group
+
+
+def _spans_in(texts: list[str], field: ChainField) -> list[list[Span]]:
+    """Secrets that the field tags in each of the texts, which are scored at once."""
+    out: list[list[Span]] = [[] for _ in texts]
+    scorer, files = _scorer(field), [file_features(text) for text in texts]
+    weights = field.state[[[bucket(f) for f in file] for file in files]].sum(axis=1)
+    heads = [0, *accumulate(len(text) + len(_BETWEEN) for text in texts[:-1])]
+    joined, places = _BETWEEN.join(texts), np.array(heads)
+    for start, end in _pieces(joined):
+        runs = [(start, end, None)] if end - start > PIECE else scorer.of_piece(joined, start, end, weights, places)
         for a, b, scores in runs:
-            scores = scorer.of_run(text, a, b, file) if scores is None else scores.tolist()
-            out.extend(_tagged(text, a, b, field.best_tags(scores)))
+            i = bisect_right(heads, a) - 1
+            a, b = a - heads[i], b - heads[i]
+            scores = scorer.of_run(texts[i], a, b, files[i]) if scores is None else scores.tolist()
+            out[i].extend(_tagged(texts[i], a, b, field.best_tags(scores)))
     return out
 
 
+def field_spans(text: str, field: ChainField) -> list[Span]:
+    """Secrets that the field tags, in all runs of the text."""
+    return _spans_in([text], field)[0]
+
+
 def find_spans(text: str, field: ChainField) -> tuple[list[Span], list[Span]]:
     """The fixed patterns' spans, and those that the field adds beside them."""
+    return next(find_all_spans([text], field))
+
+
+def find_all_spans(texts: Iterable[str], field: ChainField) -> Iterator[tuple[list[Span], list[Span]]]:
+    """As :func:`find_spans`, for each of the texts in order."""
+    for group in _together(texts):
+        for text, tagged in zip(group, _spans_in(group, field)):
+            yield _beside_base(text, tagged)
+
+
+def _beside_base(text: str, tagged: list[Span]) -> tuple[list[Span], list[Span]]:
     base = sorted(base_spans(text), key=lambda s: (s[0], KINDS.index(s[2])))
     added, held, reach = [], 0, 0
-    for span in field_spans(text, field):
+    for span in tagged:
         # Both lists are in order of their starts; ``reach`` is the furthest end of base spans that start before this ends.
         while held < len(base) and base[held][0] < span[1]:
             reach = max(reach, base[held][1])
@@ -714,8 +773,8 @@ def _scan(text: str, keep: list[str], shared) -> Callable[[Iterator[pa.RecordBat
         field = shared.value
         for batch in batches:
             rows: dict[str, list] = {f.name: [] for f in RESULT.fields}
-            for value in batch.column(text):
-                base, added = find_spans(value.as_py() or "", field)
+            values = (value.as_py() or "" for value in batch.column(text))
+            for base, added in find_all_spans(values, field):
                 spans = sorted([*base, *added], key=lambda s: (s[0], KINDS.index(s[2])))
                 rows["secrets"].append([{"kind": k, "start": a, "end": b} for a, b, k in spans])
                 for kind in KINDS:

@@ -232,3 +232,24 @@ def test_training_learns_runs_of_either_kind(spark, monkeypatch):
     text = " ".join(["run1234abc", *["plain"] * 30, *[f"run{i}xyz{i}" for i in range(100, 120)]])
     fit_field(spark.createDataFrame([(1, text)], "doc_id bigint, text string"))
     assert learned.count("plain") == 8 and sum(x.startswith("run") for x in learned) == 8
+
+
+def test_short_texts_are_scored_together(monkeypatch):
+    """As each by itself, whatever stands at the ends of its neighbours."""
+    rng = random.Random(11)
+    field = ChainField()
+    field.state = np.random.default_rng(4).normal(0, 1.5, field.state.shape)
+    parts = ["password", "my_key", "=", ":", '"', "'", " ", "  \n", "a1b2", "Tok.en/", "é", "_", "x" * 70, "9" * 600, "@", "authorization "]
+    texts = ["".join(rng.choice(parts) for _ in range(rng.randint(0, 9))) for _ in range(400)]
+    texts[7:7] = ["", "ab " * 30_000, "+/" * 40_000, "+"]
+    alone = [find_spans(t, field) for t in texts]
+    assert sum(len(added) for _, added in alone) > 100
+    calls, plain = [], secrets._Scorer.of_piece
+
+    def counted(self, text, start, end, *weights):
+        calls.append(end - start)
+        return plain(self, text, start, end, *weights)
+
+    monkeypatch.setattr(secrets._Scorer, "of_piece", counted)
+    assert list(secrets.find_all_spans(texts, field)) == alone
+    assert len(calls) < 20 and max(calls) <= secrets.PIECE
