@@ -349,3 +349,28 @@ def test_live_pairs_leave_out_the_crowd_of_one_station(spark, tmp_path, bucket_s
     assert pair_ids(spark.read.parquet(str(tmp_path / "out"))) == brute_pairs(rows, 20, 2700)
     held = max(op["numRowsTotal"] for p in query.recentProgress for op in p["stateOperators"])
     assert held <= len(rows) * (len(bits) * 5 if bucket_s else 2 * len(bits) * pairs.LIVE_SPLITS)
+
+
+@pytest.mark.parametrize("spread", ["plate", "bucket", "hot"])
+def test_live_pairs_are_held_in_packets(spark, tmp_path, monkeypatch, spread):
+    """Passes of one plate that come in one trigger take few rows of state, and meet as brute force has it."""
+    monkeypatch.setattr(pairs, "PACKET", 16)
+    plates = ["HOT", "HOT", "HOT", None, "P1", "P2", "P3"]
+    rows = [(i, 0, 101 + i % 5, plates[i % 7], START + timedelta(seconds=61 * (i * 37 % 500))) for i in range(500)]
+    parts = [[r for r in rows if r[0] % 2 == n and r[3]] for n in (0, 1)]
+    hot = spark.createDataFrame([("HOT", 500)], "hphm string, splits int") if spread == "hot" else None
+    options = {"splits": hot, "bucket_s": 900 if spread == "bucket" else None, "bits": () if spread == "plate" else [0, 1, 2, 3]}
+    for part in parts:
+        df = pass_frame(spark, part).withColumn("seen", F.current_timestamp())
+        df.repartition(3).write.mode("append").parquet(str(tmp_path / "in"))
+        live = spark.readStream.schema(df.schema).parquet(str(tmp_path / "in"))
+        found = pairs.plate_pairs(live, watermark_delay="1 hour", **options)
+        query = (
+            found.writeStream.format("parquet").option("path", str(tmp_path / "out"))
+            .option("checkpointLocation", str(tmp_path / "cp")).trigger(availableNow=True).start()
+        )
+        query.awaitTermination()
+    assert pair_ids(spark.read.parquet(str(tmp_path / "out"))) == brute_pairs([r for r in rows if r[3]], 20, 2700)
+    held = max(op["numRowsTotal"] for p in query.recentProgress for op in p["stateOperators"])
+    copies = {"plate": 2, "bucket": 4 * 5, "hot": 2 * 4 * pairs.LIVE_SPLITS}[spread]
+    assert held < sum(map(len, parts)) * copies / (8 if spread == "plate" else 1)
