@@ -1,5 +1,6 @@
 """Keyed state, watermarks per partition, the account of late passes."""
 
+from collections import Counter
 from datetime import datetime, timedelta, timezone
 
 import pytest
@@ -11,9 +12,11 @@ from passgrid.catalog.batch import QUERIES as BATCH
 from passgrid.catalog.streams import _run, clone_alerts_in_buckets, keyed_state, stream_traffic_detail, wait_for_listeners
 from passgrid.live.history import GROUPS, history_stream
 from passgrid.live.late import LateCounts, read_late_counts
-from passgrid.live.queries import file_writer, partitioned_stats_stream, start_stats, stats_stream
+from passgrid.live.queries import file_writer, partitioned_stats_stream, start_alerts, start_stats, stats_stream
 from passgrid.live.state import held_history, partition_rows
-from passgrid.settings import DETAIL_SCHEMA
+from passgrid.settings import DETAIL_SCHEMA, CloneSettings
+from passgrid.sources.records import archived_records
+from passgrid.sources.stations import default_stations
 
 START = datetime(2024, 1, 1, tzinfo=timezone.utc)
 PASS = "arrival_seq long, hphm string, gcsj timestamp, station_id int"
@@ -177,3 +180,46 @@ def test_what_the_traffic_queries_remember_lies_on_disk(spark, tmp_path, monkeyp
     kinds = {(p.relative_to(tmp_path / "run/checkpoint").parts[0].split("_")[0], p.suffix) for p in files if p.suffix in (".zip", ".delta")}
     assert kinds == {("detail", ".zip"), ("stats", ".zip")}
     assert {k: spark.conf.get(k, None) for k in streams.STORED_STATE} == before
+
+
+@pytest.mark.parametrize("hot", [True, False])
+def test_a_crowd_at_one_station_is_held_in_few_rows_and_its_alerts_come_in_runs(spark, tmp_path, hot):
+    """2,000 passes of a plate at one station, 20 a second, and five at another: the crowd takes a row of state for some
+    hundred passes and copy, and alerts alike in their gap follow each other, so that their table is small."""
+    second = F.when(F.col("id") < 2000, F.floor(F.col("id") / 20)).otherwise(200 + (F.col("id") - 2000) * 10)
+    iso = F.date_format(F.timestamp_seconds(second + int(START.timestamp())), "yyyy-MM-dd'T'HH:mm:ss'Z'")
+    fields = F.struct(
+        (F.col("id") + 1).alias("gcxh"), F.when(F.col("id") < 2000, 101).otherwise(111).alias("station_id"),
+        F.lit("HOT").alias("hphm"), iso.alias("gcsj"),
+    )
+    records = spark.range(2005).select(
+        F.to_json(fields).alias("value"), F.lit(START).alias("ingest_time"), F.col("id").alias("arrival_seq")
+    )
+    plates = spark.createDataFrame([("HOT", 4)], "hphm string, splits int") if hot else None
+    query = _run(
+        spark, [records], f"{tmp_path}/in",
+        lambda: start_alerts(
+            archived_records(spark, f"{tmp_path}/in"), default_stations(spark), str(tmp_path), f"{tmp_path}/cp",
+            CloneSettings(bucket_s=None if hot else 900), plates, available_now=True,
+        ),
+    )[-1]
+    gaps = [r.time_gap_sec for f in (tmp_path / "alerts").rglob("*.parquet") for r in spark.read.parquet(str(f)).coalesce(1).collect()]
+    assert Counter(gaps) == Counter(200 + 10 * j - i // 20 for i in range(2000) for j in range(5))
+    assert sum(a != b for a, b in zip(gaps, gaps[1:])) < len(gaps) / 3
+    held = max(op["numRowsTotal"] for p in query.recentProgress for op in p["stateOperators"])
+    assert held < 200
+
+
+def test_live_tables_are_written_without_a_sort(spark, tmp_path):
+    """A sort by shard of all that a trigger brings goes to disk where memory doesn't hold it."""
+    name, found = "spark.sql.maxConcurrentOutputFileWriters", []
+
+    def start():
+        found.append(int(spark.conf.get(name)))
+        stream = spark.readStream.schema("id long").parquet(f"{tmp_path}/in").withColumn("shard", (F.col("id") % 2).cast("int"))
+        return file_writer(stream, f"{tmp_path}/out", f"{tmp_path}/cp", available_now=True).start()
+
+    before = spark.conf.get(name)
+    _run(spark, [spark.range(1000)], f"{tmp_path}/in", start)
+    assert found[0] > 2 and spark.conf.get(name) == before
+    assert spark.read.parquet(f"{tmp_path}/out").filter("shard = id % 2").count() == 1000
